@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,11 +17,12 @@ from emberline.functions.features import (
 from emberline.operators.ranking import exact_quantiles, quantile_column, running_totals, value_counts
 from emberline.schemas import TARGET
 
-N = F.count(F.lit(1)).alias("n")
+def rows_counted() -> Column:
+    return F.count(F.lit(1)).alias("n")
 
 
 def row_count(df: DataFrame) -> DataFrame:
-    return df.agg(N)
+    return df.agg(rows_counted())
 
 
 def date_range(df: DataFrame, col: str = "acq_date") -> DataFrame:
@@ -70,7 +70,7 @@ def dataset_profile(df: DataFrame, date_col: str = "acq_date") -> DataFrame:
 
 
 def counts_by(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(N)
+    return df.groupBy(*keys).agg(rows_counted())
 
 
 def daily_series(df: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def contrast_by_confidence(df: DataFrame) -> DataFrame:
     return (
         with_delta_t(df)
         .groupBy("confidence")
-        .agg(F.avg("delta_t").alias("mean_delta_t"), F.avg("frp").alias("mean_frp"), N)
+        .agg(F.avg("delta_t").alias("mean_delta_t"), F.avg("frp").alias("mean_frp"), rows_counted())
         .orderBy("confidence")
     )
 
@@ -154,35 +154,24 @@ def satellite_month(df: DataFrame) -> DataFrame:
     """Count and mean power by satellite and month, or by whichever of the two exists."""
     dated = with_month(df) if has(df, "acq_date") else df
     keys = [k for k in ("satellite", "month") if k in dated.columns and (k != "month" or has(df, "acq_date"))]
-    return dated.groupBy(*keys).agg(N, F.avg("frp").alias("mean_frp"))
+    return dated.groupBy(*keys).agg(rows_counted(), F.avg("frp").alias("mean_frp"))
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of all pairs in long form, over the whole table in one pass.
 
     A pair uses the rows where both values are known; NaN counts as unknown. ``r`` is null where one
-    column is constant, and 1 for a column with itself otherwise.
+    column is constant, and 1 for any other column with itself.
     """
     cols = list(cols) if cols is not None else numeric_predictors(df)
     known = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    pairs = list(combinations(cols, 2))
-    moments = known.agg(
-        *[F.nanvl(F.corr(a, b), F.lit(None)).alias(f"{a}~{b}") for a, b in pairs],
-        *[F.when(F.min(c) < F.max(c), 1.0).alias(f"{c}~{c}") for c in cols],
-    )
-    entries = [(a, b, f"{a}~{b}") for a, b in pairs]
-    entries += [(b, a, f"{a}~{b}") for a, b in pairs]
-    entries += [(c, c, f"{c}~{c}") for c in cols]
-    return moments.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"`{key}`").alias("r"))
-                    for a, b, key in entries
-                ]
-            )
-        )
-    )
+    # Laid out by column and merged before the shuffle: k small aggregates that compile well are
+    # faster than one with all k * k / 2 pairs.
+    sides = [F.struct(F.lit(c).alias("a"), F.col(c).alias("_side")) for c in cols]
+    laid_out = known.select(*cols, F.inline(F.array(*sides)))
+    wide = laid_out.groupBy("a").agg(*[F.nanvl(F.corr("_side", c), F.lit(None)).alias(c) for c in cols])
+    r = F.when(F.col("r").isNotNull() & (F.col("a") == F.col("b")), 1.0).otherwise(F.col("r"))
+    return wide.unpivot("a", list(cols), "b", "r").withColumn("r", r)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 80, clip_q: float | None = None) -> DataFrame:
@@ -197,7 +186,7 @@ def histogram(df: DataFrame, col: str, bins: int = 80, clip_q: float | None = No
     placed = values.withColumn("_limits", limits).select(
         _bin_of(F.col("value"), F.col("_limits.low"), F.col("_limits.high"), bins).alias("bin")
     )
-    counted = placed.groupBy("bin").agg(N)
+    counted = placed.groupBy("bin").agg(rows_counted())
     domain = (
         df.sparkSession.range(1, bins + 1)
         .select(F.col("id").cast("int").alias("bin"))
