@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from emberline.operators.ranking import null_safe_join, running_totals, with_value_range
+from emberline.operators.ranking import with_value_range
 
 
 def positive_weight(df: DataFrame, target: str) -> DataFrame:
@@ -92,20 +92,63 @@ def score_counts(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame
     )
 
 
+def _curve(df: DataFrame, y: str, score: str, ranges: int | None) -> DataFrame:
+    """Distinct scores from high to low with running counts and the counts of the next score.
+
+    Everything that crosses a value range (counts so far, first score of the next range) comes from
+    one small table with a row per range, so the scores are shuffled by range once.
+    """
+    counted = score_counts(df, y, score).withColumn("_down", -F.col("score"))
+    ranged = with_value_range(counted, "_down", ["pos", "neg"], ranges)
+    step = F.struct("pos", "neg")
+    cells = ranged.groupBy("_range").agg(
+        F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.min_by(step, "_down").alias("_first")
+    )
+    # One row per value range meets in these windows.
+    order = Window.orderBy("_range")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy()
+    zero = F.lit(0).cast("bigint")
+    borders = cells.select(
+        "_range",
+        F.coalesce(F.sum("_pos").over(before), zero).alias("_pos_before"),
+        F.coalesce(F.sum("_neg").over(before), zero).alias("_neg_before"),
+        F.sum("_pos").over(whole).alias("total_pos"),
+        F.sum("_neg").over(whole).alias("total_neg"),
+        F.lead("_first").over(order).alias("_after"),
+        (F.row_number().over(order) == 1).alias("_head"),
+    )
+    inside = Window.partitionBy("_range").orderBy("_down")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return ranged.join(borders, "_range").select(
+        "_range",
+        "_down",
+        "score",
+        "pos",
+        "neg",
+        (F.col("_pos_before") + F.sum("pos").over(upto)).alias("tp"),
+        (F.col("_neg_before") + F.sum("neg").over(upto)).alias("fp"),
+        "total_pos",
+        "total_neg",
+        F.coalesce(F.lead(step).over(inside), F.col("_after")).alias("_next"),
+        (F.col("_head") & (F.row_number().over(inside) == 1)).alias("_start"),
+    )
+
+
+def _rate(count: str, total: str) -> Column:
+    return F.when(F.col(total) > 0, F.col(count) / F.col(total))
+
+
 def cumulative_rates(df: DataFrame, y: str = "y", score: str = "score", ranges: int | None = None) -> DataFrame:
     """Per distinct score: true and false positives when everything at or above it is called positive."""
-    counted = score_counts(df, y, score).withColumn("_down", -F.col("score"))
-    summed = running_totals(counted, "_down", ["pos", "neg"], ranges=ranges)
-    tp = F.col("before_pos") + F.col("pos")
-    fp = F.col("before_neg") + F.col("neg")
-    return summed.select(
+    return _curve(df, y, score, ranges).select(
         "score",
         "pos",
         "neg",
-        tp.alias("tp"),
-        fp.alias("fp"),
-        F.when(F.col("total_pos") > 0, tp / F.col("total_pos")).alias("tpr"),
-        F.when(F.col("total_neg") > 0, fp / F.col("total_neg")).alias("fpr"),
+        "tp",
+        "fp",
+        _rate("tp", "total_pos").alias("tpr"),
+        _rate("fp", "total_neg").alias("fpr"),
         "total_pos",
         "total_neg",
     )
@@ -133,19 +176,30 @@ def roc_points(
     ``drop_intermediate`` leaves out points on a straight line between their neighbours. Of the rest
     at most ``points`` evenly spaced ones are kept, first and last included.
     """
-    curve = cumulative_rates(df, y, score, ranges).withColumn("_down", -F.col("score"))
+    curve = _curve(df, y, score, ranges)
     if drop_intermediate:
-        curve = _corners(curve, ranges)
-    kept = curve.withColumn("_one", F.lit(1).cast("bigint"))
-    numbered = running_totals(kept, "_down", ["_one"], ranges=ranges)
-    inner = numbered.select(
-        (F.col("before__one") + 1).alias("index"),
+        # On a straight line the next score adds the same counts as this one.
+        corner = (
+            F.col("_next").isNull() | (F.col("_next.pos") != F.col("pos")) | (F.col("_next.neg") != F.col("neg"))
+        )
+        curve = curve.where(corner | F.col("_start"))
+    cells = curve.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per value range meets in these windows.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    borders = cells.select(
+        "_range",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+        F.sum("_n").over(Window.partitionBy()).alias("last"),
+    )
+    inside = Window.partitionBy("_range").orderBy("_down")
+    inner = curve.join(borders, "_range").select(
+        (F.col("_before") + F.row_number().over(inside)).alias("index"),
         F.col("score").alias("threshold"),
-        "fpr",
-        "tpr",
-        F.col("total__one").alias("last"),
+        _rate("fp", "total_neg").alias("fpr"),
+        _rate("tp", "total_pos").alias("tpr"),
+        "last",
     )
-    origin = numbered.agg(F.max("total__one").alias("last")).select(
+    origin = cells.agg(F.sum("_n").alias("last")).select(
         F.lit(0).cast("bigint").alias("index"),
         F.lit(None).cast("double").alias("threshold"),
         F.lit(0.0).alias("fpr"),
@@ -165,33 +219,6 @@ def _evenly_spaced(index: Column, last: Column, points: int) -> Column:
     return (last < points) | (F.call_function("div", j * last, gaps) == index)
 
 
-def _corners(curve: DataFrame, ranges: int | None) -> DataFrame:
-    """Scores where the next step of the curve has other counts, and the first and the last score.
-
-    The next score is looked up inside a value range; the last score of a range sees the first score
-    of the next range, which is one row per range.
-    """
-    ranged = with_value_range(curve, "_down", ["pos", "neg"], ranges)
-    step = F.struct("pos", "neg")
-    firsts = ranged.groupBy("_range").agg(F.min_by(step, "_down").alias("_first"))
-    # One row per value range meets in this window.
-    following = firsts.select(
-        "_range",
-        F.lead("_first").over(Window.orderBy("_range")).alias("_after"),
-        (F.row_number().over(Window.orderBy("_range")) == 1).alias("_head"),
-    )
-    inside = Window.partitionBy("_range").orderBy("_down")
-    joined = null_safe_join(ranged, following, ["_range"])
-    marked = joined.withColumns(
-        {
-            "_next": F.coalesce(F.lead(step).over(inside), F.col("_after")),
-            "_start": F.col("_head") & (F.row_number().over(inside) == 1),
-        }
-    )
-    corner = F.col("_next").isNull() | (F.col("_next.pos") != F.col("pos")) | (F.col("_next.neg") != F.col("neg"))
-    return marked.where(corner | F.col("_start")).select(*curve.columns)
-
-
 def threshold_rule(df: DataFrame, y: str, col: str, low: float, high: float, steps: int) -> DataFrame:
     """One-variable rule ``col < t`` for evenly spaced ``t``: the baseline a model has to beat.
 

@@ -73,9 +73,11 @@ def class_weights(df: DataFrame, target: str = TARGET, mode: str = "balanced") -
     return counts.withColumn("_all", both).select(target, "n", weight.alias(WEIGHT))
 
 
-def with_class_weight(df: DataFrame, target: str = TARGET, mode: str = "balanced") -> DataFrame:
-    """Add the weight of the row's class for a 0/1 target."""
-    weights = class_weights(df, target, mode)
+def with_class_weight(
+    df: DataFrame, target: str = TARGET, mode: str = "balanced", fitted_on: DataFrame | None = None
+) -> DataFrame:
+    """Add the weight of the row's class for a 0/1 target, by the class sizes of ``fitted_on`` or itself."""
+    weights = class_weights(df if fitted_on is None else fitted_on, target, mode)
     of = weights.agg(
         F.struct(
             F.max(F.when(F.col(target) == 0, F.col(WEIGHT))).alias("zero"),
@@ -86,6 +88,12 @@ def with_class_weight(df: DataFrame, target: str = TARGET, mode: str = "balanced
     return df.withColumn("_w", of).withColumn(WEIGHT, chosen).drop("_w")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions for all cores. Large tables have more than that and stay as they are."""
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 # ---- learners -------------------------------------------------------------------------------
 
 # Default settings of the three learners.
@@ -134,7 +142,8 @@ def boosted(
     validation: str | None = None,
     seed: int = 42,
 ) -> Estimator:
-    """Logistic boosting on weighted rows; with a validation flag it stops when that part gains no more."""
+    """Logistic boosting on weighted rows; with a validation flag it stops at the first round in which
+    the loss of that part does not fall."""
     learner = GBTClassifier(
         featuresCol=FEATURES,
         labelCol=TARGET,
@@ -146,7 +155,7 @@ def boosted(
         featureSubsetStrategy=colsample,
         seed=seed,
     )
-    return learner.setValidationIndicatorCol(validation) if validation else learner
+    return learner.setParams(validationIndicatorCol=validation, validationTol=0.0) if validation else learner
 
 
 def perceptron(
@@ -171,7 +180,7 @@ def perceptron(
 def train_forest(train: DataFrame, predictors: Sequence[str] = PREDICTORS, **settings) -> Model:
     weighted = settings.get("weighted", True)
     rows = with_class_weight(train, mode="balanced") if weighted else train
-    return forest(**{**FOREST, **settings}).fit(assemble(rows, predictors))
+    return forest(**{**FOREST, **settings}).fit(assemble(spread(rows), predictors))
 
 
 def train_boosted(
@@ -182,14 +191,14 @@ def train_boosted(
     flag = None
     if val is not None:
         flag = "is_validation"
-        marked = val.select(*train.columns).withColumn(WEIGHT, F.lit(1.0)).withColumn(flag, F.lit(True))
-        rows = rows.withColumn(flag, F.lit(False)).unionByName(marked)
-    return boosted(validation=flag, **{**BOOSTED, **settings}).fit(assemble(rows, predictors))
+        held = with_class_weight(val.select(*train.columns), mode="positive", fitted_on=train)
+        rows = rows.withColumn(flag, F.lit(False)).unionByName(held.withColumn(flag, F.lit(True)))
+    return boosted(validation=flag, **{**BOOSTED, **settings}).fit(assemble(spread(rows), predictors))
 
 
 def train_mlp(train: DataFrame, predictors: Sequence[str] = PREDICTORS, **settings) -> Model:
     """Network on standardised rows; pass frames that went through ``standardise``."""
-    return perceptron(len(predictors), **settings).fit(assemble(train, predictors))
+    return perceptron(len(predictors), **settings).fit(assemble(spread(train), predictors))
 
 
 def score(
@@ -289,7 +298,7 @@ def train_head(
     iterations: int = 50, seed: int = 42,
 ) -> Model:
     """Small trained head on a frozen extractor: one hidden layer, or none for a linear one."""
-    rows = vector_features(df, vectors, label)
+    rows = vector_features(spread(df), vectors, label)
     if hidden is None:
         return LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=iterations).fit(rows)
     return perceptron(width, (hidden,), classes, iterations, target=label, seed=seed).fit(rows)

@@ -57,11 +57,13 @@ def write_metrics_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def read_metrics_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON documents, spread over lines or one per line; empty when the path does not exist."""
+def read_metrics_json(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, lines: bool = True
+) -> DataFrame:
+    """JSON documents, one per line, or with ``lines=False`` one per file; empty when there is no such path."""
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema or T.StructType([]))
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", not lines)
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
