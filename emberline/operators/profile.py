@@ -165,13 +165,36 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     """
     cols = list(cols) if cols is not None else numeric_predictors(df)
     known = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    # Laid out by column and merged before the shuffle: k small aggregates that compile well are
-    # faster than one with all k * k / 2 pairs.
-    sides = [F.struct(F.lit(c).alias("a"), F.col(c).alias("_side")) for c in cols]
-    laid_out = known.select(*cols, F.inline(F.array(*sides)))
-    wide = laid_out.groupBy("a").agg(*[F.nanvl(F.corr("_side", c), F.lit(None)).alias(c) for c in cols])
-    r = F.when(F.col("r").isNotNull() & (F.col("a") == F.col("b")), 1.0).otherwise(F.col("r"))
-    return wide.unpivot("a", list(cols), "b", "r").withColumn("r", r)
+    # Values are taken from the column's mean, so that sums of products keep their digits.
+    means = known.agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("means")).scalar()
+    centred = known.withColumn("_means", means).select(*[(F.col(c) - F.col(f"_means.{c}")).alias(c) for c in cols])
+    # Laid out by column and merged before the shuffle: k aggregates of a few plain sums compile well,
+    # k * k / 2 correlation aggregates side by side do not.
+    sides = [F.struct(F.lit(c).alias("_column"), F.col(c).alias("_side")) for c in cols]
+    laid_out = centred.select(*cols, F.inline(F.array(*sides)))
+
+    def sums(c: str) -> Column:
+        a, b = F.col("_side"), F.col(c)
+        both = (a * b).isNotNull()
+        return F.struct(
+            F.count(a * b).cast("double").alias("n"),
+            F.sum(F.when(both, a)).alias("a"),
+            F.sum(F.when(both, b)).alias("b"),
+            F.sum(F.when(both, a * a)).alias("aa"),
+            F.sum(F.when(both, b * b)).alias("bb"),
+            F.sum(a * b).alias("ab"),
+        )
+
+    wide = laid_out.groupBy("_column").agg(*[sums(c).alias(c) for c in cols])
+    m = lambda name: F.col(f"_sums.{name}")
+    spread_a = m("n") * m("aa") - m("a") * m("a")
+    spread_b = m("n") * m("bb") - m("b") * m("b")
+    # What is left of a constant column is rounding.
+    varies = (spread_a > 1e-12 * m("n") * m("aa")) & (spread_b > 1e-12 * m("n") * m("bb"))
+    shared = (m("n") * m("ab") - m("a") * m("b")) / (F.sqrt(spread_a) * F.sqrt(spread_b))
+    r = F.when(varies, F.when(F.col("_column") == F.col("b"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), shared))))
+    long = wide.unpivot("_column", list(cols), "b", "_sums")
+    return long.select(F.col("_column").alias("a"), "b", r.alias("r"))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 80, clip_q: float | None = None) -> DataFrame:

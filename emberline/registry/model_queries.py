@@ -19,7 +19,7 @@ from emberline.sources.tables import read_split
 # Settings for the registered training queries: the whole table, smaller models.
 FOREST = {"n_estimators": 30, "max_depth": 8}
 BOOSTED = {"max_depth": 4, "eta": 0.3, "rounds": 30}
-MLP = {"iterations": 60}
+MLP = {"iterations": 30}
 
 
 def stored(spark: SparkSession, sf_dir: str) -> str:

@@ -56,8 +56,8 @@ def pending_windows(planned: DataFrame, landed: DataFrame) -> DataFrame:
 def ingest_csv(spark: SparkSession, folder: str, schema: T.StructType = DETECTIONS) -> DataFrame:
     """All CSV files of a folder as one table. Empty files add nothing.
 
-    ``acq_time`` is read as text first, so that a bad value gives null and not a lost row; columns are
-    found by their header name in every file.
+    ``acq_time`` is read as text first, so that a bad value gives null. The header of every file is
+    checked against the schema, so that a file with other columns fails instead of being misread.
     """
     text_time = T.StructType(
         [T.StructField(f.name, T.StringType()) if f.name == "acq_time" else f for f in schema]
