@@ -71,6 +71,6 @@ def read_metrics_json(
 
 def read_best_configs(spark: SparkSession, path: str) -> DataFrame:
     """A document ``{model: config text}`` as rows (model, config)."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     pairs = F.from_json(F.col("value"), "map<string,string>")
     return text.select(F.explode(pairs).alias("model", "config"))

@@ -19,6 +19,8 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        spark__sql__maxMetadataStringLength="100000",
+        spark__sql__debug__maxToStringFields="1000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
