@@ -192,24 +192,25 @@ def roc_points(
         F.sum("_n").over(Window.partitionBy()).alias("last"),
     )
     inside = Window.partitionBy("_range").orderBy("_down")
-    inner = curve.join(borders, "_range").select(
+    numbered = curve.join(borders, "_range").select(
         (F.col("_before") + F.row_number().over(inside)).alias("index"),
         F.col("score").alias("threshold"),
         _rate("fp", "total_neg").alias("fpr"),
         _rate("tp", "total_pos").alias("tpr"),
         "last",
     )
-    origin = cells.agg(F.sum("_n").alias("last")).select(
+    chosen = _evenly_spaced(F.col("index"), F.col("last"), points)
+    own = F.struct("index", "threshold", "fpr", "tpr")
+    origin = F.struct(
         F.lit(0).cast("bigint").alias("index"),
         F.lit(None).cast("double").alias("threshold"),
         F.lit(0.0).alias("fpr"),
         F.lit(0.0).alias("tpr"),
-        "last",
-    )
-    every = origin.where(F.col("last").isNotNull()).unionByName(inner)
-    return every.where(_evenly_spaced(F.col("index"), F.col("last"), points)).select(
-        "index", "threshold", "fpr", "tpr"
     )
+    # The first row also gives the origin, which is always among the points.
+    first = F.col("index") == 1
+    given = F.when(first & chosen, F.array(origin, own)).when(first, F.array(origin)).otherwise(F.array(own))
+    return numbered.where(chosen | first).select(F.inline(given))
 
 
 def _evenly_spaced(index: Column, last: Column, points: int) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from emberline.functions.runs import with_device
 from emberline.operators.filters import runs_of
 from emberline.operators.ranking import null_safe_join, quantile_column, running_totals
+from emberline.session import cut_lineage
 
 # The sequential engine, the engine used in its place, and the parallel ones.
 BASELINE = "pandas"
@@ -112,8 +113,13 @@ def with_efficiency(df: DataFrame, baseline: str = BASELINE) -> DataFrame:
 
 
 def speedup_report(runs: DataFrame) -> DataFrame:
-    """Summary with both speedups and the efficiency."""
-    return with_efficiency(parallel_speedup(global_speedup(summarise_runs(runs))))
+    """Summary with both speedups and the efficiency.
+
+    The summary (a row per configuration) is computed once and kept in the shared folder, as the
+    baselines are looked up in it.
+    """
+    summary = cut_lineage(summarise_runs(runs))
+    return with_efficiency(parallel_speedup(global_speedup(summary)))
 
 
 def mean_efficiency_by_threads(report: DataFrame, backends: Sequence[str] = CHARTED) -> DataFrame:

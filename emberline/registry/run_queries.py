@@ -158,10 +158,12 @@ register(
 register(
     "best_time",
     "A20",
-    on_report(lambda r: run_reports.best_time(r.where("NOT (backend = 'dask' AND operation = 'load')"))),
+    on_report(
+        lambda r: rounded(run_reports.best_time(r.where("NOT (backend = 'dask' AND operation = 'load')")), 6, "best_time_s")
+    ),
     sql_with(
         "summ",
-        "SELECT backend, operation, coalesce(min(time_s), 0) AS best_time_s FROM (SELECT DISTINCT backend FROM sub) "
+        "SELECT backend, operation, round(coalesce(min(time_s), 0), 6) AS best_time_s FROM (SELECT DISTINCT backend FROM sub) "
         "CROSS JOIN (SELECT DISTINCT operation FROM sub) LEFT JOIN sub USING (backend, operation) GROUP BY ALL",
         sub="SELECT * FROM summ WHERE regime = 'strong' AND NOT (backend = 'dask' AND operation = 'load')",
     ),
