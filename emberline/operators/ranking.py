@@ -7,11 +7,12 @@ up in order. The cost is one extra pass over the (already grouped) rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_RANGES = 1024
+MAX_RANGES = 4096
 
 
 def range_count(df: DataFrame) -> int:
@@ -43,13 +44,19 @@ def with_value_range(
     ranges = ranges or range_count(df)
     cuts = [i / ranges for i in range(1, ranges)]
     counted = F.greatest(*[F.col(s) for s in sums], F.lit(0)) >= 0
-    limits = df.agg(
-        F.percentile_approx(F.when(counted, F.col(order)), cuts, 10 * ranges).alias("_limits")
-    ).scalar()
+    limits = df.agg(F.percentile_approx(F.when(counted, F.col(order)), cuts, 10 * ranges).alias("fine"))
+    # Two steps over the square root of the limits each, instead of one over all of them.
+    step = math.isqrt(ranges)
+    coarse = F.filter("fine", lambda _, i: (i + 1) % step == 0).alias("coarse")
+    placed = df.withColumn("_limits", limits.select(F.struct("fine", coarse).alias("limits")).scalar())
+    below = lambda limits: F.size(F.filter(limits, lambda x: x < F.col(order)))
     return (
-        df.withColumn("_limits", limits)
-        .withColumn("_range", F.coalesce(F.size(F.filter("_limits", lambda x: x < F.col(order))), F.lit(0)))
-        .drop("_limits")
+        placed.withColumn("_jump", F.coalesce(below(F.col("_limits.coarse")), F.lit(0)) * step)
+        .withColumn(
+            "_range",
+            F.col("_jump") + F.coalesce(below(F.slice("_limits.fine", F.col("_jump") + 1, F.lit(step))), F.lit(0)),
+        )
+        .drop("_limits", "_jump")
     )
 
 
@@ -80,7 +87,7 @@ def running_totals(
         Window.partitionBy(*by, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     zero = F.lit(0)
-    joined = null_safe_join(ranged, offsets, [*by, "_range"])
+    joined = null_safe_join(ranged, offsets, [*by, "_range"]) if by else ranged.join(offsets, "_range")
     return joined.select(
         *df.columns,
         *[

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from emberline.operators.ranking import exact_quantiles, null_safe_join, running_totals, value_counts, with_rank
+from emberline.operators.ranking import exact_quantiles, null_safe_join, running_totals, value_counts, with_rank, with_value_range
 
 
 def skewed(spark, n=3000):
@@ -85,3 +85,15 @@ def test_null_safe_join_keeps_left_names(spark):
     b = spark.createDataFrame([(None, 10), ("y", 30)], "k string, w int")
     got = sorted(map(tuple, null_safe_join(a, b, ["k"], "left").collect()), key=lambda r: r[1])
     assert got == [(None, 1, 10), ("x", 2, None)]
+
+
+@pytest.mark.parametrize("ranges", [2, 5, 16, 100])
+def test_ranges_are_in_order_and_even(spark, ranges):
+    df = spark.range(4000).select(F.col("id").cast("double").alias("v"), F.lit(1).alias("n"))
+    got = with_value_range(df, "v", ["n"], ranges).groupBy("_range").agg(F.min("v"), F.max("v"), F.count("*"))
+    rows = sorted(map(tuple, got.collect()))
+    assert [r[0] for r in rows] == list(range(ranges))
+    assert all(a[2] < b[1] for a, b in zip(rows, rows[1:]))
+    assert max(r[3] for r in rows) <= 2 * 4000 / ranges
+    empty = with_value_range(df.limit(0), "v", ["n"], ranges)
+    assert empty.count() == 0
