@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MAX_RANGES = 4096
+# Up to this many, one look over all limits is cheaper than two short ones.
+FEW_RANGES = 64
 
 
 def range_count(df: DataFrame) -> int:
@@ -45,17 +47,17 @@ def with_value_range(
     cuts = [i / ranges for i in range(1, ranges)]
     counted = F.greatest(*[F.col(s) for s in sums], F.lit(0)) >= 0
     limits = df.agg(F.percentile_approx(F.when(counted, F.col(order)), cuts, 10 * ranges).alias("fine"))
+    below = lambda values: F.coalesce(F.size(F.filter(values, lambda x: x < F.col(order))), F.lit(0))
+    if ranges <= FEW_RANGES:
+        placed = df.withColumn("_limits", limits.scalar())
+        return placed.withColumn("_range", below(F.col("_limits"))).drop("_limits")
     # Two steps over the square root of the limits each, instead of one over all of them.
     step = math.isqrt(ranges)
     coarse = F.filter("fine", lambda _, i: (i + 1) % step == 0).alias("coarse")
     placed = df.withColumn("_limits", limits.select(F.struct("fine", coarse).alias("limits")).scalar())
-    below = lambda limits: F.size(F.filter(limits, lambda x: x < F.col(order)))
     return (
-        placed.withColumn("_jump", F.coalesce(below(F.col("_limits.coarse")), F.lit(0)) * step)
-        .withColumn(
-            "_range",
-            F.col("_jump") + F.coalesce(below(F.slice("_limits.fine", F.col("_jump") + 1, F.lit(step))), F.lit(0)),
-        )
+        placed.withColumn("_jump", below(F.col("_limits.coarse")) * step)
+        .withColumn("_range", F.col("_jump") + below(F.slice("_limits.fine", F.col("_jump") + 1, F.lit(step))))
         .drop("_limits", "_jump")
     )
 
