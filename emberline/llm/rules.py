@@ -51,15 +51,16 @@ def mask_of(rules: Sequence[str]) -> int:
     return sum(1 << place[name] for name in set(rules))
 
 
-def repeated_word_count(marks: Column) -> Column:
-    """Words covered by windows that are equal to another one.
-
-    ``marks`` is the sorted array of (window, place). Equal windows are neighbours in it.
-    """
-    hits = F.filter(
+def neighbours(marks: Column) -> Column:
+    """Of a sorted array of (k, i), the entries whose k equals that of an entry beside them."""
+    return F.filter(
         marks, lambda x, j: (x["k"] == F.get(marks, j - 1)["k"]) | (x["k"] == F.get(marks, j + 1)["k"])
     )
-    places = F.array_sort(F.transform(hits, lambda x: x["i"]))
+
+
+def covered_words(marks: Column) -> Column:
+    """Words covered by three-word windows that are equal to another one; ``marks`` are sorted (window, place)."""
+    places = F.array_sort(F.transform(neighbours(marks), lambda x: x["i"]))
     start = F.struct(F.lit(-3).alias("last"), F.lit(0).alias("n"))
     total = F.aggregate(
         places,
@@ -75,15 +76,14 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
     lines = F.filter(F.split(whole, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     first = df.withColumns({"_w": words_of(whole), "_lines": lines})
     n = F.size("_w")
-    window = F.transform(
-        F.sequence(F.lit(1), n - 2),
-        lambda i: F.struct(
-            F.concat_ws(" ", F.get("_w", i - 1), F.get("_w", i), F.get("_w", i + 1)).alias("k"), i.alias("i")
-        ),
+    # Windows are sorted by hash first; only those with an equal hash are compared as texts.
+    three = lambda i: (F.get("_w", i - 1), F.get("_w", i), F.get("_w", i + 1))
+    hashed = F.transform(
+        F.sequence(F.lit(1), n - 2), lambda i: F.struct(F.xxhash64(*three(i)).alias("k"), i.alias("i"))
     )
     sized = first.withColumns(
         {
-            "_marks": F.sort_array(F.when(n >= 3, window)),
+            "_marks": F.sort_array(F.when(n >= 3, hashed)),
             "n_words": n.cast("long"),
             "word_chars": F.length(F.array_join("_w", "")).cast("long"),
             "n_symbols": F.length(F.regexp_replace(whole, r"[^#*$%&|<>]+", "")).cast("long"),
@@ -92,7 +92,11 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
             "n_upper": F.length(F.regexp_replace(whole, r"[^\p{Lu}]+", "")).cast("long"),
         }
     )
-    return sized.withColumn("n_repeat_words", repeated_word_count(F.col("_marks"))).drop("_w", "_lines", "_marks")
+    exact = F.transform(
+        neighbours(F.col("_marks")), lambda x: F.struct(F.concat_ws(" ", *three(x["i"])).alias("k"), x["i"].alias("i"))
+    )
+    marked = sized.withColumn("_same", F.sort_array(exact))
+    return marked.withColumn("n_repeat_words", covered_words(F.col("_same"))).drop("_w", "_lines", "_marks", "_same")
 
 
 def with_bits(df: DataFrame) -> DataFrame:
