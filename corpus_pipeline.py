@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emberline.llm import content_sort, rules
+from emberline.llm import content_sort, mixing, packing, rules, simhash
 from emberline.session import scratch_path
 
 
@@ -20,7 +20,26 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return content_sort.keep_first(docs)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup)]
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes several times are there several times."""
+    return mixing.mixture(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("simhash_near_dedup", near_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
 # Fingerprints and tokens are beyond SQL; tests compare with a brute-force version.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from emberline.llm import content_sort, rules, simhash
+from emberline.llm import content_sort, mixing, packing, rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +32,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.grouped(docs, "doc_id", "text", F.col("doc_id"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_packing": op6_packing,
+    "op8_mixing": op8_mixing,
 }

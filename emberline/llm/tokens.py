@@ -1,0 +1,88 @@
+"""Token ids of whole texts with a memo, for tasks."""
+
+from __future__ import annotations
+
+import os
+
+import numpy as np
+
+# Entries a worker remembers before it starts anew.
+MEMO = 400_000
+# Chunks encoded in one call.
+CALL = 2_000
+
+
+class Encoder:
+    """Ids as little-endian unsigned 32-bit numbers, equal to those of ``Tokenizer.encode`` without special tokens.
+
+    The byte-level splitter of the vocabulary always cuts before a space that a non-space follows, so what
+    lies between such cuts can be encoded once and remembered. A text with a run of white space before a
+    word, or with a special token's spelling, is encoded whole.
+    """
+
+    def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, number in vocabulary.items():
+            self.width[number] = len(token)  # one character stands for one byte
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.memo: dict[str, bytes | None] = {}
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, parts: list[str]) -> None:
+        good = []
+        for p in parts:
+            if not p or p[0].isspace() or any(s in p for s in self.special):
+                self.memo[p] = None
+            else:
+                good.append(p)
+        for a in range(0, len(good), CALL):
+            some = good[a : a + CALL]
+            ids = np.array(
+                self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4"
+            )
+            ends = np.cumsum([1 + len(p.encode()) for p in some])
+            cuts = np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")
+            data, last = ids.tobytes(), 0
+            for p, cut in zip(some, cuts.tolist(), strict=True):
+                self.memo[p] = data[4 * last : 4 * cut]
+                last = cut
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [t.split(" ") for t in texts]
+        missing = {p for parts in split for p in parts[1:]} - self.memo.keys()
+        if missing:
+            if len(self.memo) + len(missing) > MEMO:
+                self.memo.clear()
+                missing = {p for parts in split for p in parts[1:]}
+            self.learn(list(missing))
+        out = []
+        for text, parts in zip(texts, split, strict=True):
+            found = list(map(self.memo.__getitem__, parts[1:]))
+            first = parts[0]
+            if None in found or any(s in first for s in self.special):
+                out.append(self.whole(text))
+            else:
+                out.append((self.whole(first) if first else b"") + b"".join(found))
+        return out
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str | None = None) -> Encoder:
+    """The worker's encoder; without a path that of the public 50k byte-level vocabulary."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    path = str(path)
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
