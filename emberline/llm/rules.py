@@ -96,7 +96,10 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         neighbours(F.col("_marks")), lambda x: F.struct(F.concat_ws(" ", *three(x["i"])).alias("k"), x["i"].alias("i"))
     )
     marked = sized.withColumn("_same", F.sort_array(exact))
-    return marked.withColumn("n_repeat_words", covered_words(F.col("_same"))).drop("_w", "_lines", "_marks", "_same")
+    done = marked.withColumn("n_repeat_words", covered_words(F.col("_same")))
+    # Filters on a generated column stay above it; else they would be evaluated inside the lambdas, per window.
+    once = done.withColumn("_m", F.explode(F.array(F.struct(*MEASURES))))
+    return once.select(*df.columns, "_m.*")
 
 
 def with_bits(df: DataFrame) -> DataFrame:
