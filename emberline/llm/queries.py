@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from emberline.llm import content_sort, mixing, packing, rules, simhash
+from emberline.llm import content_sort, mixing, packing, pages, rules, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,10 +32,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.grouped(docs, "doc_id", "text", F.col("doc_id"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(table(spark, sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -44,6 +52,8 @@ QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_main_text": op5_main_text,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
 }
