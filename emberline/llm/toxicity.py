@@ -3,7 +3,8 @@
 The learner sees documents confirmed as toxic and unlabelled ones, never a confirmed harmless one. Its risk is
 ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``: the harmless part of the unlabelled risk is corrected by
 the class prior, and where the correction turns it negative the step goes against overfitting instead. The
-model is linear over the presence of hashed lower-case words; only the text is an input of a score.
+model is linear over the presence of hashed lower-case words that the confirmed rows hold clearly more often than
+the unlabelled ones; only the text is an input of a score.
 
 Training rows are those whose crc32 of the id's text is not 0 modulo ``FOLDS``. At most ``POSITIVES`` confirmed
 and ``UNLABELLED`` unlabelled rows are drawn, by hash of the id; both bounds are parameters. The prior is the
@@ -30,9 +31,11 @@ POSITIVES = 4_000
 UNLABELLED = 12_000
 WIDTH = 1 << 20
 SEED = 7
-# Words of the sample that fewer documents hold get no weight.
-LEAST_DOCUMENTS = 8
-STEPS = 600
+# A word is a feature if the confirmed rows hold it so many times as often as the unlabelled ones, by so many
+# standard errors.
+LIFT = 2.0
+ERRORS = 5.0
+STEPS = 3000
 RATE = 0.05
 SHRINK = 1e-3
 
@@ -65,12 +68,19 @@ def sums(weights: np.ndarray, docs: list[np.ndarray]) -> np.ndarray:
     return running[edges[1:]] - running[edges[:-1]]
 
 
+def telling_places(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+    """Places that are clearly more frequent among confirmed documents than among unlabelled ones."""
+    in_p, in_u = (np.bincount(np.concatenate(d), minlength=WIDTH) / len(d) for d in (positive, unlabelled))
+    both = (in_p * len(positive) + in_u * len(unlabelled)) / (len(positive) + len(unlabelled))
+    error = np.sqrt(both * (1 - both) * (1 / len(positive) + 1 / len(unlabelled)))
+    return np.nonzero((in_p >= LIFT * in_u) & (in_p - in_u > ERRORS * np.maximum(error, 1e-12)))[0]
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, seed: int = SEED) -> Model:
     """Non-negative risk with the sigmoid loss, full gradients, Adam steps; deterministic."""
     if not positive or not unlabelled or prior <= 0:
         return Model(np.empty(0, np.int64), np.empty(0), -30.0)
-    held = np.bincount(np.concatenate(positive + unlabelled), minlength=WIDTH)
-    places = np.nonzero(held >= min(LEAST_DOCUMENTS, len(positive)))[0]
+    places = telling_places(positive, unlabelled)
     at = np.full(WIDTH, -1, np.int64)
     at[places] = np.arange(len(places))
 
@@ -95,7 +105,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
             g_p, g_u = -prior * bell_p / n_p - prior * bell_p / n_p, bell_u / n_u
         else:
             g_p, g_u = prior * bell_p / n_p, -bell_u / n_u
-        grad = np.bincount(p_cols, g_p[p_rows], k) + np.bincount(u_cols, g_u[u_rows], k) + SHRINK * w / k
+        grad = np.bincount(p_cols, g_p[p_rows], k) + np.bincount(u_cols, g_u[u_rows], k) + SHRINK * w / max(k, 1)
         grad = np.append(grad, g_p.sum() + g_u.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -131,21 +141,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
-    keep = np.abs(model.weights) > 1e-9
-    # At most WIDTH numbers.
-    places, weights = model.places[keep].astype(np.int32), model.weights[keep].astype(np.float64)
 
     def batch(texts: pd.Series) -> pd.Series:
         table = np.zeros(WIDTH)
-        table[places] = weights
-        return pd.Series(model_score(sums(table, [word_places(t) for t in texts])))
-
-    bias = model.bias
-
-    def model_score(z: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-np.clip(z + bias, -30.0, 30.0)))
+        table[model.places] = model.weights
+        return pd.Series(model.score(sums(table, [word_places(t) for t in texts])))
 
-    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), F.pandas_udf(batch, "double")("text").alias("score"))
+    rated = F.pandas_udf(batch, "double")("text")
+    scored = docs.select("doc_id", held_out("doc_id").alias("held_out"), rated.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
