@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from emberline.llm import content_sort, mixing, packing, pages, rules, simhash, toxicity
+from emberline.llm import content_sort, factors, mixing, packing, pages, repeats, rules, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +48,14 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factors.remove_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_simhash": op3_simhash,
@@ -56,4 +64,6 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_mixing": op8_mixing,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }

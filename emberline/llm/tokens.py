@@ -7,7 +7,9 @@ import os
 import numpy as np
 
 # Entries a worker remembers before it starts anew.
-MEMO = 400_000
+MEMO = 600_000
+# Characters that end a word and never belong to its token.
+TAIL = ".,;:!?#*$%&|<>)]}"
 # Chunks encoded in one call.
 CALL = 2_000
 
@@ -29,6 +31,9 @@ class Encoder:
         self.width = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, number in vocabulary.items():
             self.width[number] = len(token)  # one character stands for one byte
+        # The vocabulary writes a byte as a printable character: itself, or else one above 255, in order.
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.alphabet = dict(zip([b for b in range(256) if b not in plain], range(256, 512), strict=False))
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes | None] = {}
 
@@ -36,26 +41,54 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, parts: list[str]) -> None:
-        good = []
+        """Remembers parts: those that start with a line feed as they are, all others behind a space."""
+        ends, stems = {}, set()
         for p in parts:
-            if not p or p[0].isspace() or any(s in p for s in self.special):
+            if not p or (p[0].isspace() and (p[0] != "\n" or p[1:2].isspace())) or any(s in p for s in self.special):
                 self.memo[p] = None
+                continue
+            stem = p.rstrip(TAIL)
+            # Letters and what follows them are cut apart by the splitter, so the tail is encoded on its own.
+            if stem != p and stem and stem[-1].isalpha():
+                ends[p] = (stem, "\n" + p[len(stem) :])
             else:
-                good.append(p)
-        for a in range(0, len(good), CALL):
-            some = good[a : a + CALL]
-            ids = np.array(
-                self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4"
-            )
-            ends = np.cumsum([1 + len(p.encode()) for p in some])
+                stem = p
+            stems.add(stem)
+        tails = {t for _, t in ends.values()}
+        self.encode_parts([x for x in stems | tails if x not in self.memo])
+        for p, (stem, tail) in ends.items():
+            self.memo[p] = self.memo[stem] + self.memo[tail][4:]  # without the line feed before the tail
+
+    def encode_parts(self, parts: list[str]) -> None:
+        """One word of letters goes to the vocabulary's model at once, all else through its splitter first."""
+        model, mixed = self.tokenizer.model, []
+        for p in parts:
+            if p.isalpha():
+                word = (" " + p).encode().decode("latin-1").translate(self.alphabet)
+                self.memo[p] = np.array([t.id for t in model.tokenize(word)], "<u4").tobytes()
+            else:
+                mixed.append(p)
+        parts = mixed
+        for a in range(0, len(parts), CALL):
+            some = [p if p[0] == "\n" else " " + p for p in parts[a : a + CALL]]
+            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, "<u4")
+            ends = np.cumsum([len(p.encode()) for p in some])
             cuts = np.searchsorted(np.cumsum(self.width[ids]), ends, side="right")
             data, last = ids.tobytes(), 0
-            for p, cut in zip(some, cuts.tolist(), strict=True):
+            for p, cut in zip(parts[a : a + CALL], cuts.tolist(), strict=True):
                 self.memo[p] = data[4 * last : 4 * cut]
                 last = cut
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
+        split = []
+        for t in texts:
+            # A single line feed between non-spaces is a cut too; a run of white space is not.
+            if " \n" in t:
+                split.append(["", ""])  # encoded whole
+            elif "\n" in t and "\n\n" not in t and "\n " not in t and t[-1] != "\n":
+                split.append(t.replace("\n", " \n").split(" "))
+            else:
+                split.append(t.split(" "))
         missing = {p for parts in split for p in parts[1:]} - self.memo.keys()
         if missing:
             if len(self.memo) + len(missing) > MEMO:
