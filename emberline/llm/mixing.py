@@ -63,29 +63,33 @@ def source_budgets(sized: DataFrame) -> DataFrame:
 
 
 def last_words(lengths: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray:
-    """How many to add of each length (at most ``left``) so that their sum comes nearest to ``budget`` from below.
+    """How many to take of each length (at most ``left``) so that their sum comes nearest to ``budget``.
 
-    Bounded knapsack over sums 0..budget. ``used[i, s]`` is the number of copies of length i on the way to s.
+    Bounded knapsack over sums up to one longest length above the budget; of two sums equally near the lower
+    one. ``copies[s]`` is how many of a length stand on the way to sum s.
     """
     take = np.zeros(len(lengths), np.int64)
-    usable = np.nonzero((lengths > 0) & (lengths <= budget) & (left > 0))[0]
-    reached = np.zeros(budget + 1, bool)
+    usable = np.nonzero((lengths > 0) & (left > 0))[0]
+    top = budget + (int(lengths[usable].max()) if len(usable) else 0)
+    reached = np.zeros(top + 1, bool)
     reached[0] = True
     steps: list[tuple[int, np.ndarray]] = []
     for i in usable[::-1]:
         if reached[budget]:
             break
-        length, copies = int(lengths[i]), np.full(budget + 1, -1, np.int32)
+        length, copies = int(lengths[i]), np.full(top + 1, -1, np.int32)
         copies[reached] = 0
-        for s in range(length, budget + 1, length):  # all residues of the length at once
-            here, before = copies[s : s + length], copies[s - length : s][: len(copies[s : s + length])]
+        for s in range(length, top + 1, length):  # all residues of the length at once
+            here = copies[s : s + length]
+            before = copies[s - length : s][: len(here)]
             grow = (here < 0) & (before >= 0) & (before < left[i])
             here[grow] = before[grow] + 1
         now = copies >= 0
         if now.sum() > reached.sum():
             steps.append((int(i), copies))
             reached = now
-    s = int(np.nonzero(reached)[0][-1])
+    sums = np.nonzero(reached)[0]
+    s = int(sums[np.argmin(np.abs(sums - budget))])
     for i, copies in reversed(steps):
         take[i] = copies[s]
         s -= int(copies[s] * lengths[i])
@@ -93,7 +97,7 @@ def last_words(lengths: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray
 
 
 def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come nearest to ``budget`` from below."""
+    """How many documents of each length to take so that their words come nearest to ``budget``."""
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(lengths), np.int64)

@@ -80,6 +80,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     """Non-negative risk with the sigmoid loss, full gradients, Adam steps; deterministic."""
     if not positive or not unlabelled or prior <= 0:
         return Model(np.empty(0, np.int64), np.empty(0), -30.0)
+    prior = min(prior, 1 - 1e-6)
     places = telling_places(positive, unlabelled)
     at = np.full(WIDTH, -1, np.int64)
     at[places] = np.arange(len(places))
