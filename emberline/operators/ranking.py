@@ -12,15 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-MAX_RANGES = 4096
-# Up to this many, one look over all limits is cheaper than two short ones.
-FEW_RANGES = 64
-
-
 def range_count(df: DataFrame) -> int:
-    """How many value ranges to cut: follows the shuffle width of the session, bounded."""
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(MAX_RANGES, width))
+    """How many value ranges to cut where the caller does not say: the shuffle width of the session."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -48,9 +42,6 @@ def with_value_range(
     counted = F.greatest(*[F.col(s) for s in sums], F.lit(0)) >= 0
     limits = df.agg(F.percentile_approx(F.when(counted, F.col(order)), cuts, 10 * ranges).alias("fine"))
     below = lambda values: F.coalesce(F.size(F.filter(values, lambda x: x < F.col(order))), F.lit(0))
-    if ranges <= FEW_RANGES:
-        placed = df.withColumn("_limits", limits.scalar())
-        return placed.withColumn("_range", below(F.col("_limits"))).drop("_limits")
     # Two steps over the square root of the limits each, instead of one over all of them.
     step = math.isqrt(ranges)
     coarse = F.filter("fine", lambda _, i: (i + 1) % step == 0).alias("coarse")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberline.operators.profile import class_balance, rows_counted
@@ -20,10 +22,11 @@ RAW_COLUMNS = [f.name for f in DETECTIONS]
 
 
 def csv_drop(spark: SparkSession, sf_dir: str) -> str:
-    """Detections as a folder of CSV files, with some unreadable times."""
+    """Detections as a folder of CSV files, with some unreadable times and some unreadable brightness values."""
     folder = scratch_path(spark, "drop")
     bad = F.when(F.col("acq_time") % 50 == 7, F.lit("abc")).otherwise(F.lpad(F.col("acq_time").cast("string"), 4, "0"))
-    rows = views.detections(spark, sf_dir).select(*RAW_COLUMNS).withColumn("acq_time", bad)
+    broken = F.when(F.col("acq_time") % 50 == 9, F.lit("12,5x")).otherwise(F.col("brightness").cast("string"))
+    rows = views.detections(spark, sf_dir).select(*RAW_COLUMNS).withColumns({"acq_time": bad, "brightness": broken})
     rows.write.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(folder)
     return folder
 
@@ -34,12 +37,16 @@ def by_day(df: DataFrame) -> DataFrame:
         F.count_if(F.col("acq_time").isNull()).alias("n_bad_time"),
         F.sum("acq_time").alias("sum_time"),
         F.round(F.sum("frp"), 6).alias("sum_frp"),
+        F.count_if(F.col(drops.CORRUPT).isNotNull()).alias("n_corrupt"),
+        F.round(F.sum("brightness"), 6).alias("sum_brightness"),
     )
 
 
 BY_DAY = (
     "SELECT acq_date, count(*) AS n, count(*) FILTER (acq_time % 50 = 7) AS n_bad_time, "
-    "CAST(sum(acq_time) FILTER (acq_time % 50 <> 7) AS BIGINT) AS sum_time, round(sum(frp), 6) AS sum_frp FROM det GROUP BY acq_date"
+    "CAST(sum(acq_time) FILTER (acq_time % 50 <> 7) AS BIGINT) AS sum_time, round(sum(frp), 6) AS sum_frp, "
+    "count(*) FILTER (acq_time % 50 = 9) AS n_corrupt, round(sum(brightness) FILTER (acq_time % 50 <> 9), 6) AS sum_brightness "
+    "FROM det GROUP BY acq_date"
 )
 
 register(
@@ -237,10 +244,12 @@ register("contract_report", "S15 U1", contract_rows, _contract_sql())
 
 
 def balance_by_satellite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class balance of the part of a written table that one satellite holds."""
+    """Class balance by satellite of a table written in one folder per satellite."""
     path = scratch_path(spark, "by-satellite")
     views.labelled(spark, sf_dir).write.partitionBy("satellite").parquet(path)
-    return rounded(typed(class_balance(spark.read.parquet(path).where("satellite = 'N20'")), "int", TARGET), 6, "pct")
+    folders = [r[0] for r in spark.read.parquet(path).select("satellite").distinct().collect()]  # one row per folder
+    parts = [class_balance(spark.read.parquet(path).where(F.col("satellite") == s)).withColumn("satellite", F.lit(s)) for s in folders]
+    return rounded(typed(reduce(DataFrame.unionByName, parts), "int", TARGET), 6, "pct")
 
 
 register(
@@ -249,7 +258,8 @@ register(
     balance_by_satellite,
     sql_with(
         "lab",
-        "SELECT CAST(is_false_alarm AS INTEGER) AS is_false_alarm, n, round(100.0 * n / sum(n) OVER (), 6) AS pct FROM "
-        "(SELECT is_false_alarm, count(*) AS n FROM lab WHERE satellite = 'N20' GROUP BY is_false_alarm)",
+        "SELECT satellite, CAST(is_false_alarm AS INTEGER) AS is_false_alarm, n, "
+        "round(100.0 * n / sum(n) OVER (PARTITION BY satellite), 6) AS pct FROM "
+        "(SELECT satellite, is_false_alarm, count(*) AS n FROM lab GROUP BY ALL)",
     ),
 )

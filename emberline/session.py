@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -35,12 +36,17 @@ def build_session(app: str = "emberline", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a laptop, a test) is a local folder made and set.
+    Only where that setting is absent and all work is on one machine (a local master) is a folder of
+    that machine made and set. Anywhere else a missing setting is an error: executors would write to
+    disks that the others cannot read.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="emberline-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)

@@ -53,24 +53,32 @@ def pending_windows(planned: DataFrame, landed: DataFrame) -> DataFrame:
     return planned.join(landed.select("window_start", "days"), ["window_start", "days"], "left_anti")
 
 
-def ingest_csv(spark: SparkSession, folder: str, schema: T.StructType = DETECTIONS) -> DataFrame:
+CORRUPT = "corrupt_record"
+
+
+def drop_schema(schema: T.StructType, corrupt: str | None = CORRUPT) -> T.StructType:
+    """The schema drops are read with: times as text, and a column for lines that do not fit."""
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "acq_time" else f for f in schema]
+    return T.StructType([*fields, *([T.StructField(corrupt, T.StringType())] if corrupt else [])])
+
+
+def csv_options(corrupt: str | None = CORRUPT) -> dict:
+    kept = {"columnNameOfCorruptRecord": corrupt} if corrupt else {}
+    return {"header": True, "enforceSchema": False, "dateFormat": "yyyy-MM-dd", "pathGlobFilter": "*.csv", **kept}
+
+
+def ingest_csv(
+    spark: SparkSession, folder: str, schema: T.StructType = DETECTIONS, corrupt: str | None = CORRUPT
+) -> DataFrame:
     """All CSV files of a folder as one table. Empty files add nothing.
 
+    A line with a value that does not parse, or with too few or too many fields, stays as a row: what did
+    parse is there, and the column ``corrupt`` holds the whole line (null for sound rows).
+
     ``acq_time`` is read as text first, so that a bad value gives null. The header of every file is
     checked against the schema, so that a file with other columns fails instead of being misread.
     """
-    text_time = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name == "acq_time" else f for f in schema]
-    )
-    rows = (
-        spark.read.schema(text_time)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("pathGlobFilter", "*.csv")
-        .csv(folder)
-    )
-    return normalise_types(rows)
+    return normalise_types(spark.read.schema(drop_schema(schema, corrupt)).options(**csv_options(corrupt)).csv(folder))
 
 
 def area_box(area: str) -> tuple[float, float, float, float] | None:

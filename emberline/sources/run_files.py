@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from emberline.schemas import BENCH_RUNS, STORED_NAMES, STORED_VALUES
 
@@ -40,19 +40,40 @@ def english_names(df: DataFrame) -> DataFrame:
 def read_runs(spark: SparkSession, path: str, schema: T.StructType = BENCH_RUNS) -> DataFrame:
     """A CSV run table by header name; an empty table when the path does not exist.
 
-    Columns the file lacks are null, columns the schema does not name are left out.
+    Columns the file lacks are null, columns the schema does not name are left out. Whole numbers may be
+    written with a decimal point. Files of one table must agree in their header. What does not parse becomes
+    null; :func:`unparsed_values` counts it.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    text = english_names(spark.read.option("header", True).csv(path))
+    text = runs_as_text(spark, path)
     return text.select(
-        *[
-            (F.col(f.name) if f.name in text.columns else F.lit(None)).try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
+        *[parsed(F.col(f.name), f.dataType).alias(f.name) if f.name in text.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
     )
 
 
+def runs_as_text(spark: SparkSession, path: str) -> DataFrame:
+    return english_names(spark.read.option("header", True).option("enforceSchema", False).csv(path))
+
+
+def parsed(text: Column, kind: T.DataType) -> Column:
+    if not isinstance(kind, T.IntegralType):
+        return text.try_cast(kind)
+    number = text.try_cast("decimal(38,6)")
+    return F.coalesce(text.try_cast(kind), F.when(number == F.floor(number), number.try_cast(kind)))
+
+
+def unparsed_values(spark: SparkSession, path: str, schema: T.StructType = BENCH_RUNS) -> DataFrame:
+    """(column, n): per column of the schema that the files have, values that are text but not of its type."""
+    text = runs_as_text(spark, path)
+    counts = [
+        F.struct(F.lit(f.name).alias("column"), F.count_if(F.col(f.name).isNotNull() & parsed(F.col(f.name), f.dataType).isNull()).alias("n"))
+        for f in schema
+        if f.name in text.columns
+    ]
+    return text.agg(F.array(*counts).alias("c")).select(F.inline("c"))
+
+
 def write_metrics_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

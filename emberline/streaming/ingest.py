@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from emberline.functions.features import normalise_types
 from emberline.schemas import DETECTIONS
+from emberline.sources.drops import csv_options, drop_schema
 
 
 def ingest_stream(
@@ -20,18 +21,10 @@ def ingest_stream(
     """Append every file that is new since the last run, once, then stop.
 
     Files already taken are kept in the checkpoint, so a run that was cut off resumes where it
-    stopped, and the file sink publishes each batch as a whole.
+    stopped, and the file sink publishes each batch as a whole. Lines that do not fit the schema are kept
+    as by :func:`emberline.sources.drops.ingest_csv`.
     """
-    text_time = T.StructType(
-        [T.StructField(f.name, T.StringType()) if f.name == "acq_time" else f for f in schema]
-    )
-    reader = (
-        spark.readStream.schema(text_time)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("dateFormat", "yyyy-MM-dd")
-        .option("pathGlobFilter", "*.csv")
-    )
+    reader = spark.readStream.schema(drop_schema(schema)).options(**csv_options())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     rows = normalise_types(reader.csv(folder)).withColumn("ingested_from", F.col("_metadata.file_name"))

@@ -26,7 +26,7 @@ def test_ingest_skips_empty_files(spark, tmp_path):
     (tmp_path / "firms_2026-01-21_10d.csv").write_text("")
     drop(tmp_path, "notes.txt", "not a table")
     got = drops.ingest_csv(spark, str(tmp_path))
-    assert got.schema == DETECTIONS
+    assert got.drop(drops.CORRUPT).schema == DETECTIONS
     assert sorted((r.acq_time for r in got.collect()), key=str) == [130, None, None]
     assert got.first().acq_date == date(2026, 1, 2)
 
@@ -152,3 +152,47 @@ def test_model_table_is_written_and_read_back(spark, small, tmp_path):
     assert spark.read.parquet(out).columns[-1] == "is_false_alarm" and len(spark.read.parquet(out).columns) == 12
     assert balance.collect() == class_balance(spark.read.parquet(out)).collect()
     assert list((tmp_path / "out").glob("*.snappy.parquet"))
+
+
+def test_lines_that_do_not_fit_are_kept_and_marked(spark, tmp_path):
+    drop(tmp_path, "a.csv", HEADER, line(), line().replace("300.0", "hot"), "1.5,2.5,300.0", line() + ",more")
+    got = drops.ingest_csv(spark, str(tmp_path)).collect()
+    marked = [r for r in got if r[drops.CORRUPT] is not None]
+    assert len(got) == 4 and len(marked) == 3
+    assert {r[drops.CORRUPT] for r in marked} == {line().replace("300.0", "hot"), "1.5,2.5,300.0", line() + ",more"}
+    assert next(r for r in marked if "hot" in r[drops.CORRUPT]).frp == 3.5
+
+
+def test_whole_numbers_with_a_decimal_point(spark, tmp_path):
+    (tmp_path / "runs.csv").write_text(
+        "backend,threads,time_s,rows\npolars,8.0,1.5,11026780.0\ndask,8.5,2,x\npandas,,3,9007199254740993\n"
+    )
+    got = {r.backend: r for r in run_files.read_runs(spark, str(tmp_path)).collect()}
+    assert (got["polars"].threads, got["polars"].rows) == (8, 11026780)
+    assert got["dask"].threads is None and got["dask"].rows is None
+    assert got["pandas"].threads is None and got["pandas"].rows == 9007199254740993
+    lost = {r.column: r.n for r in run_files.unparsed_values(spark, str(tmp_path)).collect()}
+    assert lost == {"backend": 0, "threads": 1, "time_s": 0, "rows": 1}
+
+
+def test_positions_over_many_files_shuffle_no_rows(spark, tmp_path):
+    spark.range(1000).repartition(40).write.parquet(str(tmp_path / "t"))
+    placed = tables.with_file_position(spark, str(tmp_path / "t"))
+    assert sorted(r.position for r in placed.collect()) == list(range(1000))
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from emberline import session
+
+    for master, fails in (("yarn", True), ("spark://host:7077", True), ("local-cluster[2,1,1024]", True), ("local[8]", False)):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None)
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
+        if fails:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                session.shared_folder(fake)
+        else:
+            assert session.shared_folder(fake)
