@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from emberline.llm import anchors as A
-from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed, lists, original_id, record
+from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed, lists, original_id, record, sampled, with_facts
 
 LENGTH = 200
 GRAM = 40
-GROUP = 2_000
+GROUP = 1_000
 # Spans gathered before a task sorts them, and suffixes sorted at a time (whole groups).
 SPAN_BYTES = 2_000_000
-SUFFIXES = 60_000
+SUFFIXES = 30_000
 
 
 # ---- anchors --------------------------------------------------------------------------------------
@@ -122,15 +122,18 @@ def intervals(common: list[int], before: list[int], least: int) -> Iterator[tupl
 def sorted_suffixes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, group: np.ndarray):
     """Order of the suffixes [begin, end) by group and bytes, and the common prefix of each with the one before."""
     width = int((end - begin).max())
-    grid = begin[:, None] + np.arange(width)
-    table = np.zeros((len(begin), width + 4), np.uint8)
+    low = int(begin.min())
+    part = np.concatenate((data[low : int(end.max())], np.zeros(width, np.uint8)))
+    table = np.empty((len(begin), width + 4), np.uint8)
     table[:, :4] = group.astype(">u4").view(np.uint8).reshape(-1, 4)
-    table[:, 4:] = np.where(grid < end[:, None], data[np.minimum(grid, len(data) - 1)], 0)
+    table[:, 4:] = np.lib.stride_tricks.sliding_window_view(part, width)[begin - low]
+    table[:, 4:] *= np.arange(width) < (end - begin)[:, None]
     order = np.argsort(table.view(f"S{width + 4}").ravel(), kind="stable")
     table, size = table[order], (end - begin)[order]
     common = np.zeros(len(order), np.int64)
     differ = table[1:] != table[:-1]
     first = np.where(differ.any(1), differ.argmax(1), width + 4) - 4
+    del table, differ
     common[1:] = np.clip(np.minimum(first, np.minimum(size[1:], size[:-1])), 0, None)
     return order, common
 
@@ -231,16 +234,15 @@ def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(did, th, b, e): byte ranges of texts (did, th, data) that repeated strings cover."""
-    anchors = texts.mapInArrow(anchor_rows, "h long, c long, did long, th int, at int, n int")
-    shared = (
-        anchors.groupBy("h")
-        .agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("c0"), F.max("c").alias("c1"))
-        .where("k > 1")
-        .select("h", (F.col("c0") != F.col("c1")).alias("open"), (F.col("k") > GROUP).alias("hot"))
-    )
-    known = anchors.drop("c").join(shared, "h")
-    same = known.where("NOT open").select(*KEY, F.col("at").alias("b"), (F.col("at") + F.col("n") + LENGTH).alias("e"))
-    wanted = known.where("open").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "h", "hot")).alias("s"))
+    schema = "h long, c long, did long, th int, at int, n int"
+    anchors, some = (t.mapInArrow(anchor_rows, schema) for t in (texts, sampled(texts)))
+    facts = {"k": F.count(F.lit(1)), "c0": F.min("c"), "c1": F.max("c")}
+    merge = {"k": F.sum("k"), "c0": F.min("c0"), "c1": F.max("c1")}
+    # The conditions are wrapped so that both parts read one and the same shuffle.
+    known = with_facts(anchors, some, facts, merge).where("coalesce(k > 1, false)")
+    known = known.withColumn("hot", F.col("k") > GROUP)
+    same = known.where("coalesce(c0 = c1, false)").select(*KEY, F.col("at").alias("b"), (F.col("at") + F.col("n") + LENGTH).alias("e"))
+    wanted = known.where("coalesce(c0 <> c1, false)").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "h", "hot")).alias("s"))
     wanted = wanted.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "h", "hot")])
     spans = texts.join(wanted, KEY).mapInArrow(span_rows, "h long, span binary, did long, th int, at int")
     spans = spans.withColumns({"k1": F.xxhash64("span"), "k2": F.xxhash64(F.lit(1), "span")})

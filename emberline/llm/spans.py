@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from emberline.session import cut_lineage
+
 #: Units of text (bytes) that a task turns into arrays at a time, or one text.
 AT_ONCE = 1_000_000
 KEY = ["did", "th"]
@@ -19,11 +21,38 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("did"),
-        F.hash(data).alias("th"),
+        F.hash(data).bitwiseAND(F.lit(0xFFFF)).alias("th"),
         data.alias("data"),
     )
 
 
+def with_facts(rows: DataFrame, sample: DataFrame, facts: dict[str, Column], merge: dict[str, Column]) -> DataFrame:
+    """``rows`` (h, did, th, ...) with aggregates over all rows of their h, at the cost of one shuffle of the rows.
+
+    ``merge`` puts the aggregates ``facts`` of two parts of an h together. A value of h that fills more than a
+    quarter of a partition by the ``sample`` of rows is dealt over several tasks by text, so a hot value is never
+    in one task. At most four times as many values as partitions can be that hot, so their list and their merged
+    facts are broadcast. The sample decides on the dealing only; the facts are of all rows.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = cut_lineage(sample.groupBy("h").agg(F.count(F.lit(1)).alias("k")))
+    total = counts.agg(F.sum("k")).head()[0] or 1
+    share = F.col("k") * F.lit(4.0 * parts / total)
+    hot = counts.where((share > 1) & (F.col("k") > 1)).select("h", F.ceil(share).cast("int").alias("salts"))
+    salt = F.coalesce(F.pmod(F.xxhash64(*KEY), F.col("salts")), F.lit(-1)).cast("int")
+    dealt = rows.join(F.broadcast(hot), "h", "left").withColumn("salt", salt).drop("salts").repartition("h", "salt")
+    local = dealt.groupBy("h", "salt").agg(*[c.alias(name) for name, c in facts.items()])
+    whole = local.where("salt >= 0").groupBy("h").agg(*[c.alias(f"all_{name}") for name, c in merge.items()])
+    joined = dealt.join(local, ["h", "salt"]).join(F.broadcast(whole), "h", "left")
+    chosen = {name: F.coalesce(F.when(F.col("salt") >= 0, F.col(f"all_{name}")), F.col(name)) for name in facts}
+    return joined.withColumns(chosen).drop("salt", *[f"all_{name}" for name in facts])
+
+
+def sampled(texts: DataFrame) -> DataFrame:
+    """Texts whose anchors tell which ones are hot: every 32nd by hash."""
+    return texts.where(F.pmod(F.xxhash64(*KEY), F.lit(32)) == 0)
+
+
 def original_id(name: str = "did") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name))
 
