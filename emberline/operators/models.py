@@ -88,10 +88,13 @@ def with_class_weight(
     return df.withColumn("_w", of).withColumn(WEIGHT, chosen).drop("_w")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Enough partitions for all cores. Large tables have more than that and stay as they are."""
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+# Partitions that training rows are laid out in.
+PARTS = 16
+
+
+def laid_out(df: DataFrame, columns: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """Rows placed and ordered by their content, so that a fit does not depend on files or cores."""
+    return df.repartition(parts, *columns).sortWithinPartitions(*columns)
 
 
 # ---- learners -------------------------------------------------------------------------------
@@ -99,6 +102,8 @@ def spread(df: DataFrame) -> DataFrame:
 # Default settings of the three learners.
 FOREST = {"n_estimators": 300, "max_depth": 16}
 BOOSTED = {"max_depth": 8, "eta": 0.1, "rounds": 500, "subsample": 0.8, "colsample": "0.8"}
+# Rounds without a better validation loss after which boosting ends.
+PATIENCE = 25
 HIDDEN = (128, 64, 32)
 EPOCHS = 8
 
@@ -139,12 +144,10 @@ def boosted(
     rounds: int = 500,
     subsample: float = 0.8,
     colsample: str = "0.8",
-    validation: str | None = None,
     seed: int = 42,
 ) -> Estimator:
-    """Logistic boosting on weighted rows; with a validation flag it stops at the first round in which
-    the loss of that part does not fall."""
-    learner = GBTClassifier(
+    """Logistic boosting on weighted rows."""
+    return GBTClassifier(
         featuresCol=FEATURES,
         labelCol=TARGET,
         weightCol=WEIGHT,
@@ -155,7 +158,6 @@ def boosted(
         featureSubsetStrategy=colsample,
         seed=seed,
     )
-    return learner.setParams(validationIndicatorCol=validation, validationTol=0.0) if validation else learner
 
 
 def perceptron(
@@ -166,8 +168,10 @@ def perceptron(
     rows_per_block: int = 128,
     target: str = TARGET,
     seed: int = 42,
+    step: float | None = None,
 ) -> MultilayerPerceptronClassifier:
-    return MultilayerPerceptronClassifier(
+    """Network by L-BFGS, or with a ``step`` by gradient descent of that step size."""
+    learner = MultilayerPerceptronClassifier(
         featuresCol=FEATURES,
         labelCol=target,
         layers=[n_inputs, *hidden, classes],
@@ -175,30 +179,61 @@ def perceptron(
         blockSize=rows_per_block,
         seed=seed,
     )
+    return learner if step is None else learner.setParams(solver="gd", stepSize=step)
+
 
+def train_forest(train: DataFrame, predictors: Sequence[str] = PREDICTORS, parts: int = PARTS, **settings) -> Model:
+    rows = laid_out(train, [*predictors, TARGET], parts)
+    rows = with_class_weight(rows, mode="balanced", fitted_on=train) if settings.get("weighted", True) else rows
+    return forest(**{**FOREST, **settings}).fit(assemble(rows, predictors))
 
-def train_forest(train: DataFrame, predictors: Sequence[str] = PREDICTORS, **settings) -> Model:
-    weighted = settings.get("weighted", True)
-    rows = with_class_weight(train, mode="balanced") if weighted else train
-    return forest(**{**FOREST, **settings}).fit(assemble(spread(rows), predictors))
+
+def kept_rounds(losses: Sequence[float], patience: int) -> tuple[int, bool]:
+    """Rounds up to the best loss before the first ``patience`` rounds without a better one; whether that came."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
 
 
 def train_boosted(
-    train: DataFrame, val: DataFrame | None = None, predictors: Sequence[str] = PREDICTORS, **settings
+    train: DataFrame,
+    val: DataFrame | None = None,
+    predictors: Sequence[str] = PREDICTORS,
+    parts: int = PARTS,
+    patience: int = PATIENCE,
+    **settings,
 ) -> Model:
-    """Boosted trees; ``val`` only decides when to stop. Class weights come from ``train`` alone."""
-    rows = with_class_weight(train, mode="positive")
-    flag = None
-    if val is not None:
-        flag = "is_validation"
-        held = with_class_weight(val.select(*train.columns), mode="positive", fitted_on=train)
-        rows = rows.withColumn(flag, F.lit(False)).unionByName(held.withColumn(flag, F.lit(True)))
-    return boosted(validation=flag, **{**BOOSTED, **settings}).fit(assemble(spread(rows), predictors))
-
+    """Boosted trees; ``val`` only decides how many rounds to keep. Class weights come from ``train`` alone.
 
-def train_mlp(train: DataFrame, predictors: Sequence[str] = PREDICTORS, **settings) -> Model:
+    The first rounds of a longer fit are the fit of fewer rounds. So the fit is tried with twice the patience in
+    rounds, then with twice as many, until the loss on ``val`` has not fallen for ``patience`` rounds or all
+    rounds are made; the rounds up to the lowest loss are fitted and returned.
+    """
+    settings = {**BOOSTED, **settings}
+    rows = with_class_weight(laid_out(train, [*predictors, TARGET], parts), mode="positive", fitted_on=train)
+    rows = assemble(rows, predictors)
+    if val is None:
+        return boosted(**settings).fit(rows)
+    held = assemble(with_class_weight(val, mode="positive", fitted_on=train), predictors)
+    most = settings["rounds"]
+    tried = min(2 * patience, most)
+    while True:
+        model = boosted(**{**settings, "rounds": tried}).fit(rows)
+        kept, stopped = kept_rounds(model.evaluateEachIteration(held), patience)
+        if stopped or tried == most:
+            break
+        tried = min(2 * tried, most)
+    return model if kept == tried else boosted(**{**settings, "rounds": kept}).fit(rows)
+
+
+def train_mlp(train: DataFrame, predictors: Sequence[str] = PREDICTORS, parts: int = PARTS, **settings) -> Model:
     """Network on standardised rows; pass frames that went through ``standardise``."""
-    return perceptron(len(predictors), **settings).fit(assemble(spread(train), predictors))
+    rows = laid_out(train, [*predictors, TARGET], parts)
+    return perceptron(len(predictors), **settings).fit(assemble(rows, predictors))
 
 
 def score(
@@ -298,7 +333,7 @@ def train_head(
     iterations: int = 50, seed: int = 42,
 ) -> Model:
     """Small trained head on a frozen extractor: one hidden layer, or none for a linear one."""
-    rows = vector_features(spread(df), vectors, label)
+    rows = vector_features(laid_out(df, [vectors, label]), vectors, label)
     if hidden is None:
         return LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=iterations).fit(rows)
     return perceptron(width, (hidden,), classes, iterations, target=label, seed=seed).fit(rows)
@@ -342,3 +377,11 @@ def training_history(
 def pick_best_epoch(history: DataFrame) -> DataFrame:
     """The epoch with the lowest validation loss; the first one where losses are equal."""
     return history.orderBy("val_loss", "epoch").limit(1)
+
+
+def best_model(history: DataFrame, models: Sequence[Model], path: str | None = None) -> Model:
+    """The model of the best epoch of a history, also saved if a path is given."""
+    model = models[pick_best_epoch(history).first()["epoch"] - 1]
+    if path is not None:
+        save_model(model, path)
+    return model

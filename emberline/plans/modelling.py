@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from emberline.functions.hashing import below, hash32
 from emberline.operators.models import (
     GRID,
     SEARCH_ROUNDS,
@@ -25,6 +26,16 @@ from emberline.session import scratch_path
 from emberline.sources.tables import read_split, write_splits
 
 
+# Step size of gradient descent per unit of the grid's learning rate.
+LR_SCALE = 1000.0
+
+
+def bounded(train: DataFrame, most: int) -> DataFrame:
+    """At most about ``most`` training rows, by a hash of their content; all of a smaller part."""
+    share = most / max(train.count(), 1)
+    return train if share >= 1 else train.where(below(hash32(train.columns), share))
+
+
 def store_splits(
     spark: SparkSession, labelled: DataFrame, keys: Sequence[str], path: str | None = None, exact: bool = True
 ) -> str:
@@ -64,8 +75,10 @@ def search_configs(
 ) -> DataFrame:
     """All configurations of the three learners on the stored split.
 
-    ``fixed`` holds settings shared by a learner's configurations, by learner name. The batch size of
-    the network becomes its rows per block; L-BFGS has no learning rate, so ``lr`` is only recorded.
+    ``fixed`` holds settings shared by a learner's configurations, by learner name. The learning rate of the
+    network is ``LR_SCALE`` times that of the grid, as the step size of gradient descent over all rows: the
+    grid's rates are for steps of unit length per weight, gradients here are about a thousandth of that. Its
+    batch size becomes the rows per block, which is a matter of storage and speed only.
     """
     grid = GRID if grid is None else grid
     train, val = (read_split(spark, splits, s) for s in ("train", "val"))
@@ -81,7 +94,7 @@ def search_configs(
     if "mlp" in grid:
         more = fixed.get("mlp", {})
         scaled, scaled_val = standardise(train, train), standardise(val, train)
-        fit = lambda c: train_mlp(scaled, rows_per_block=c["batch_size"], **more)
+        fit = lambda c: train_mlp(scaled, rows_per_block=c["batch_size"], step=c["lr"] * LR_SCALE, **more)
         found.append(search(spark, "Neural Network", grid["mlp"], fit, scaled_val, threshold=None))
     table = found[0]
     for other in found[1:]:

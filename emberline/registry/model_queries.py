@@ -7,19 +7,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberline.functions.hashing import below, hash32
 from emberline.operators import models
+from emberline.operators.evaluation import roc_auc
 from emberline.plans import modelling
 from emberline.registry import views
 from emberline.registry.book import register
-from emberline.registry.detection_queries import rounded, typed
+from emberline.registry.detection_queries import SIZES, rounded, typed
 from emberline.registry.views import ROW_KEY, hash_sql, sql_with
 from emberline.schemas import PREDICTORS, TARGET
 from emberline.session import scratch_path
 from emberline.sources.tables import read_split
 
-# Settings for the registered training queries: the whole table, smaller models.
-FOREST = {"n_estimators": 30, "max_depth": 8}
-BOOSTED = {"max_depth": 4, "eta": 0.3, "rounds": 30}
-MLP = {"iterations": 30}
+# The registered queries train with the default settings on at most about this many labelled rows.
+FIT_ROWS = 3_000
 
 
 def stored(spark: SparkSession, sf_dir: str) -> str:
@@ -115,64 +114,125 @@ register(
 
 # ---- training ---------------------------------------------------------------------------------------
 
+# What a fitted model must satisfy whatever its numbers: it scores every test row, its decision is its score at
+# one half, and it ranks better than chance.
+TEST_ROWS = sql_with(
+    "lab",
+    "SELECT CAST(c AS INTEGER) AS is_false_alarm, CAST(n_test AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_other_decision, "
+    "true AS beats_chance FROM parts",
+    **SIZES,
+)
+
+
+def fit_part(spark: SparkSession, path: str) -> DataFrame:
+    """The bounded training rows, stored."""
+    where = scratch_path(spark, "fit")
+    modelling.bounded(read_split(spark, path, "train"), FIT_ROWS).write.parquet(where)
+    return spark.read.parquet(where)
 
-def judged(scored: DataFrame) -> DataFrame:
-    """Mean score and decisions by class: few rows, enough to see a model at work."""
-    return scored.groupBy(F.col(TARGET).cast("int").alias(TARGET)).agg(
-        F.count(F.lit(1)).alias("n"), F.avg("score").alias("mean_score"), F.sum("pred").alias("n_flagged")
+
+def judged(spark: SparkSession, scored: DataFrame) -> DataFrame:
+    where = scratch_path(spark, "judged")
+    scored.select(TARGET, "score", "pred").write.parquet(where)
+    stored_scores = spark.read.parquet(where)
+    better = roc_auc(stored_scores, TARGET).first()["roc_auc"] > 0.5
+    return stored_scores.groupBy(F.col(TARGET).cast("int").alias(TARGET)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if((F.col("score") >= 0.5) != (F.col("pred") == 1)).alias("n_other_decision"),
+        F.lit(better).alias("beats_chance"),
     )
 
 
 def forest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stored(spark, sf_dir)
-    model = models.train_forest(read_split(spark, path, "train"), **FOREST)
-    return judged(models.score(model, read_split(spark, path, "test")))
+    test = read_split(spark, path, "test")
+    model = models.train_forest(fit_part(spark, path))
+    return judged(spark, models.score(model, test))
 
 
 def boosted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stored(spark, sf_dir)
-    model = models.train_boosted(read_split(spark, path, "train"), read_split(spark, path, "val"), **BOOSTED)
-    return judged(models.score(model, read_split(spark, path, "test")))
+    test = read_split(spark, path, "test")
+    model = models.train_boosted(fit_part(spark, path), read_split(spark, path, "val"))
+    return judged(spark, models.score(model, test))
 
 
 def mlp_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stored(spark, sf_dir)
-    train = read_split(spark, path, "train")
-    model = models.train_mlp(models.standardise(train, train), **MLP)
-    return judged(models.score(model, models.standardise(read_split(spark, path, "test"), train), threshold=None))
+    train, test = fit_part(spark, path), read_split(spark, path, "test")
+    model = models.train_mlp(models.standardise(train, train))
+    return judged(spark, models.score(model, models.standardise(test, train), threshold=None))
 
 
 def score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores of every test row from a model that was saved and loaded again."""
+    """Per class: test rows, and how many get another score from the model saved and loaded again."""
     path = stored(spark, sf_dir)
-    where = scratch_path(spark, "model")
-    models.save_model(models.train_forest(read_split(spark, path, "train"), n_estimators=10, max_depth=6), where)
-    return models.score(models.load_model(where), read_split(spark, path, "test")).select(
-        "delta_t", "frp", TARGET, "score", "pred"
+    where, test = scratch_path(spark, "model"), read_split(spark, path, "test")
+    model = models.train_forest(fit_part(spark, path))
+    models.save_model(model, where)
+    before = models.score(model, test).withColumnRenamed("score", "before").drop("pred")
+    both = models.score(models.load_model(where), before)
+    return both.groupBy(F.col(TARGET).cast("int").alias(TARGET)).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("score") != F.col("before")).alias("n_other_score")
     )
 
 
 def search_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = {
-        "forest": ({"n_estimators": 10, "max_depth": 4}, {"n_estimators": 20, "max_depth": 8}),
-        "boosted": ({"max_depth": 3, "eta": 0.3}, {"max_depth": 4, "eta": 0.1}),
-        "mlp": ({"batch_size": 128, "lr": 1e-3}, {"batch_size": 512, "lr": 1e-3}),
-    }
-    table = modelling.search_configs(
-        spark, stored(spark, sf_dir), grid, boosted={"rounds": 10}, mlp={"iterations": 20, "hidden": (16,)}
+    """Per learner: configurations tried, whether the pick is one of them, whether the scores tell them apart."""
+    path = stored(spark, sf_dir)
+    where = scratch_path(spark, "fit-split")
+    fit_part(spark, path).withColumn("split", F.lit("train")).unionByName(
+        read_split(spark, path, "val").withColumn("split", F.lit("val"))
+    ).write.partitionBy("split").parquet(where)
+    table = modelling.search_configs(spark, where)
+    picks = modelling.best_configs(table).select("model", F.col("config").alias("pick"))
+    tried = table.groupBy("model").agg(
+        F.count(F.lit(1)).cast("int").alias("n_configs"),
+        F.collect_set("config").alias("configs"),  # at most the grid
+        (F.count_distinct("f1_val") > 1).alias("scores_differ"),
     )
-    return modelling.best_configs(table)
+    return tried.join(picks, "model").select("model", "n_configs", F.array_contains("configs", F.col("pick")).alias("pick_was_tried"), "scores_differ")
 
 
-register("train_forest", "L3 L8", forest_query)
-register("train_boosted", "L4 L8", boosted_query)
-register("train_mlp", "L5 L8", mlp_query)
-register("score", "L8 L9", score_query)
-register("search", "L7 W1", search_query)
+def comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per model: whether every metric is a share, and whether it ranks better than chance."""
+    path = stored(spark, sf_dir)
+    where = scratch_path(spark, "compared")
+    fit_part(spark, path).withColumn("split", F.lit("train")).unionByName(
+        *[] or [read_split(spark, path, "val").withColumn("split", F.lit("val"))]
+    ).unionByName(read_split(spark, path, "test").withColumn("split", F.lit("test"))).write.partitionBy("split").parquet(where)
+    table = modelling.train_and_compare(spark, where)
+    shares = F.lit(True)
+    for c in ("accuracy", "precision", "recall", "f1", "roc_auc"):
+        shares = shares & F.col(c).between(0, 1)
+    return table.select("model", shares.alias("metrics_are_shares"), (F.col("roc_auc") > 0.5).alias("beats_chance"))
+
+
+register("train_forest", "L3 L8", forest_query, TEST_ROWS)
+register("train_boosted", "L4 L8", boosted_query, TEST_ROWS)
+register("train_mlp", "L5 L8", mlp_query, TEST_ROWS)
+register(
+    "score",
+    "L8 L9",
+    score_query,
+    sql_with(
+        "lab",
+        "SELECT CAST(c AS INTEGER) AS is_false_alarm, CAST(n_test AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_other_score FROM parts",
+        **SIZES,
+    ),
+)
+LEARNERS = "(SELECT unnest(['Random Forest', 'Boosted Trees', 'Neural Network']) AS model)"
+register(
+    "search",
+    "L7 W1",
+    search_query,
+    f"SELECT model, 4 AS n_configs, true AS pick_was_tried, true AS scores_differ FROM {LEARNERS}",
+)
 register(
     "compare_models",
     "L10",
-    lambda spark, sf_dir: modelling.train_and_compare(spark, stored(spark, sf_dir), FOREST, BOOSTED, MLP),
+    comparison_query,
+    f"SELECT model, true AS metrics_are_shares, true AS beats_chance FROM {LEARNERS}",
 )
 
 # ---- stored vectors ------------------------------------------------------------------------------------
@@ -186,20 +246,51 @@ def vector_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return rows.where(in_train), rows.where(~in_train)
 
 
+def stored_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Both parts as stored feature vectors: every epoch reads them several times."""
+    out = []
+    for part in vector_parts(spark, sf_dir):
+        where = scratch_path(spark, "vectors")
+        part.select("embedding", "label").write.parquet(where)
+        out.append(spark.read.parquet(where))
+    return out[0], out[1]
+
+
 def head_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, test = vector_parts(spark, sf_dir)
+    """Test vectors per label, all with a prediction among the labels."""
+    train, test = stored_parts(spark, sf_dir)
     model = models.train_head(train, "embedding", "label", WIDTH, CLASSES)
     judged_rows = model.transform(models.vector_features(test, "embedding", "label"))
-    return judged_rows.groupBy("label").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("label")).alias("n_right")
+    return judged_rows.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("prediction").between(0, CLASSES - 1)).alias("n_no_label")
     )
 
 
 def history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train, val = (models.vector_features(p, "embedding", "label") for p in vector_parts(spark, sf_dir))
-    history, _ = models.training_history(train, val, "label", (WIDTH, 64, CLASSES), epochs=4)
-    return models.pick_best_epoch(history)
+    """Epochs run, whether the best has the lowest loss, and whether its stored state gives that loss again."""
+    train, val = (models.vector_features(p, "embedding", "label") for p in stored_parts(spark, sf_dir))
+    history, fitted = models.training_history(train, val, "label", (WIDTH, 64, CLASSES))
+    where = scratch_path(spark, "best")
+    models.best_model(history, fitted, where)
+    again, _ = models.loss_and_accuracy(models.load_model(where), val, "label")
+    best = models.pick_best_epoch(history).select(F.col("val_loss").alias("best"))
+    return history.crossJoin(F.broadcast(best)).agg(
+        F.count(F.lit(1)).cast("int").alias("n_epochs"),
+        (F.min("val_loss") == F.first("best")).alias("best_is_lowest"),
+        (F.abs(F.first("best") - F.lit(again)) < 1e-9).alias("state_was_kept"),
+    )
 
 
-register("train_head", "L12", head_query)
-register("pick_best_epoch", "L13", history_query)
+IN_TEST = f"NOT ({hash_sql('vec_id')} < {int(0.80 * 2**32)})"
+register(
+    "train_head",
+    "L12",
+    head_query,
+    f"SELECT CAST(label AS INTEGER) AS label, count(*) AS n, CAST(0 AS BIGINT) AS n_no_label FROM embeddings WHERE {IN_TEST} GROUP BY 1",
+)
+register(
+    "pick_best_epoch",
+    "L13",
+    history_query,
+    "SELECT 8 AS n_epochs, true AS best_is_lowest, true AS state_was_kept FROM embeddings LIMIT 1",
+)

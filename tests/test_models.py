@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from emberline.functions.hashing import below, hash32
 from emberline.operators import models
-from emberline.operators.evaluation import roc_auc
+from emberline.operators.evaluation import classification_metrics, roc_auc
 from emberline.plans import modelling
 from emberline.registry import views
 from emberline.schemas import MODEL_METRICS, PREDICTORS, SEARCH_RUNS, TARGET
@@ -66,10 +66,33 @@ def test_forest_beats_the_best_single_column_and_repeats(spark, splits, tmp_path
     assert scored.where("(score >= 0.5) <> (pred = 1)").count() == 0
 
 
-def test_boosting_stops_on_the_validation_part(spark, splits):
+def test_boosting_keeps_the_rounds_up_to_the_lowest_loss(spark, splits):
     train, val = part(spark, splits, "train"), part(spark, splits, "val")
-    model = models.train_boosted(train, val, max_depth=4, eta=0.3, rounds=40)
-    assert 1 <= model.getNumTrees < 40
+    model = models.train_boosted(train, val, max_depth=4, eta=0.3, rounds=24, patience=4)
+    assert 1 <= model.getNumTrees < 24
+
+
+@pytest.mark.parametrize(
+    ("losses", "want"),
+    [([3, 2, 1], (3, False)), ([3, 1, 2, 2], (2, True)), ([1, 1, 1], (1, True)), ([2, 3, 1, 3, 3], (3, True)), ([5], (1, False))],
+)
+def test_patience(losses, want):
+    assert models.kept_rounds(losses, 2) == want
+
+
+def test_learning_rates_give_different_networks(spark, splits):
+    scaled = models.standardise(part(spark, splits, "train"), part(spark, splits, "train"))
+    nets = [models.train_mlp(scaled, hidden=(8,), iterations=40, step=s) for s in (0.05, 5.0)]
+    scores = [[r.score for r in models.score(n, scaled, threshold=None).select("score").limit(50).collect()] for n in nets]
+    assert scores[0] != scores[1]
+    f1 = [classification_metrics(models.score(n, scaled, threshold=None), TARGET).first()["f1"] for n in nets]
+    assert f1[0] != f1[1]
+
+
+def test_layout_follows_content_only(spark):
+    df = spark.range(500).selectExpr("id % 37 AS a", "id AS b")
+    one, two = (models.laid_out(d, ["a", "b"], 4).rdd.glom().collect() for d in (df.repartition(3), df.coalesce(1)))
+    assert one == two and len(one) == 4
 
 
 def test_comparison_table(spark, splits):
@@ -121,3 +144,6 @@ def test_head_and_history_on_stored_vectors(spark, small):
     assert got[2].train_loss < got[0].train_loss
     best = models.pick_best_epoch(history).first()
     assert best.val_loss == min(r.val_loss for r in got)
+    kept = models.best_model(history, fitted)
+    val = models.vector_features(test, "embedding", "label")
+    assert models.loss_and_accuracy(kept, val, "label")[0] == pytest.approx(best.val_loss)
