@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from emberline.llm import content_sort, factors, mixing, packing, pages, repeats, rules, simhash, toxicity
+from emberline.llm import co_training, content_sort, factors, mixing, packing, pages, repeats, rules, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co_training.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_co_training": op2_co_training,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_main_text": op5_main_text,
