@@ -2,7 +2,9 @@
 
 Texts are normalised by deleting white space. The normalised bytes are range-partitioned by sampled
 splitters and sorted (externally, when they do not fit), which makes equal texts neighbours; the window
-over them starts a new group wherever a row's full text differs from its neighbour's.
+over them starts a new group wherever a row's full text differs from its neighbour's. The order is by the first
+``LEAD`` characters, then by a hash of the text, then by the whole text: the splitters, which pass the driver, stay
+short, and texts that share a long beginning still spread over partitions.
 
 Groups that hold more rows than a fair share of one partition are found beforehand by counting digests.
 There are at most as many of them as partitions, so their list has a fixed bound and is broadcast. Their
@@ -22,6 +24,8 @@ from emberline.session import cut_lineage
 
 # Salted parts aim at this share of a fair partition.
 PART_SHARE = 0.25
+# Characters of a text that the sampled splitters hold.
+LEAD = 64
 
 
 def normalised(text: Column | str) -> Column:
@@ -44,11 +48,17 @@ def grouped(docs: DataFrame, id_column: str = "doc_id", text: str = "text", *kee
         F.col(id_column).alias("_id"),
         F.length(filled(text)).alias("_len"),
         normalised(text).alias("_norm"),
-    ).withColumn("text_sha256", F.sha2("_norm", 256))
+    ).withColumns(
+        {
+            "text_sha256": F.sha2("_norm", 256),
+            "_lead": F.substring("_norm", 1, LEAD),
+            "_rest": F.xxhash64("_norm"),
+        }
+    )
     salted = base.join(F.broadcast(hot_digests(docs, text, parts)), F.col("text_sha256") == F.col("_hot"), "left")
     salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_salts")) + 1).otherwise(F.lit(0))
-    in_order = salted.withColumn("_salt", salt).drop("_hot", "_salts").repartitionByRange("_norm", "_salt")
-    equal = Window.partitionBy("_norm", "_salt")
+    in_order = salted.withColumn("_salt", salt).drop("_hot", "_salts").repartitionByRange("_lead", "_rest", "_salt")
+    equal = Window.partitionBy("_lead", "_rest", "_norm", "_salt")
     best = equal.orderBy(F.col("_len").desc(), F.col("_id").asc_nulls_last())
     local = cut_lineage(
         in_order.withColumns(
@@ -57,7 +67,7 @@ def grouped(docs: DataFrame, id_column: str = "doc_id", text: str = "text", *kee
                 "_head": F.first(F.struct("_id", "_len")).over(best),
                 "_n": F.count(F.lit(1)).over(equal),
             }
-        ).drop("_norm", "_id", "_len")
+        ).drop("_norm", "_lead", "_rest", "_id", "_len")
     )
     # One row per hot digest, so below the number of partitions.
     rank = F.struct((-F.col("_head._len")).alias("a"), F.col("_head._id").isNull().alias("b"), "_head._id", "_salt")
