@@ -141,3 +141,18 @@ def test_factors_are_greedy_runs(spark):
     got = sorted((f.did, f.b, f.e, f.ref) for f in factors.factors(texts).collect())
     # Words 0-39 are in document 1, words 30-79 in document 2; windows from 28 on are only in the second.
     assert got == [(3, 1, 41, 1), (3, 31, 81, 2)]
+
+
+def test_facts_of_hot_anchors(spark):
+    """A value with a third of the rows is dealt over tasks and still gets the facts of all its rows."""
+    from pyspark.sql import functions as F
+
+    rows = [(7 if k % 3 == 0 else k, k, k % 5, k % 11) for k in range(6000)]
+    df = spark.createDataFrame(rows, "h long, did long, th int, c int")
+    facts = {"k": F.count(F.lit(1)), "low": F.min("c")}
+    got = spans.with_facts(df, df.where("did % 4 = 0"), facts, {"k": F.sum("k"), "low": F.min("low")})
+    by_h = {}
+    for h, *_, c in rows:
+        by_h.setdefault(h, []).append(c)
+    out = got.withColumn("task", F.spark_partition_id()).collect()
+    assert len(out) == len(rows) and all((r.k, r.low) == (len(by_h[r.h]), min(by_h[r.h])) for r in out)
