@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from emberline.llm import anchors as A
-from emberline.llm.spans import AT_ONCE, KEY, column, each_text, keyed, lists, original_id, record, sampled, with_facts
+from emberline.llm.spans import AT_ONCE, KEY, column, each_text, keyed, lists, original_id, record, sampled, stored, with_facts
 
 LENGTH = 13
 GRAM = 5
@@ -114,15 +114,15 @@ def references(texts: DataFrame) -> DataFrame:
     schema = "h long, c long, did long, th int, at int, n int"
     anchors, some = (t.mapInArrow(anchor_rows, schema) for t in (texts, sampled(texts)))
     facts = {"ref": F.min("did"), "last": F.max("did"), "c0": F.min("c"), "c1": F.max("c")}
-    merge = {"ref": F.min("ref"), "last": F.max("last"), "c0": F.min("c0"), "c1": F.max("c1")}
-    # The conditions are wrapped so that both parts read one and the same shuffle.
-    known = with_facts(anchors, some, facts, merge).where("coalesce(ref < last, false)")
-    same = known.where("coalesce(c0 = c1 AND did > ref, false)").select(*KEY, "at", "n", "ref")
-    wanted = known.where("coalesce(c0 <> c1, false)").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n")).alias("s"))
+    shared = with_facts(anchors, some, ["h"], facts).where("ref < last")
+    known = stored(shared.select(*KEY, "at", "n", "ref", (F.col("c0") != F.col("c1")).alias("open")), "anchors")
+    same = known.where("NOT open AND did > ref").select(*KEY, "at", "n", "ref")
+    wanted = known.where("open").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n")).alias("s"))
     wanted = wanted.select(*KEY, F.col("s.at").alias("at"), F.col("s.n").alias("n"))
-    windows = texts.join(wanted, KEY).mapInArrow(window_rows, "w1 long, w2 long, did long, th int, at int")
-    index = windows.groupBy("w1", "w2").agg(F.min("did").alias("ref"), F.max("did").alias("last")).where("ref < last")
-    found = windows.join(index.drop("last"), ["w1", "w2"]).where("coalesce(did > ref, false)")
+    windows, some = (
+        t.join(wanted, KEY).mapInArrow(window_rows, "w1 long, w2 long, did long, th int, at int") for t in (texts, sampled(texts))
+    )
+    found = with_facts(windows, some, ["w1", "w2"], {"ref": F.min("did")}).where("did > ref")
     return same.unionByName(found.select(*KEY, "at", F.lit(0).alias("n"), "ref"))
 
 

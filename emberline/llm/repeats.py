@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from emberline.llm import anchors as A
-from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed, lists, original_id, record, sampled, with_facts
+from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed, lists, original_id, record, sampled, stored, with_facts
 
 LENGTH = 200
 GRAM = 40
@@ -237,12 +237,13 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     schema = "h long, c long, did long, th int, at int, n int"
     anchors, some = (t.mapInArrow(anchor_rows, schema) for t in (texts, sampled(texts)))
     facts = {"k": F.count(F.lit(1)), "c0": F.min("c"), "c1": F.max("c")}
-    merge = {"k": F.sum("k"), "c0": F.min("c0"), "c1": F.max("c1")}
-    # The conditions are wrapped so that both parts read one and the same shuffle.
-    known = with_facts(anchors, some, facts, merge).where("coalesce(k > 1, false)")
-    known = known.withColumn("hot", F.col("k") > GROUP)
-    same = known.where("coalesce(c0 = c1, false)").select(*KEY, F.col("at").alias("b"), (F.col("at") + F.col("n") + LENGTH).alias("e"))
-    wanted = known.where("coalesce(c0 <> c1, false)").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "h", "hot")).alias("s"))
+    shared = with_facts(anchors, some, ["h"], facts).where("k > 1")
+    known = stored(
+        shared.select(*KEY, "at", "n", "h", (F.col("c0") != F.col("c1")).alias("open"), (F.col("k") > GROUP).alias("hot")),
+        "anchors",
+    )
+    same = known.where("NOT open").select(*KEY, F.col("at").alias("b"), (F.col("at") + F.col("n") + LENGTH).alias("e"))
+    wanted = known.where("open").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "h", "hot")).alias("s"))
     wanted = wanted.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "h", "hot")])
     spans = texts.join(wanted, KEY).mapInArrow(span_rows, "h long, span binary, did long, th int, at int")
     spans = spans.withColumns({"k1": F.xxhash64("span"), "k2": F.xxhash64(F.lit(1), "span")})

@@ -6,9 +6,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from emberline.session import cut_lineage
+from emberline.session import cut_lineage, scratch_path
 
 #: Units of text (bytes) that a task turns into arrays at a time, or one text.
 AT_ONCE = 1_000_000
@@ -26,26 +26,36 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     )
 
 
-def with_facts(rows: DataFrame, sample: DataFrame, facts: dict[str, Column], merge: dict[str, Column]) -> DataFrame:
-    """``rows`` (h, did, th, ...) with aggregates over all rows of their h, at the cost of one shuffle of the rows.
+def with_facts(rows: DataFrame, sample: DataFrame, keys: list[str], facts: dict[str, Column]) -> DataFrame:
+    """``rows`` (keys, did, th, ...) with the aggregates ``facts`` over all rows of their keys, by one shuffle.
 
-    ``merge`` puts the aggregates ``facts`` of two parts of an h together. A value of h that fills more than a
-    quarter of a partition by the ``sample`` of rows is dealt over several tasks by text, so a hot value is never
-    in one task. At most four times as many values as partitions can be that hot, so their list and their merged
-    facts are broadcast. The sample decides on the dealing only; the facts are of all rows.
+    Keys that fill more than a quarter of a partition by the ``sample`` of rows are dealt over several tasks by
+    text, and their facts are added up with partial sums; so a hot key is never in one task. At most four times
+    as many keys as partitions can be that hot, so their list and their facts are broadcast. The sample decides
+    on the dealing only; the facts are of all rows.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = cut_lineage(sample.groupBy("h").agg(F.count(F.lit(1)).alias("k")))
-    total = counts.agg(F.sum("k")).head()[0] or 1
+    counts = cut_lineage(sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
+    total = sample.count() or 1
     share = F.col("k") * F.lit(4.0 * parts / total)
-    hot = counts.where((share > 1) & (F.col("k") > 1)).select("h", F.ceil(share).cast("int").alias("salts"))
-    salt = F.coalesce(F.pmod(F.xxhash64(*KEY), F.col("salts")), F.lit(-1)).cast("int")
-    dealt = rows.join(F.broadcast(hot), "h", "left").withColumn("salt", salt).drop("salts").repartition("h", "salt")
-    local = dealt.groupBy("h", "salt").agg(*[c.alias(name) for name, c in facts.items()])
-    whole = local.where("salt >= 0").groupBy("h").agg(*[c.alias(f"all_{name}") for name, c in merge.items()])
-    joined = dealt.join(local, ["h", "salt"]).join(F.broadcast(whole), "h", "left")
-    chosen = {name: F.coalesce(F.when(F.col("salt") >= 0, F.col(f"all_{name}")), F.col(name)) for name in facts}
-    return joined.withColumns(chosen).drop("salt", *[f"all_{name}" for name in facts])
+    hot = counts.where(share > 1).select(*keys, F.ceil(share).cast("int").alias("salts"))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.xxhash64(*KEY), F.col("salts")), F.lit(-1)).cast("int")
+    )
+    own = Window.partitionBy(*keys, "salt")
+    local = dealt.drop("salts").repartition(*keys, "salt").withColumns({n: c.over(own) for n, c in facts.items()})
+    whole = rows.join(F.broadcast(hot.drop("salts")), keys).groupBy(*keys)
+    whole = whole.agg(*[c.alias(f"all_{n}") for n, c in facts.items()])
+    joined = local.join(F.broadcast(whole), keys, "left")
+    chosen = {n: F.coalesce(F.col(f"all_{n}"), F.col(n)) for n in facts}
+    return joined.withColumns(chosen).drop("salt", *[f"all_{n}" for n in facts])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Written to the shared folder and read again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def sampled(texts: DataFrame) -> DataFrame:
