@@ -150,7 +150,7 @@ def test_facts_of_hot_anchors(spark):
     rows = [(7 if k % 3 == 0 else k, k, k % 5, k % 11) for k in range(6000)]
     df = spark.createDataFrame(rows, "h long, did long, th int, c int")
     facts = {"k": F.count(F.lit(1)), "low": F.min("c")}
-    got = spans.with_facts(df, df.where("did % 4 = 0"), facts, {"k": F.sum("k"), "low": F.min("low")})
+    got = spans.with_facts(df, df.where("did % 4 = 0"), ["h"], facts)
     by_h = {}
     for h, *_, c in rows:
         by_h.setdefault(h, []).append(c)
