@@ -49,12 +49,11 @@ def _verdict(path: str) -> dict:
                 row_groups=meta.num_row_groups,
                 has_background="bright_t31" in parquet.schema_arrow.names,
             )
-            if meta.num_row_groups:
-                try:
-                    for _ in parquet.iter_batches(row_groups=[0]):
-                        pass
-                except Exception:
-                    return {**row, "status": "unreadable"}
+            try:
+                for _ in parquet.iter_batches():
+                    pass
+            except Exception:
+                return {**row, "status": "unreadable"}
     except OSError:
         return {**row, "status": "unreadable"}
     return row
@@ -67,7 +66,7 @@ def _check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def audit_files(files: DataFrame) -> DataFrame:
-    """Verdict for every row of ``files`` (column ``path``); only ends, footer and one group are read."""
+    """Verdict for every row of ``files`` (column ``path``); ends, footer and all row groups are read, a batch at a time."""
     return files.select("path").mapInPandas(_check, VERDICT)
 
 

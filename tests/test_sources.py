@@ -83,6 +83,19 @@ def test_audit_verdicts(spark, tmp_path):
     assert {r.status: r["count"] for r in listed}["ok"] == 1 and sum(r["count"] for r in listed) == 6
 
 
+def test_audit_finds_damage_in_a_later_row_group(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    path = tmp_path / "groups.parquet"
+    pq.write_table(pa.table({"a": list(range(4000))}), path, row_group_size=1000, compression="none", use_dictionary=False)
+    place = pq.ParquetFile(path).metadata.row_group(3).column(0).data_page_offset
+    data = bytearray(path.read_bytes())
+    data[place : place + 60] = b"\xff" * 60
+    path.write_bytes(bytes(data))
+    assert audit.audit_parquet(spark, [str(path)]).first().status == "unreadable"
+
+
 def test_contract(spark):
     df = spark.createDataFrame([(95.0, "25", None), (10.0, "l", 5.0)], "latitude double, confidence string, brightness float")
     got = {r.column: r for r in contract.contract_report(df, DETECTIONS).collect()}
