@@ -35,10 +35,10 @@ def with_facts(rows: DataFrame, sample: DataFrame, keys: list[str], facts: dict[
     on the dealing only; the facts are of all rows.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = cut_lineage(sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-    total = sample.count() or 1
+    counts = cut_lineage(sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")))
+    total = counts.agg(F.sum("k")).head()[0] or 1
     share = F.col("k") * F.lit(4.0 * parts / total)
-    hot = counts.where(share > 1).select(*keys, F.ceil(share).cast("int").alias("salts"))
+    hot = counts.where((share > 1) & (F.col("k") > 1)).select(*keys, F.ceil(share).cast("int").alias("salts"))
     dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
         "salt", F.coalesce(F.pmod(F.xxhash64(*KEY), F.col("salts")), F.lit(-1)).cast("int")
     )
