@@ -1,12 +1,10 @@
 """Every stage of the pipeline against a brute-force version, each on what the stage before has kept."""
 
-import re
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
-from pyspark.sql import functions as F
 from test_exact_and_near import brute_print, near_links, normal, reach
 from test_mix_and_pack import brute_targets, words
 from test_rules import brute
@@ -106,4 +104,4 @@ def test_run_is_the_stages(stages, spark):
     got = corpus_pipeline.run(spark, folder)
     key = lambda r: (r.doc_id, r.piece, r.start, r.length, r.ids_crc32)
     assert Counter(map(key, got.collect())) == Counter(map(key, out["packing"]))
-    assert re.match(r"[a-z_]+$", corpus_pipeline.STAGES[0][0]) and got.select(F.count("doc_id")).head()[0] > 0
+    assert got.count() == len(out["packing"]) > 0
