@@ -51,7 +51,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        did, th, texts = column(batch, "did"), column(batch, "th"), batch.column("data").to_pylist()
+        did, th, tw = (column(batch, k) for k in KEY)
+        texts = batch.column("data").to_pylist()
         for a, b in A.batches_of([len(t) for t in texts], AT_ONCE):
             words, starts = word_hashes(texts[a:b])
             one, two = A.Prefixes(words), A.Prefixes(words, A.BASES[1])
@@ -64,6 +65,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 c=A.mixed(block).view(np.int64),
                 did=did[a:b][found.doc],
                 th=th[a:b][found.doc],
+                tw=tw[a:b][found.doc],
                 at=(found.first - starts[found.doc]).astype(np.int32),
                 n=(found.last - found.first).astype(np.int32),
             )
@@ -72,7 +74,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of a text's open blocks, by their two hashes."""
     for batch in batches:
-        texts, did, th = batch.column("data").to_pylist(), column(batch, "did"), column(batch, "th")
+        texts, (did, th, tw) = batch.column("data").to_pylist(), (column(batch, k) for k in KEY)
         at, cut = lists(batch, "at")
         n, _ = lists(batch, "n")
         for a, b in A.batches_of([len(t) for t in texts], AT_ONCE):
@@ -88,6 +90,7 @@ def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 w2=A.Prefixes(words, A.BASES[1]).ranges(begin, begin + LENGTH).view(np.int64),
                 did=did[a:b][doc],
                 th=th[a:b][doc],
+                tw=tw[a:b][doc],
                 at=place.astype(np.int32),
             )
 
@@ -110,17 +113,17 @@ def parse(at: np.ndarray, n: np.ndarray, ref: np.ndarray) -> tuple[np.ndarray, n
 
 
 def references(texts: DataFrame) -> DataFrame:
-    """(did, th, at, n, ref): windows at .. at + n of a text that stand in the smaller document ref."""
-    schema = "h long, c long, did long, th int, at int, n int"
+    """(did, th, tw, at, n, ref): windows at .. at + n of a text that stand in the smaller document ref."""
+    schema = "h long, c long, did long, th long, tw long, at int, n int"
     anchors, some = (t.mapInArrow(anchor_rows, schema) for t in (texts, sampled(texts)))
     facts = {"ref": F.min("did"), "last": F.max("did"), "c0": F.min("c"), "c1": F.max("c")}
     shared = with_facts(anchors, some, ["h"], facts).where("ref < last")
     known = stored(shared.select(*KEY, "at", "n", "ref", (F.col("c0") != F.col("c1")).alias("open")), "anchors")
     same = known.where("NOT open AND did > ref").select(*KEY, "at", "n", "ref")
-    wanted = known.where("open").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n")).alias("s"))
+    wanted = known.where("open").groupBy(*KEY).agg(F.collect_set(F.struct("at", "n")).alias("s"))
     wanted = wanted.select(*KEY, F.col("s.at").alias("at"), F.col("s.n").alias("n"))
     windows, some = (
-        t.join(wanted, KEY).mapInArrow(window_rows, "w1 long, w2 long, did long, th int, at int") for t in (texts, sampled(texts))
+        t.join(wanted, KEY).mapInArrow(window_rows, "w1 long, w2 long, did long, th long, tw long, at int") for t in (texts, sampled(texts))
     )
     found = with_facts(windows, some, ["w1", "w2"], {"ref": F.min("did")}).where("did > ref")
     return same.unionByName(found.select(*KEY, "at", F.lit(0).alias("n"), "ref"))
@@ -135,16 +138,16 @@ def factor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = [len(o[0]) for o in out]
         b, e, r = (np.concatenate([o[k] for o in out] + [np.empty(0, np.int64)]).astype(np.int64) for k in range(3))
         yield record(
-            did=np.repeat(column(batch, "did"), sizes), th=np.repeat(column(batch, "th"), sizes),
+            **{k: np.repeat(column(batch, k), sizes) for k in KEY},
             b=b.astype(np.int32), e=e.astype(np.int32), ref=r,
         )
 
 
 def factors(texts: DataFrame) -> DataFrame:
-    """(did, th, b, e, ref): the factors of LENGTH words or more of every text, in words."""
-    found = references(texts).groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "ref")).alias("s"))
+    """(did, th, tw, b, e, ref): the factors of LENGTH words or more of every text, in words."""
+    found = references(texts).groupBy(*KEY).agg(F.collect_set(F.struct("at", "n", "ref")).alias("s"))
     listed = found.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "ref")])
-    return listed.mapInArrow(factor_rows, "did long, th int, b int, e int, ref long")
+    return listed.mapInArrow(factor_rows, "did long, th long, tw long, b int, e int, ref long")
 
 
 def clean_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

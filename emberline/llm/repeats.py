@@ -48,7 +48,8 @@ SUFFIXES = 30_000
 
 def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        did, th, texts = column(batch, "did"), column(batch, "th"), batch.column("data").to_pylist()
+        did, th, tw = (column(batch, k) for k in KEY)
+        texts = batch.column("data").to_pylist()
         for a, b in A.batches_of([len(t) for t in texts], AT_ONCE):
             data, starts = A.joined_bytes(texts[a:b])
             values = data.astype(np.uint64)
@@ -63,6 +64,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 c=A.mixed(span).view(np.int64),
                 did=did[a:b][found.doc],
                 th=th[a:b][found.doc],
+                tw=tw[a:b][found.doc],
                 at=(found.first - starts[found.doc]).astype(np.int32),
                 n=(found.last - found.first).astype(np.int32),
             )
@@ -71,7 +73,7 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The spans of a text's anchors; of a hot anchor the digests of its strings, each its own group."""
     for batch in batches:
-        texts, did, th = batch.column("data").to_pylist(), column(batch, "did"), column(batch, "th")
+        texts, key = batch.column("data").to_pylist(), {k: column(batch, k) for k in KEY}
         at, cut = lists(batch, "at")
         n, _ = lists(batch, "n")
         h, _ = lists(batch, "h")
@@ -89,8 +91,8 @@ def span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if rows:
                 hs, spans, places = zip(*rows, strict=True)
                 yield record(
-                    h=pa.array(hs, pa.int64()), span=pa.array(spans, pa.binary()), did=np.full(len(rows), did[k]),
-                    th=np.full(len(rows), th[k], np.int32), at=pa.array(places, pa.int32()),
+                    h=pa.array(hs, pa.int64()), span=pa.array(spans, pa.binary()),
+                    **{c: np.full(len(rows), values[k], np.int64) for c, values in key.items()}, at=pa.array(places, pa.int32()),
                 )
 
 
@@ -233,8 +235,8 @@ def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """(did, th, b, e): byte ranges of texts (did, th, data) that repeated strings cover."""
-    schema = "h long, c long, did long, th int, at int, n int"
+    """(did, th, tw, b, e): byte ranges of texts (did, th, tw, data) that repeated strings cover."""
+    schema = "h long, c long, did long, th long, tw long, at int, n int"
     anchors, some = (t.mapInArrow(anchor_rows, schema) for t in (texts, sampled(texts)))
     facts = {"k": F.count(F.lit(1)), "c0": F.min("c"), "c1": F.max("c")}
     shared = with_facts(anchors, some, ["h"], facts).where("k > 1")
@@ -243,9 +245,9 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         "anchors",
     )
     same = known.where("NOT open").select(*KEY, F.col("at").alias("b"), (F.col("at") + F.col("n") + LENGTH).alias("e"))
-    wanted = known.where("open").groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "h", "hot")).alias("s"))
+    wanted = known.where("open").groupBy(*KEY).agg(F.collect_set(F.struct("at", "n", "h", "hot")).alias("s"))
     wanted = wanted.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "h", "hot")])
-    spans = texts.join(wanted, KEY).mapInArrow(span_rows, "h long, span binary, did long, th int, at int")
+    spans = texts.join(wanted, KEY).mapInArrow(span_rows, "h long, span binary, did long, th long, tw long, at int")
     spans = spans.withColumns({"k1": F.xxhash64("span"), "k2": F.xxhash64(F.lit(1), "span")})
     merged = spans.groupBy("h", "span").agg(F.count(F.lit(1)).alias("n"), F.first("k1").alias("k1"), F.first("k2").alias("k2"))
     answers = (

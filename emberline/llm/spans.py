@@ -12,16 +12,18 @@ from emberline.session import cut_lineage, scratch_path
 
 #: Units of text (bytes) that a task turns into arrays at a time, or one text.
 AT_ONCE = 1_000_000
-KEY = ["did", "th"]
+#: A row's key: its id and two 64-bit hashes of its text. Rows that agree in all three are equal in id and text.
+KEY = ["did", "th", "tw"]
 NO_ID = -(2**63)
 
 
 def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(did, th, data): id, a short hash of the text that tells rows with one id apart, the text's bytes."""
+    """(did, th, tw, data): id, two hashes of the text that tell rows with one id apart, the text's bytes."""
     data = F.coalesce(F.col(text), F.lit("")).cast("binary")
     return docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("did"),
-        F.hash(data).bitwiseAND(F.lit(0xFFFF)).alias("th"),
+        F.xxhash64(data).alias("th"),
+        F.xxhash64(F.lit(1), data).alias("tw"),
         data.alias("data"),
     )
 
@@ -40,7 +42,7 @@ def with_facts(rows: DataFrame, sample: DataFrame, keys: list[str], facts: dict[
     share = F.col("k") * F.lit(4.0 * parts / total)
     hot = counts.where((share > 1) & (F.col("k") > 1)).select(*keys, F.ceil(share).cast("int").alias("salts"))
     dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64(*KEY), F.col("salts")), F.lit(-1)).cast("int")
+        "salt", F.coalesce(F.pmod(F.xxhash64("did", "th"), F.col("salts")), F.lit(-1)).cast("int")
     )
     own = Window.partitionBy(*keys, "salt")
     local = dealt.drop("salts").repartition(*keys, "salt").withColumns({n: c.over(own) for n, c in facts.items()})
@@ -83,8 +85,11 @@ def record(**columns: np.ndarray | list) -> pa.RecordBatch:
 
 
 def per_text(spans: DataFrame) -> DataFrame:
-    """Begins and ends of all spans (did, th, b, e) of a text as two lists; a text's own size bounds them."""
-    found = spans.groupBy(*KEY).agg(F.collect_list(F.struct("b", "e")).alias("s"))
+    """Begins and ends of all spans (did, th, tw, b, e) of a text as two lists; a text's own size bounds them.
+
+    Equal rows have equal spans: as a set they are kept once, however often the row is there.
+    """
+    found = spans.groupBy(*KEY).agg(F.collect_set(F.struct("b", "e")).alias("s"))
     return found.select(*KEY, F.col("s.b").alias("b"), F.col("s.e").alias("e"))
 
 

@@ -156,3 +156,38 @@ def test_facts_of_hot_anchors(spark):
         by_h.setdefault(h, []).append(c)
     out = got.withColumn("task", F.spark_partition_id()).collect()
     assert len(out) == len(rows) and all((r.k, r.low) == (len(by_h[r.h]), min(by_h[r.h])) for r in out)
+
+
+@pytest.fixture
+def one_id_rows():
+    """Many texts with one id, half of them with a passage that repeats: a short hash would mix them up."""
+    r = random.Random(11)
+    some = lambda n: " ".join(f"{r.choice('abcdefgh')}{r.randrange(10**9)}" for _ in range(n))
+    passage = some(24)
+    texts = [some(3) + " " + passage + " " + some(4) if k % 2 else some(30) for k in range(3000)]
+    return texts, passage
+
+
+def test_many_rows_with_one_id(spark, one_id_rows):
+    texts, passage = one_id_rows
+    rows = [(5, t) for t in texts] + [(1, "x " + passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got_words(df) == clean_words(rows)
+
+
+def test_many_rows_without_an_id(spark, one_id_rows):
+    texts, _ = one_id_rows
+    rows = [(None, t) for t in texts]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert got_bytes(df) == clean_bytes(rows)
+
+
+def test_equal_rows_do_not_multiply(spark):
+    """Equal rows share a key; what is gathered under it does not grow with their number."""
+    words = [f"word{k}" for k in range(60)]
+    rows = [(7, " ".join(words))] * 40 + [(3, "y " + " ".join(words[5:50]) + " z")]
+    texts = spans.keyed(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    for found in (spans.per_text(repeats.repeated_spans(texts)), spans.per_text(factors.factors(texts))):
+        sizes = {r.did: (len(r.b), len(set(zip(r.b, r.e, strict=True)))) for r in found.collect()}
+        assert sizes and all(n == distinct for n, distinct in sizes.values())
+    assert got_words(spark.createDataFrame(rows, "doc_id long, text string")) == clean_words(rows)
