@@ -2,7 +2,8 @@
 
 A page is cut into blocks at block-level tags. Pass one decides a block by its place (menus, side bars, forms,
 adverts, comments and the like are out), by the share of its text that is links, by its length and by the share
-of stop words. Short blocks, and longer ones in which hardly a word is a stop word, stay open. Pass two gives
+of stop words. Names and forms tell nothing about an element that encloses the article: one with a main element,
+an h1 or the longest article in it, or with most of the page's text while no article stands beside it. Short blocks, and longer ones in which hardly a word is a stop word, stay open. Pass two gives
 an open block the label of the nearest decided block, a heading that of the next one; between two different ones at equal distance, and where a
 page has no decided block, the place decides.
 
@@ -50,9 +51,15 @@ NESTED_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTSIDE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banners?|bread-?crumbs?|comments?|cookies?|consent|disqus|footer|login|masthead|menus?|"
-    r"modal|nav\w*|newsletter|notices?|pagination|popups?|promo\w*|related|replies|respond|share|sharing|side-?bars?|"
-    r"site-?header|page-?header|topbar|social|sponsor\w*|subscribe|toolbar|widgets?)(?:$|[\s_-])",
+    r"ads?|advert\w*|banners?|bread-?crumbs?|comments?|cookies?|consent|disqus|footer|login|masthead|menus?|modal|nav\w*|"
+    r"newsletter|notices?|pagination|popups?|promo\w*|related|replies|respond|share|sharing|side-?bars?|site-?header|"
+    r"page-?header|topbar|social|sponsor\w*|subscribe|toolbar|widgets?",
+    re.I,
+)
+# Parts of names that say where a thing is or that it is a box, and not what it is.
+NEUTRAL_NAMES = re.compile(
+    r"area|articles?|bar|block|body|bottom|box|buttons?|container|form|global|icons?|inner|items?|left|links?|list|main|outer|"
+    r"page|panel|posts?|primary|right|secondary|section|site|stories|top|wrap|wrapper|\d[\dx]*|",
     re.I,
 )
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -72,37 +79,92 @@ STOP_HIGH = 0.20
 LINKS_HIGH = 0.5
 
 
+@dataclass(eq=False)
+class Element:
+    tag: str
+    parent: Element | None
+    sure: bool  # beside the article by its tag or role, or hidden
+    named: bool  # beside the article by its names, unless it encloses the article
+    core: int  # number of the article or main element it stands in, 0 without one
+    landmark: str = ""  # article or main, where it is one
+    chars: int = 0
+    lead: bool = False  # encloses a main element, an h1 or the longest article
+    out: bool = False
+    out_for_sure: bool = False
+
+
 @dataclass
 class Block:
     text: str
     link_chars: int
-    outside: bool
-    core: int  # number of the article or main element it stands in, 0 without one
+    place: Element
     heading: bool
     label: str = "open"
+    outside: bool = False
+
+    @property
+    def core(self) -> int:
+        return self.place.core
+
+    @property
+    def many_links(self) -> bool:
+        return self.link_chars > LINKS_HIGH * len("".join(self.text.split()))
+
 
+def beside(name: str) -> bool:
+    """Whether a whole class or id names something beside the article: each of its parts does, or is neutral."""
+    if OUTSIDE_NAMES.fullmatch(name):
+        return True
+    parts = re.split("[_-]", name)
+    named = [bool(OUTSIDE_NAMES.fullmatch(p)) for p in parts]
+    return any(named) and all(n or NEUTRAL_NAMES.fullmatch(p) for n, p in zip(named, parts, strict=True))
 
-def names_of(attributes: str) -> tuple[bool, str]:
-    """Whether an element's class, id or role says that it stands beside the article; its role."""
+
+def names_of(attributes: str) -> tuple[bool, bool, str]:
+    """Whether an element's role or state, and whether its class or id puts it beside the article; its role."""
     found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)} if attributes else {}
     role = found.get("role", "").lower()
-    beside = role in OUTSIDE_ROLES or any(OUTSIDE_NAMES.search(found.get(k, "")) for k in ("class", "id"))
+    named = any(beside(name) for k in ("class", "id") for name in found.get(k, "").split())
     hidden = "hidden" in found.get("aria-hidden", "") or found.get("aria-hidden") == "true"
-    return beside or hidden, role
+    return hidden or role in OUTSIDE_ROLES - {"form"}, named or role == "form", role
+
+
+def mark_outside(elements: list[Element], blocks: list[Block]) -> None:
+    """Which elements stand beside the article; parents come before their children in ``elements``."""
+    for b in blocks:
+        b.place.chars += len(b.text)
+    for el in reversed(elements[1:]):
+        el.parent.chars += el.chars
+    for el in elements[1:]:
+        el.out_for_sure = el.parent.out_for_sure or el.sure
+    total = elements[0].chars
+    marks = [el for el in elements if el.landmark and not el.out_for_sure and not (el.named and el.landmark == "article")]
+    articles = [el for el in marks if el.landmark == "article"]
+    for el in [e for e in marks if e.landmark == "main"] + sorted(articles, key=lambda e: -e.chars)[:1]:
+        el.lead = True
+    for el in reversed(elements[1:]):
+        el.parent.lead |= el.lead and not el.sure
+    stands = any(el.chars >= LONG for el in marks)
+    for el in elements[1:]:
+        encloses = el.lead or (2 * el.chars > total and (el.core > 0 or not stands))
+        el.out = el.parent.out or el.sure or (el.named and not encloses)
+    for b in blocks:
+        b.outside = b.place.out
 
 
 def blocks_of(html: str) -> list[Block]:
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = []  # tag, outside, core
+    root = Element("", None, False, False, 0)
+    elements, stack = [root], [root]
     parts: list[str] = []
-    link_chars, links, heading, cores, at, breaks = 0, 0, False, 0, 0, 0
+    link_chars, links, heading, cores, at, breaks = 0, 0, 0, 0, 0, 0
 
     def end_block() -> None:
         nonlocal link_chars, breaks
         text = " ".join("".join(parts).split())
         if text:
-            outside, core = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-            out.append(Block(text, link_chars, outside, core, heading))
+            out.append(Block(text, link_chars, stack[-1], heading > 0))
+            stack[-1].lead |= heading == 1
         parts.clear()
         link_chars = breaks = 0
 
@@ -147,25 +209,25 @@ def blocks_of(html: str) -> list[Block]:
         if tag in BLOCK_TAGS:
             end_block()
             links = 0
-            heading = tag[0] == "h" and tag[1:].isdigit() and not closing
+            heading = int(tag[1:]) if tag[0] == "h" and tag[1:].isdigit() and not closing else 0
             if closing and tag in NESTED_TAGS:
-                places = [k for k, (t, _, _) in enumerate(stack) if t == tag]
+                places = [k for k, el in enumerate(stack) if el.tag == tag]
                 if places:
                     del stack[places[-1] :]
             elif not closing and tag in NESTED_TAGS:
-                above_out, above_core = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                beside, role = names_of(token["more"])
-                core = above_core
-                if tag in ("article", "main") or role in ("article", "main"):
+                sure, named, role = names_of(token["more"])
+                core = stack[-1].core
+                landmark = next((x for x in ("main", "article") if x in (tag, role)), "")
+                if landmark:
                     cores += 1
-                    core = above_core or cores
-                out_now = above_out or tag in OUTSIDE_TAGS or (tag == "header" and not core)
-                if tag not in ("body", "main"):
-                    out_now = out_now or beside
-                stack.append((tag, out_now, core))
-        elif tag not in VOID_TAGS:
-            pass
+                    core = core or cores
+                if tag in ("body", "main"):
+                    sure = named = False
+                sure = sure or tag in OUTSIDE_TAGS - {"form"} or (tag == "header" and not core)
+                elements.append(Element(tag, stack[-1], sure, named or tag == "form", core, landmark))
+                stack.append(elements[-1])
     end_block()
+    mark_outside(elements, out)
     return out
 
 
@@ -176,9 +238,8 @@ def stop_share(text: str) -> float:
 
 
 def decide(block: Block) -> str:
-    """Pass one: good, bad or open."""
-    chars = len("".join(block.text.split()))
-    if block.outside or block.link_chars > LINKS_HIGH * chars:
+    """Pass one: good, bad or open. Within the article links alone do not make a block bad."""
+    if block.outside or (block.many_links and not block.core):
         return "bad"
     if len(block.text) < SHORT:
         return "open"
@@ -211,17 +272,25 @@ def settle(blocks: list[Block]) -> None:
 
 def main_text(html: str | None) -> str:
     blocks = blocks_of(html) if isinstance(html, str) else []
-    if any(b.core and not b.outside for b in blocks):
-        for b in blocks:
-            b.outside = b.outside or not b.core
     for b in blocks:
         b.label = decide(b)
+    inside = sum(len(b.text) for b in blocks if b.core and not b.outside)
+    if inside and inside >= sum(len(b.text) for b in blocks if not b.core and b.label == "good"):
+        # The article element holds the article: what stands apart from it must be long running text by itself.
+        for b in blocks:
+            if not b.core and not (b.label == "good" and len(b.text) >= LONG and stop_share(b.text) >= STOP_HIGH):
+                b.label = "bad"
+    links = [bool(b.core) and b.many_links and len(b.text) < SHORT for b in blocks]
+    for k, b in enumerate(blocks):
+        # Within the article, short blocks of links are a list of links where they stand together.
+        if links[k] and (links[k - 1 : k] == [True] or links[k + 1 : k + 2] == [True]):
+            b.label = "bad"
     settle(blocks)
     if blocks and all(b.label == "bad" for b in blocks):
-        # Nothing stands out: what is neither beside the article nor made of links.
-        for b in blocks:
-            if not b.outside and b.link_chars <= LINKS_HIGH * len(b.text):
-                b.label = "good"
+        # Nothing stands out: what is neither beside the article nor made of links; names count last.
+        rest = [b for b in blocks if b.link_chars <= LINKS_HIGH * len(b.text)]
+        for b in [b for b in rest if not b.outside] or [b for b in rest if not b.place.out_for_sure]:
+            b.label = "good"
     return "\n".join(b.text for b in blocks if b.label == "good")
 
 

@@ -46,6 +46,41 @@ def test_extract(spark):
     assert pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div class='content has-sidebar'", "div id='page-with-sidebar'", "article class='post comments-open'",
+        "section class='news-widget'", "section class='widget'", "div class='sidebar'", "form",
+    ],
+)
+def test_names_of_wrappers_do_not_lose_the_article(wrapper):
+    close = wrapper.split()[0]
+    for title in ("<h1>A title</h1>", ""):
+        page = f"<body><div class='nav'><p>{GOOD}</p></div><{wrapper}>{title}<p>{GOOD}</p><p>{MORE}</p></{close}></body>"
+        assert pages.main_text(page) == ("A title\n" if title else "") + f"{GOOD}\n{MORE}"
+
+
+def test_named_parts_beside_an_article_stay_out():
+    beside = "".join(f"<div class='{c}'><p>{MORE}</p></div>" for c in ("comments", "widget-area", "left-sidebar", "ad_300x250"))
+    thread = f"<div id='comments'><article class='comment-body'><p>{MORE}</p><p>{MORE}</p><p>{MORE}</p></article></div>"
+    assert pages.main_text(f"<article><h1>T</h1><p>{GOOD}</p><p>{MORE}</p></article>{beside}{thread}") == f"T\n{GOOD}\n{MORE}"
+
+
+def test_links_within_the_article_stay():
+    reference = "<li><a href='/a'>Smith and Jones, Measuring distant fires from low orbit, Journal of Heat 12, pages 1-20</a></li>"
+    one = "<p><a href='/r'>Download the report</a></p>"
+    tags = "".join(f"<li><a href='/t{k}'>tag {k}</a></li>" for k in range(4))
+    got = pages.main_text(f"<article><p>{GOOD}</p>{one}<p>{MORE}</p><ol>{reference * 2}</ol><ul>{tags}</ul></article>").split("\n")
+    assert got[:3] == [GOOD, "Download the report", MORE] and len(got) == 5 and got[3].startswith("Smith")
+
+
+def test_running_text_apart_from_an_article_element_stays():
+    apart = f"<div><p>{GOOD} {MORE}</p></div>"
+    assert pages.main_text(f"{apart}<article><p>{GOOD}</p><p>{GOOD} {MORE}</p></article>").count(MORE) == 2
+    card = "<article><p>A card of the shop</p></article>"
+    assert pages.main_text(f"<div><p>{GOOD}</p><p>{MORE}</p></div>{card}").startswith(f"{GOOD}\n{MORE}")
+
+
 def toy(n, seed):
     r = random.Random(seed)
     rows, marks = [], []
