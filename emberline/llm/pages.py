@@ -8,7 +8,8 @@ an open block the label of the nearest decided block, a heading that of the next
 page has no decided block, the place decides.
 
 Defined cases: a null or empty page has the empty text; unclosed and crossed tags close at the next tag that
-implies it; repeated rows are extracted each; a null id or url stays null. Other columns are not read.
+implies it; script, style and other elements of raw text reach to their end tag or the end of the page; other unread
+elements nest and close with the block element around them, or at the next block where their end tag is missing; repeated rows are extracted each; a null id or url stays null. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ BLOCK_TAGS = frozenset(
 UNREAD_TAGS = frozenset(
     "audio button canvas head iframe math noscript object script select style svg template textarea title video".split()
 )
+RAW_TAGS = frozenset("head iframe script style textarea title".split())
 OUTSIDE_TAGS = frozenset("aside dialog footer form menu nav".split())
 NESTED_TAGS = frozenset(
     "article aside blockquote body details dialog div dl fieldset figure footer form header main menu nav ol section "
@@ -156,6 +158,9 @@ def blocks_of(html: str) -> list[Block]:
     out: list[Block] = []
     root = Element("", None, False, False, 0)
     elements, stack = [root], [root]
+    unread: list[tuple[str, int, str, bool]] = []  # open unread elements: tag, depth, block around it, ever closed
+    last_ends: dict[str, int] = {}
+    leaf = ""  # the open block that does not nest, such as p
     parts: list[str] = []
     link_chars, links, heading, cores, at, breaks = 0, 0, 0, 0, 0, 0
 
@@ -170,6 +175,8 @@ def blocks_of(html: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal link_chars, breaks
+        if unread:
+            return
         text = unescape(raw)
         parts.append(text)
         if not text.isspace():
@@ -189,13 +196,35 @@ def blocks_of(html: str) -> list[Block]:
         if not tag:
             continue
         closing = bool(token["close"])
-        if tag in UNREAD_TAGS and not closing and not token["more"].endswith("/"):
+        if tag in RAW_TAGS and not closing and not token["more"].endswith("/"):
             ends = "<body" if tag == "head" else f"</{tag}"
             stop = re.compile(rf"</{tag}\s*>|<body" if tag == "head" else rf"{ends}\s*>", re.I).search(html, at)
             if tag == "head" and stop is None:
                 continue
             at = (stop.start() if stop and stop[0].lower().startswith("<body") else stop.end()) if stop else len(html)
             continue
+        if tag in UNREAD_TAGS - RAW_TAGS:
+            if not closing and not token["more"].endswith("/"):
+                if tag not in last_ends:
+                    ends = [m.start() for m in re.finditer(rf"</{tag}\s*>", html, re.I)]
+                    last_ends[tag] = ends[-1] if ends else -1
+                unread.append((tag, len(stack), leaf, last_ends[tag] >= at))
+            elif closing:
+                k = next((k for k in reversed(range(len(unread))) if unread[k][0] == tag), None)
+                if k is not None:
+                    del stack[unread[k][1] :]
+                    del unread[k:]
+            continue
+        if unread and tag in BLOCK_TAGS:
+            # Ends unread elements that have no end tag, and those in a p or the like that ends here.
+            # The outermost one decides what is read, the innermost one what the next end tag closes.
+            for k in (0, len(unread) - 1):
+                _, depth, around, closed = unread[k]
+                if not closed or (around == tag and (closing or tag not in NESTED_TAGS) and depth == len(stack)):
+                    del unread[k:]
+                    break
+        if unread and tag not in NESTED_TAGS:
+            continue
         if tag == "br":
             breaks += 1
             if breaks > 1:
@@ -207,13 +236,17 @@ def blocks_of(html: str) -> list[Block]:
         elif tag in ("td", "th"):
             parts.append(" ")
         if tag in BLOCK_TAGS:
-            end_block()
-            links = 0
+            if not unread:
+                end_block()
+                links = 0
+                leaf = "" if closing or tag in NESTED_TAGS else tag
             heading = int(tag[1:]) if tag[0] == "h" and tag[1:].isdigit() and not closing else 0
             if closing and tag in NESTED_TAGS:
                 places = [k for k, el in enumerate(stack) if el.tag == tag]
                 if places:
                     del stack[places[-1] :]
+                    while unread and unread[-1][1] > len(stack):
+                        unread.pop()
             elif not closing and tag in NESTED_TAGS:
                 sure, named, role = names_of(token["more"])
                 core = stack[-1].core

@@ -81,6 +81,17 @@ def test_running_text_apart_from_an_article_element_stays():
     assert pages.main_text(f"<div><p>{GOOD}</p><p>{MORE}</p></div>{card}").startswith(f"{GOOD}\n{MORE}")
 
 
+@pytest.mark.parametrize("tag", ["button", "select", "object", "audio", "video", "canvas", "svg", "math", "template", "noscript"])
+def test_unread_elements_end_with_what_encloses_them(tag):
+    assert pages.main_text(f"<article><div><{tag}>x</div><p>{GOOD}</p><p>{MORE}</p></article>") == f"{GOOD}\n{MORE}"
+    assert pages.main_text(f"<{tag}>x<article><p>{GOOD}</p><p>{MORE}</p></article>") == f"{GOOD}\n{MORE}"
+    later = f"<div><{tag}>y</{tag}></div>"
+    assert pages.main_text(f"<article><div><{tag}>x</div><p>{GOOD}</p>{later}<p>{MORE}</p></article>") == f"{GOOD}\n{MORE}"
+    assert pages.main_text(f"<article><p>{GOOD} <{tag}>x</p><p>{MORE}</p>{later}</article>") == f"{GOOD}\n{MORE}"
+    nested = f"<{tag}>x<{tag}>y</{tag}><div>{MORE}</{tag}>"
+    assert pages.main_text(f"<article>{nested}<p>{GOOD}</p></article>") == GOOD
+
+
 def toy(n, seed):
     r = random.Random(seed)
     rows, marks = [], []
