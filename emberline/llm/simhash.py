@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from emberline.llm.components import components
-from emberline.llm.text import packed_rows, unpacked
+from emberline.llm.text import unpacked
 from emberline.session import cut_lineage
 
 SHINGLE = 4
@@ -239,14 +239,14 @@ def fingerprint_links(prints: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame) -> DataFrame:
-    """(print, component_id) for rows of (doc_id, print); component_id is the smallest doc_id reachable."""
+    """(print, component_id, root) for rows of (doc_id, print); component_id is the smallest doc_id reachable."""
     nodes = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("first_id")))
     reached = components(fingerprint_links(nodes))
     rooted = nodes.join(reached, nodes["print"] == reached["node"], "left").select(
         "print", "first_id", F.coalesce("root", "print").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return rooted.join(least, "root").select("print", "component_id")
+    return rooted.join(least, "root").select("print", "component_id", "root")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -258,10 +258,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; rows that share an id count as one document."""
-    slim = cut_lineage(docs.select("doc_id", fingerprint(F.col("text")).alias("print")))
-    # Rows without any id in their component keep one fingerprint's rows apart from the rest by null.
-    stay = slim.join(classes(slim), "print").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    ids = stay.select(F.col("doc_id").alias("_id")).distinct()
-    rows = packed_rows(docs)
-    return unpacked(rows.join(ids, F.col("row.doc_id").eqNullSafe(F.col("_id")), "left_semi"), docs.columns)
+    """One row of ``docs`` per component: of its smallest id, nulls last, and among equal ids by hashes of the text."""
+    key = {"k1": F.xxhash64("doc_id", "text"), "k2": F.xxhash64(F.lit(1), "doc_id", "text")}
+    slim = cut_lineage(docs.select("doc_id", *[c.alias(k) for k, c in key.items()], fingerprint(F.col("text")).alias("print")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("first")
+    chosen = slim.join(classes(slim), "print").groupBy("root").agg(first).select("first.k1", "first.k2")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[c.alias(k) for k, c in key.items()])
+    # Rows that agree in id and text are one more choice, by a hash of the whole row.
+    kept = rows.join(chosen, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return unpacked(kept, docs.columns)

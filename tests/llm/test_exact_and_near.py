@@ -123,6 +123,14 @@ def test_near_stage(docs, no_docs):
     assert simhash.keep_one(no_docs).count() == 0 and simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_near_stage_keeps_one_row_of_each_component(spark):
+    """Null ids, an id in two components, and equal rows."""
+    one, two, three = (" ".join(f"{x}{k}" for k in range(80)) for x in ("a", "b", "c"))
+    rows = [(None, one), (None, one), (4, two), (None, two), (4, three), (9, three), (4, three), (None, None), (None, None)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(str, kept)) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in [(None, one), (4, two), (4, three), (None, None)])
+
+
 def test_components_of_paths_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + k) for k in range(1, 50)] + [(149, 7), (300, 300), (201, 200)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
