@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from emberline.llm import co_training, content_sort, factors, mixing, packing, pages, repeats, rules, simhash, toxicity
+from emberline.llm import (
+    alignment, co_training, content_sort, factors, language, mixing, orchard, packing, pages, repeats, rules, simhash,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +63,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_orchard_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_co_training": op2_co_training,
@@ -71,4 +86,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_orchard_codes": op11_orchard_codes,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_language": op13_language,
 }
