@@ -253,3 +253,42 @@ def threshold_rule(df: DataFrame, y: str, col: str, low: float, high: float, ste
         ratio(fp, F.col("_n")).alias("false_alarm_rate"),
         ratio(2 * tp, tp + fp + F.col("_p")).alias("f1"),
     )
+
+
+# ---- rule against classifier ------------------------------------------------------------------------
+
+
+def best_threshold(swept: DataFrame, metric: str = "f1") -> float:
+    """Threshold of a sweep with the highest metric, the lowest of equal ones; the sweep has a row per step."""
+    return swept.orderBy(F.desc(metric), "threshold").first()["threshold"]
+
+
+def threshold_at_recall(scored: DataFrame, recall: float, y: str = "y", score: str = "score") -> float | None:
+    """Highest score limit that finds at least this share of the positives; null without positives."""
+    return cumulative_rates(scored, y, score).where(F.col("tpr") >= recall).agg(F.max("score").alias("t")).first()["t"]
+
+
+def rule_and_model(
+    scored: DataFrame, col: str, limit: float, y: str = "y", score: str = "score", rule: str = "rule", model: str = "model"
+) -> DataFrame:
+    """Decisions of the rule ``col < limit`` and of the model at the rule's recall, on the same rows.
+
+    The model's limit is the highest one whose recall is at least that of the rule. NaN is below no limit.
+    """
+    said = (F.col(col) < limit) & ~F.isnan(F.col(col).cast("double"))
+    judged = scored.where(F.col(y).isin(0, 1) & F.col(col).isNotNull() & F.col(score).isNotNull()).withColumn(rule, said.cast("int"))
+    recall = classification_metrics(judged, y, rule).first()["recall"]
+    at = threshold_at_recall(judged, recall, y, score)
+    return judged.withColumn(model, (F.col(score) >= F.lit(float("inf") if at is None else at)).cast("int"))
+
+
+def paired_table(judged: DataFrame, y: str = "y", rule: str = "rule", model: str = "model") -> DataFrame:
+    """Per class: rows that both get right, only the rule, only the model, and neither; one pass."""
+    right = lambda c: F.col(c) == F.col(y)
+    return judged.groupBy(F.col(y).cast("int").alias(y)).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(right(rule) & right(model)).alias("both_right"),
+        F.count_if(right(rule) & ~right(model)).alias("only_rule"),
+        F.count_if(~right(rule) & right(model)).alias("only_model"),
+        F.count_if(~right(rule) & ~right(model)).alias("neither"),
+    )

@@ -1,30 +1,33 @@
-"""Classifiers on Spark ML: preparation, training, search, scoring, comparison.
+"""Classifiers: preparation, training, search, scoring, comparison.
 
-Training frames should be stored tables (see ``plans.modelling``): the learners read them many
-times, and a stored table survives lost executors without recomputing the preparation.
+The forest is Spark ML's; boosted trees and network are this package's own distributed fits, as Spark ML models.
+Training frames should be stored tables (see ``plans.modelling``): the learners read them more than once, and a
+stored table survives lost executors without recomputing the preparation.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from emberline.operators.boosting import BoostedModel, fit_boosted
 from emberline.operators.evaluation import classification_metrics, roc_auc
+from emberline.operators.network import NetworkModel, fit_network, history_rows
+from emberline.operators.preparation import fit_scaler
 from emberline.schemas import MODEL_METRICS, PREDICTORS, SEARCH_RUNS, TARGET
 
 FEATURES = "features"
+# Rows of a partition that Spark's own learners are given.
+PART_ROWS = 65_536
 WEIGHT = "weight"
 
 
@@ -88,12 +91,12 @@ def with_class_weight(
     return df.withColumn("_w", of).withColumn(WEIGHT, chosen).drop("_w")
 
 
-# Partitions that training rows are laid out in.
-PARTS = 16
+def laid_out(df: DataFrame, columns: Sequence[str], parts: int | None = None) -> DataFrame:
+    """Rows placed and ordered by their content, so that a fit does not depend on files or cores.
 
-
-def laid_out(df: DataFrame, columns: Sequence[str], parts: int = PARTS) -> DataFrame:
-    """Rows placed and ordered by their content, so that a fit does not depend on files or cores."""
+    Without ``parts`` there is a partition for every ``PART_ROWS`` rows.
+    """
+    parts = parts or max(1, -(-df.count() // PART_ROWS))
     return df.repartition(parts, *columns).sortWithinPartitions(*columns)
 
 
@@ -101,13 +104,11 @@ def laid_out(df: DataFrame, columns: Sequence[str], parts: int = PARTS) -> DataF
 
 # Default settings of the three learners.
 FOREST = {"n_estimators": 300, "max_depth": 16}
-BOOSTED = {"max_depth": 8, "eta": 0.1, "rounds": 500, "subsample": 0.8, "colsample": "0.8"}
-# Rounds without a better validation loss after which boosting ends.
-PATIENCE = 25
-HIDDEN = (128, 64, 32)
-EPOCHS = 8
+BOOSTED = {"max_depth": 8, "eta": 0.1, "rounds": 500, "subsample": 0.8, "colsample": 0.8, "patience": 25}
+# Hidden units, dropout, epochs, rows of a step and learning rate of a head.
+HEAD = {"hidden": (64,), "dropped": (0.3,), "epochs": 10, "batch_size": 32, "lr": 1e-3}
 
-# Configurations tried by the search, and the number of boosting rounds there.
+# Configurations tried by the search, and the boosting rounds and network epochs there.
 GRID = {
     "forest": (
         {"n_estimators": 100, "max_depth": 8},
@@ -129,6 +130,7 @@ GRID = {
     ),
 }
 SEARCH_ROUNDS = 200
+SEARCH_EPOCHS = 3
 
 
 def forest(n_estimators: int = 300, max_depth: int = 16, weighted: bool = True, seed: int = 42) -> Estimator:
@@ -138,120 +140,63 @@ def forest(n_estimators: int = 300, max_depth: int = 16, weighted: bool = True,
     return learner.setWeightCol(WEIGHT) if weighted else learner
 
 
-def boosted(
-    max_depth: int = 8,
-    eta: float = 0.1,
-    rounds: int = 500,
-    subsample: float = 0.8,
-    colsample: str = "0.8",
-    seed: int = 42,
-) -> Estimator:
-    """Logistic boosting on weighted rows."""
-    return GBTClassifier(
-        featuresCol=FEATURES,
-        labelCol=TARGET,
-        weightCol=WEIGHT,
-        maxDepth=max_depth,
-        stepSize=eta,
-        maxIter=rounds,
-        subsamplingRate=subsample,
-        featureSubsetStrategy=colsample,
-        seed=seed,
-    )
+def train_forest(train: DataFrame, predictors: Sequence[str] = PREDICTORS, parts: int | None = None, **settings) -> Model:
+    rows = laid_out(train, [*predictors, TARGET], parts)
+    rows = with_class_weight(rows, mode="balanced", fitted_on=train) if settings.get("weighted", True) else rows
+    return forest(**{**FOREST, **settings}).fit(assemble(rows, predictors))
 
 
-def perceptron(
-    n_inputs: int,
-    hidden: Sequence[int] = HIDDEN,
-    classes: int = 2,
-    iterations: int = 100,
-    rows_per_block: int = 128,
-    target: str = TARGET,
-    seed: int = 42,
-    step: float | None = None,
-) -> MultilayerPerceptronClassifier:
-    """Network by L-BFGS, or with a ``step`` by gradient descent of that step size."""
-    learner = MultilayerPerceptronClassifier(
-        featuresCol=FEATURES,
-        labelCol=target,
-        layers=[n_inputs, *hidden, classes],
-        maxIter=iterations,
-        blockSize=rows_per_block,
-        seed=seed,
-    )
-    return learner if step is None else learner.setParams(solver="gd", stepSize=step)
+def train_boosted(
+    train: DataFrame, val: DataFrame | None = None, predictors: Sequence[str] = PREDICTORS, **settings
+) -> BoostedModel:
+    """Boosted trees in one running fit; ``val`` decides when it ends and how many rounds are kept."""
+    return fit_boosted(train, val, predictors, TARGET, **{**BOOSTED, **settings})
 
 
-def train_forest(train: DataFrame, predictors: Sequence[str] = PREDICTORS, parts: int = PARTS, **settings) -> Model:
-    rows = laid_out(train, [*predictors, TARGET], parts)
-    rows = with_class_weight(rows, mode="balanced", fitted_on=train) if settings.get("weighted", True) else rows
-    return forest(**{**FOREST, **settings}).fit(assemble(rows, predictors))
+def train_mlp(
+    train: DataFrame, val: DataFrame | None = None, predictors: Sequence[str] = PREDICTORS, **settings
+) -> PipelineModel:
+    """Network with its own scaler: the pipeline takes raw rows, and is saved and loaded whole."""
+    scaler = fit_scaler(train, predictors)
+    names = scaler.outputs()
+    scaled_val = None if val is None else scaler.transform(val)
+    network = fit_network(scaler.transform(train), scaled_val, names, TARGET, **settings)
+    return PipelineModel([scaler, VectorAssembler(inputCols=names, outputCol=FEATURES, handleInvalid="error"), network])
 
 
-def kept_rounds(losses: Sequence[float], patience: int) -> tuple[int, bool]:
-    """Rounds up to the best loss before the first ``patience`` rounds without a better one; whether that came."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        elif k - best >= patience:
-            return best + 1, True
-    return best + 1, False
+def network_of(model: Model) -> NetworkModel:
+    """The network of a pipeline."""
+    return next(s for s in model.stages if isinstance(s, NetworkModel))
 
 
-def train_boosted(
-    train: DataFrame,
-    val: DataFrame | None = None,
-    predictors: Sequence[str] = PREDICTORS,
-    parts: int = PARTS,
-    patience: int = PATIENCE,
-    **settings,
-) -> Model:
-    """Boosted trees; ``val`` only decides how many rounds to keep. Class weights come from ``train`` alone.
-
-    The first rounds of a longer fit are the fit of fewer rounds. So the fit is tried with twice the patience in
-    rounds, then with twice as many, until the loss on ``val`` has not fallen for ``patience`` rounds or all
-    rounds are made; the rounds up to the lowest loss are fitted and returned.
-    """
-    settings = {**BOOSTED, **settings}
-    rows = with_class_weight(laid_out(train, [*predictors, TARGET], parts), mode="positive", fitted_on=train)
-    rows = assemble(rows, predictors)
-    if val is None:
-        return boosted(**settings).fit(rows)
-    held = assemble(with_class_weight(val, mode="positive", fitted_on=train), predictors)
-    most = settings["rounds"]
-    tried = min(2 * patience, most)
-    while True:
-        model = boosted(**{**settings, "rounds": tried}).fit(rows)
-        kept, stopped = kept_rounds(model.evaluateEachIteration(held), patience)
-        if stopped or tried == most:
-            break
-        tried = min(2 * tried, most)
-    return model if kept == tried else boosted(**{**settings, "rounds": kept}).fit(rows)
-
-
-def train_mlp(train: DataFrame, predictors: Sequence[str] = PREDICTORS, parts: int = PARTS, **settings) -> Model:
-    """Network on standardised rows; pass frames that went through ``standardise``."""
-    rows = laid_out(train, [*predictors, TARGET], parts)
-    return perceptron(len(predictors), **settings).fit(assemble(rows, predictors))
+def history_frame(spark: SparkSession, model: Model) -> DataFrame:
+    """Loss and accuracy on both parts after every epoch of a network's fit."""
+    rows = history_rows(network_of(model) if isinstance(model, PipelineModel) else model)
+    return spark.createDataFrame(rows, "epoch int, train_loss double, val_loss double, train_acc double, val_acc double")
 
 
 def score(
     model: Model, df: DataFrame, predictors: Sequence[str] = PREDICTORS, threshold: float | None = 0.5
 ) -> DataFrame:
-    """Add ``score`` (probability of class 1) and ``pred``; ``threshold=None`` takes the likelier class."""
-    scored = model.transform(assemble(df, predictors))
+    """Add ``score`` (probability of class 1) and ``pred``; ``threshold=None`` takes the likelier class.
+
+    A pipeline prepares the rows itself.
+    """
+    scored = model.transform(df if isinstance(model, PipelineModel) else assemble(df, predictors))
     likely = vector_to_array("probability")[1]
     pred = F.col("prediction") if threshold is None else (likely >= threshold)
     return scored.select(*df.columns, likely.alias("score"), pred.cast("int").alias("pred"))
 
 
 def save_model(model: Model, path: str) -> None:
-    PipelineModel([model]).write().overwrite().save(path)
+    """A model, or a pipeline with its preparation."""
+    (model if isinstance(model, PipelineModel) else PipelineModel([model])).write().overwrite().save(path)
 
 
 def load_model(path: str) -> Model:
-    return PipelineModel.load(path).stages[0]
+    """What was saved: a pipeline where preparation was saved with the model, the model alone elsewhere."""
+    found = PipelineModel.load(path)
+    return found if len(found.stages) > 1 else found.stages[0]
 
 
 # ---- comparison and search --------------------------------------------------------------------
@@ -297,24 +242,65 @@ def compare_models(spark: SparkSession, candidates: Iterable[Candidate], target:
     return spark.createDataFrame(rows, MODEL_METRICS)
 
 
+def side_by_side(work: Sequence[Callable], at_once: int) -> list:
+    """Results of independent fits; their Spark jobs share the cluster."""
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(SparkSession.active())(w)) for w in work]]
+
+
+def validation_f1(scored: DataFrame) -> float:
+    return classification_metrics(scored, TARGET).first()["f1"]
+
+
+def search_row(model: str, config: dict, f1: float, seconds: float) -> tuple:
+    known = [f.name for f in SEARCH_RUNS][4:]
+    return (model, str(config), f1, seconds, *[float(config[k]) if k in config else None for k in known])
+
+
 def search(
-    spark: SparkSession,
     model: str,
     grid: Iterable[dict],
     fit: Callable[[dict], Model],
     val: DataFrame,
     predictors: Sequence[str] = PREDICTORS,
     threshold: float | None = 0.5,
-) -> DataFrame:
-    """F1 on a fixed validation part and the training time for every configuration."""
-    rows = []
-    known = [f.name for f in SEARCH_RUNS][4:]
-    for config in grid:
+    at_once: int = 4,
+) -> list[tuple]:
+    """F1 on a fixed validation part and the training time for every configuration, fitted side by side."""
+
+    def tried(config: dict) -> tuple:
         trained, seconds = timed(lambda: fit(config))
-        f1 = classification_metrics(score(trained, val, predictors, threshold), TARGET).first()["f1"]
-        values = [float(config[k]) if k in config else None for k in known]
-        rows.append((model, str(config), f1, seconds, *values))
-    return spark.createDataFrame(rows, SEARCH_RUNS)
+        return search_row(model, config, validation_f1(score(trained, val, predictors, threshold)), seconds)
+
+    return side_by_side([lambda c=c: tried(c) for c in grid], at_once)
+
+
+def search_forest(
+    grid: Sequence[dict], train: DataFrame, val: DataFrame, predictors: Sequence[str] = PREDICTORS, at_once: int = 4, **settings
+) -> list[tuple]:
+    """The search over forests, staged: forests of one depth grow from each other.
+
+    The trees of a smaller forest are the first of the next larger one of that depth; only the trees in between
+    are fitted, with a seed of their own. A forest's probability is the mean of its stages' by number of trees, and
+    its time the sum of theirs.
+    """
+    seed = settings.pop("seed", 42)
+
+    def staged(depth: int) -> list[tuple]:
+        sizes = sorted({c["n_estimators"] for c in grid if c["max_depth"] == depth})
+        scored, total, done, rows = assemble(val, predictors).withColumn("_sum", F.lit(0.0)), 0.0, 0, {}
+        for stage, size in enumerate(sizes):
+            fit = lambda: train_forest(train, predictors, n_estimators=size - done, max_depth=depth, seed=seed + stage, **settings)  # noqa: B023
+            model, seconds = timed(fit)
+            total += seconds
+            added = model.transform(scored).withColumn("_new", F.col("_sum") + (size - done) * vector_to_array("probability")[1])
+            scored = added.select(*[c for c in scored.columns if c != "_sum"], F.col("_new").alias("_sum"))
+            done = size
+            share = F.col("_sum") / size
+            rows[size] = validation_f1(scored.withColumns({"score": share, "pred": (share >= 0.5).cast("int")})), total
+        return [search_row("Random Forest", c, *rows[c["n_estimators"]]) for c in grid if c["max_depth"] == depth]
+
+    return [r for some in side_by_side([lambda d=d: staged(d) for d in sorted({c["max_depth"] for c in grid})], at_once) for r in some]
 
 
 # ---- heads on stored feature vectors, training history ------------------------------------------
@@ -328,15 +314,21 @@ def vector_features(df: DataFrame, vectors: str, label: str) -> DataFrame:
     )
 
 
+def vector_columns(df: DataFrame, vectors: str, width: int, label: str) -> DataFrame:
+    """One column per component, and the label."""
+    return df.select(*[F.col(vectors)[k].cast("double").alias(f"v{k}") for k in range(width)], F.col(label))
+
+
 def train_head(
-    df: DataFrame, vectors: str, label: str, width: int, classes: int, hidden: int | None = 64,
-    iterations: int = 50, seed: int = 42,
-) -> Model:
-    """Small trained head on a frozen extractor: one hidden layer, or none for a linear one."""
-    rows = vector_features(laid_out(df, [vectors, label]), vectors, label)
-    if hidden is None:
-        return LogisticRegression(featuresCol=FEATURES, labelCol=label, maxIter=iterations).fit(rows)
-    return perceptron(width, (hidden,), classes, iterations, target=label, seed=seed).fit(rows)
+    df: DataFrame, vectors: str, label: str, width: int, classes: int, val: DataFrame | None = None, seed: int = 42, **settings
+) -> NetworkModel:
+    """Small trained head on a frozen extractor: one hidden layer with dropout, or with ``hidden=()`` a linear one."""
+    settings = {**HEAD, **settings}
+    if not settings["hidden"]:
+        settings["dropped"] = ()
+    normed = (False,) * len(settings["hidden"])
+    parts = [None if d is None else vector_columns(d, vectors, width, label) for d in (df, val)]
+    return fit_network(*parts, [f"v{k}" for k in range(width)], label, classes=classes, normed=normed, seed=seed, **settings)
 
 
 def loss_and_accuracy(model: Model, rows: DataFrame, label: str) -> tuple[float, float]:
@@ -348,40 +340,6 @@ def loss_and_accuracy(model: Model, rows: DataFrame, label: str) -> tuple[float,
     return got["loss"], got["accuracy"]
 
 
-def training_history(
-    train: DataFrame,
-    val: DataFrame,
-    label: str,
-    layers: Sequence[int],
-    epochs: int = EPOCHS,
-    steps: int = 5,
-    seed: int = 42,
-) -> tuple[DataFrame, list[Model]]:
-    """Loss and accuracy on both parts after every epoch; each epoch goes on from the last weights.
-
-    ``train`` and ``val`` hold (features, label). The history has one row per epoch.
-    """
-    learner = perceptron(layers[0], layers[1:-1], layers[-1], steps, target=label, seed=seed)
-    rows, models = [], []
-    for epoch in range(1, epochs + 1):
-        model = learner.fit(train)
-        learner = learner.setInitialWeights(model.weights)
-        train_loss, train_acc = loss_and_accuracy(model, train, label)
-        val_loss, val_acc = loss_and_accuracy(model, val, label)
-        rows.append((epoch, train_loss, val_loss, train_acc, val_acc))
-        models.append(model)
-    schema = "epoch int, train_loss double, val_loss double, train_acc double, val_acc double"
-    return train.sparkSession.createDataFrame(rows, schema), models
-
-
 def pick_best_epoch(history: DataFrame) -> DataFrame:
     """The epoch with the lowest validation loss; the first one where losses are equal."""
     return history.orderBy("val_loss", "epoch").limit(1)
-
-
-def best_model(history: DataFrame, models: Sequence[Model], path: str | None = None) -> Model:
-    """The model of the best epoch of a history, also saved if a path is given."""
-    model = models[pick_best_epoch(history).first()["epoch"] - 1]
-    if path is not None:
-        save_model(model, path)
-    return model

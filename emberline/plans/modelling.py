@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ast
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from emberline.functions.hashing import below, hash32
 from emberline.operators.models import (
     GRID,
+    SEARCH_EPOCHS,
     SEARCH_ROUNDS,
     Candidate,
     compare_models,
     search,
-    standardise,
+    search_forest,
+    side_by_side,
     timed,
     train_boosted,
     train_forest,
@@ -21,29 +25,35 @@ from emberline.operators.models import (
 )
 from emberline.operators.run_reports import fastest_within_tolerance
 from emberline.operators.sampling import exact_stratified_split, stratified_split
-from emberline.schemas import MODEL_COLUMNS, TARGET
+from emberline.schemas import MODEL_COLUMNS, SEARCH_RUNS, TARGET
 from emberline.session import scratch_path
+from emberline.sources.run_files import path_exists, read_best_configs
 from emberline.sources.tables import read_split, write_splits
 
-
-# Step size of gradient descent per unit of the grid's learning rate.
-LR_SCALE = 1000.0
+LEARNERS = {"forest": "Random Forest", "boosted": "Boosted Trees", "mlp": "Neural Network"}
+# A stored batch size below the first is taken as the second on a whole training part.
+LEAST_BATCH, WHOLE_BATCH = 8192, 32768
+# Name of the column that numbers the rows of stored splits.
+ROW = "row"
 
 
 def bounded(train: DataFrame, most: int) -> DataFrame:
-    """At most about ``most`` training rows, by a hash of their content; all of a smaller part."""
+    """At most about ``most`` training rows, by a hash of their row number; all of a smaller part."""
     share = most / max(train.count(), 1)
-    return train if share >= 1 else train.where(below(hash32(train.columns), share))
+    return train if share >= 1 else train.where(below(hash32([ROW]), share))
 
 
 def store_splits(
     spark: SparkSession, labelled: DataFrame, keys: Sequence[str], path: str | None = None, exact: bool = True
 ) -> str:
-    """Split by row key and write one folder per part; rows without a label are left out."""
+    """Split by row key and write one folder per part; rows without a label are left out.
+
+    The stored column ``row`` is a hash of the row key, by which later steps deal rows.
+    """
     path = path or scratch_path(spark, "splits")
     rows = labelled.where(F.col(TARGET).isNotNull())
     split = exact_stratified_split(rows, keys) if exact else stratified_split(rows, keys)
-    write_splits(split.select(*MODEL_COLUMNS, "split"), path)
+    write_splits(split.select(*MODEL_COLUMNS, F.xxhash64(*keys).alias(ROW), "split"), path)
     return path
 
 
@@ -53,56 +63,77 @@ def train_and_compare(
     forest: dict | None = None,
     boosted: dict | None = None,
     mlp: dict | None = None,
+    best: str | None = None,
+    forest_rows: int | None = None,
 ) -> DataFrame:
-    """Metrics of forest, boosted trees and network on the test part."""
+    """Metrics of forest, boosted trees and network on the test part.
+
+    ``best`` is a file of stored best configurations: they set what the arguments leave open. ``forest_rows`` bounds
+    the rows that the forest is fitted on; all else runs over whole parts.
+    """
+    found = trained_settings(spark, best) if best else {}
+    forest, boosted, mlp = ({**found.get(k, {}), **(v or {})} for k, v in (("forest", forest), ("boosted", boosted), ("mlp", mlp)))
     train, val, test = (read_split(spark, splits, s) for s in ("train", "val", "test"))
-    rf, rf_time = timed(lambda: train_forest(train, **(forest or {})))
-    gbt, gbt_time = timed(lambda: train_boosted(train, val, **(boosted or {})))
-    scaled = standardise(train, train)
-    net, net_time = timed(lambda: train_mlp(scaled, **(mlp or {})))
+    rf, rf_time = timed(lambda: train_forest(train if forest_rows is None else bounded(train, forest_rows), **forest))
+    key = {"key": F.col(ROW)} if ROW in train.columns else {}
+    gbt, gbt_time = timed(lambda: train_boosted(train, val, **key, **boosted))
+    net, net_time = timed(lambda: train_mlp(train, val, **key, **mlp))
     return compare_models(
         spark,
         [
-            Candidate("Random Forest", rf, test, rf_time),
-            Candidate("Boosted Trees", gbt, test, gbt_time),
-            Candidate("Neural Network", net, standardise(test, train), net_time, threshold=None),
+            Candidate(LEARNERS["forest"], rf, test, rf_time),
+            Candidate(LEARNERS["boosted"], gbt, test, gbt_time),
+            Candidate(LEARNERS["mlp"], net, test, net_time, threshold=None),
         ],
     )
 
 
 def search_configs(
-    spark: SparkSession, splits: str, grid: dict[str, Sequence[dict]] | None = None, **fixed: dict
+    spark: SparkSession,
+    splits: str,
+    grid: dict[str, Sequence[dict]] | None = None,
+    forest_rows: int | None = None,
+    **fixed: dict,
 ) -> DataFrame:
-    """All configurations of the three learners on the stored split.
+    """All configurations of the three learners on the stored split, independent fits side by side.
 
-    ``fixed`` holds settings shared by a learner's configurations, by learner name. The learning rate of the
-    network is ``LR_SCALE`` times that of the grid, as the step size of gradient descent over all rows: the
-    grid's rates are for steps of unit length per weight, gradients here are about a thousandth of that. Its
-    batch size becomes the rows per block, which is a matter of storage and speed only.
+    ``fixed`` holds settings shared by a learner's configurations, by learner name.
     """
     grid = GRID if grid is None else grid
     train, val = (read_split(spark, splits, s) for s in ("train", "val"))
-    found = []
-    if "forest" in grid:
-        more = fixed.get("forest", {})
-        found.append(search(spark, "Random Forest", grid["forest"], lambda c: train_forest(train, **more, **c), val))
-    if "boosted" in grid:
-        more = {"rounds": SEARCH_ROUNDS, **fixed.get("boosted", {})}
-        found.append(
-            search(spark, "Boosted Trees", grid["boosted"], lambda c: train_boosted(train, **more, **c), val)
-        )
-    if "mlp" in grid:
-        more = fixed.get("mlp", {})
-        scaled, scaled_val = standardise(train, train), standardise(val, train)
-        fit = lambda c: train_mlp(scaled, rows_per_block=c["batch_size"], step=c["lr"] * LR_SCALE, **more)
-        found.append(search(spark, "Neural Network", grid["mlp"], fit, scaled_val, threshold=None))
-    table = found[0]
-    for other in found[1:]:
-        table = table.unionByName(other)
-    return table
+    key = {"key": F.col(ROW)} if ROW in train.columns else {}
+    some = train if forest_rows is None else bounded(train, forest_rows)
+    boosted = {"rounds": SEARCH_ROUNDS, **key, **fixed.get("boosted", {})}
+    mlp = {"epochs": SEARCH_EPOCHS, **key, **fixed.get("mlp", {})}
+    work = {
+        "forest": lambda: search_forest(grid["forest"], some, val, **fixed.get("forest", {})),
+        "boosted": lambda: search(LEARNERS["boosted"], grid["boosted"], lambda c: train_boosted(train, **boosted, **c), val),
+        "mlp": lambda: search(LEARNERS["mlp"], grid["mlp"], lambda c: train_mlp(train, **mlp, **c), val, threshold=None),
+    }
+    found = side_by_side([w for k, w in work.items() if k in grid], len(work))
+    return spark.createDataFrame([r for rows in found for r in rows], SEARCH_RUNS)
 
 
 def best_configs(table: DataFrame, tolerance: float = 0.01) -> DataFrame:
     return fastest_within_tolerance(table, tolerance)
 
 
+def store_best_configs(table: DataFrame, path: str, tolerance: float = 0.01) -> None:
+    """The best configuration of every learner as one document ``{learner: configuration}``."""
+    picks = {r["model"]: r["config"] for r in best_configs(table, tolerance).select("model", "config").collect()}
+    document = json.dumps(dict(sorted(picks.items())))
+    table.sparkSession.createDataFrame([(document,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def trained_settings(spark: SparkSession, path: str) -> dict[str, dict]:
+    """Stored best configurations as settings by learner; nothing where there is no such file.
+
+    A batch size that is too small for a whole training part is replaced.
+    """
+    if not path_exists(spark, path):
+        return {}
+    stored = {r["model"]: ast.literal_eval(r["config"]) for r in read_best_configs(spark, path).collect()}
+    found = {k: dict(stored[name]) for k, name in LEARNERS.items() if name in stored}
+    if found.get("mlp", {}).get("batch_size", LEAST_BATCH) < LEAST_BATCH:
+        found["mlp"]["batch_size"] = WHOLE_BATCH
+    return found

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from emberline.functions.hashing import below, hash32
 from emberline.operators.profile import class_balance, rows_counted
 from emberline.operators.sampling import stratified_split
 from emberline.plans.model_table import build_model_table
@@ -15,7 +16,7 @@ from emberline.registry.detection_queries import rounded, typed
 from emberline.registry.views import ROW_KEY, hash_sql, sql_with
 from emberline.schemas import DETECTIONS, MODEL_METRICS, TARGET
 from emberline.session import scratch_path
-from emberline.sources import audit, contract, drops, run_files, tables
+from emberline.sources import audit, contract, drops, images, run_files, tables
 from emberline.streaming.ingest import ingest_stream
 
 RAW_COLUMNS = [f.name for f in DETECTIONS]
@@ -263,3 +264,60 @@ register(
         "(SELECT satellite, is_false_alarm, count(*) AS n FROM lab GROUP BY ALL)",
     ),
 )
+
+
+# ---- schema of a drop, image folders -------------------------------------------------------------------
+
+
+def inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of a CSV drop by its first lines, and what the contract says of the table read with them."""
+    folder = scratch_path(spark, "clean-drop")
+    rows = views.detections(spark, sf_dir).select(*RAW_COLUMNS)
+    rows.write.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(folder)
+    schema = drops.infer_schema(spark, folder)
+    read = spark.read.schema(schema).options(**drops.csv_options(None)).csv(folder)
+    types = spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in schema], "column string, type string")
+    counts = read.agg(*[F.count(c).alias(c) for c in schema.names]).unpivot([], schema.names, "column", "n_values")
+    return types.join(counts, "column")
+
+
+INFERRED = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS v FROM (SELECT {', '.join(RAW_COLUMNS)} FROM det)" for c in RAW_COLUMNS
+)
+register(
+    "infer_schema",
+    "S3",
+    inferred,
+    sql_with(
+        "det",
+        'SELECT "column", CASE WHEN bool_and(regexp_full_match(v, \'[+-]?[0-9]{1,18}\')) THEN \'bigint\' '
+        "WHEN bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL) THEN 'double' WHEN bool_and(TRY_CAST(v AS DATE) IS NOT NULL) THEN 'date' "
+        'ELSE \'string\' END AS type, count(v) AS n_values FROM long WHERE v IS NOT NULL GROUP BY "column"',
+        long=INFERRED,
+    ),
+)
+
+
+def image_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Stored vectors as a folder of small files ``split=<part>/label=<class>/<file>``, one for each."""
+    folder = scratch_path(spark, "images")
+    part = F.when(below(hash32(["vec_id"]), 0.80), "train").otherwise("valid")
+    rows = views.table(spark, sf_dir, "embeddings").select(
+        F.concat_ws(" ", F.transform("embedding", lambda x: x.cast("string"))).alias("value"), part.alias("split"), "label"
+    )
+    rows.write.option("maxRecordsPerFile", 1).partitionBy("split", "label").text(folder)
+    return folder
+
+
+def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = images.image_manifest(spark, image_folder(spark, sf_dir), "*.txt")
+    return images.manifest_counts(files.where(F.col("length") > 0)).select("split", F.col("label").cast("int").alias("label"), "n")
+
+
+register(
+    "image_manifest",
+    "S16",
+    manifest,
+    f"SELECT CASE WHEN {hash_sql('vec_id')} < {int(0.80 * 2**32)} THEN 'train' ELSE 'valid' END AS split, "
+    "CAST(label AS INTEGER) AS label, count(*) AS n FROM embeddings GROUP BY ALL",
+)

@@ -95,3 +95,57 @@ def filter_area(df: DataFrame, area: str) -> DataFrame:
         return df
     west, south, east, north = box
     return df.where(F.col("longitude").between(west, east) & F.col("latitude").between(south, north))
+
+
+# ---- schema of a drop ---------------------------------------------------------------------------------
+
+# What a value can be, as bits: of several values the bits are put together. Lowest first.
+KINDS = (
+    ("whole", r"^[+-]?\d{1,18}$"),
+    ("number", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"),
+    ("date", r"^\d{4}-\d{2}-\d{2}$"),
+)
+#: Lines of a file that its types are taken from.
+FIRST_LINES = 10_000
+
+
+def kind_of(value: Column) -> Column:
+    """The bit of the narrowest kind of a text value: whole number, number, date, or text; 0 for null and empty."""
+    text = F.trim(value)
+    out = F.when(value.isNull() | (text == ""), 0)
+    for k, (name, pattern) in enumerate(KINDS):
+        fits = text.rlike(pattern) if name != "date" else text.rlike(pattern) & F.try_to_date(text, "yyyy-MM-dd").isNotNull()
+        out = out.when(fits, 1 << k)
+    return out.otherwise(1 << len(KINDS))
+
+
+def joined_type(bits: int) -> T.DataType:
+    """The least type that holds all kinds that were seen; a column of nulls is text."""
+    if bits == 1:
+        return T.LongType()
+    if bits in (2, 3):
+        return T.DoubleType()
+    return T.DateType() if bits == 4 else T.StringType()
+
+
+def infer_schema(spark: SparkSession, folder: str, lines: int = FIRST_LINES) -> T.StructType:
+    """Column types of a folder of CSV files from the first lines of every file, merged over the files.
+
+    Every value is one of four kinds; a column's type is the least one above all its kinds (whole number below
+    number, all below text). Only the first block of a file is looked at. The driver gets one row of bits.
+    """
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv")
+    names = reader.csv(folder).columns
+    text = T.StructType([T.StructField(c, T.StringType()) for c in names])
+    values = [F.col(f"`{c}`").alias(f"v{k}") for k, c in enumerate(names)]
+    read = reader.schema(text).csv(folder).select(
+        *values,
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+    ).where("_block = 0")
+    # Lines of a block lie in one task, one behind another: one row per file says where its lines begin.
+    begins = read.groupBy("_file").agg(F.min("_line").alias("_first"))
+    first = read.join(begins, "_file").where(F.col("_line") < F.col("_first") + lines)
+    seen = first.agg(*[F.bit_or(kind_of(F.col(f"v{k}"))).alias(f"v{k}") for k in range(len(names))]).first()
+    return T.StructType([T.StructField(c, joined_type(seen[k] or 0)) for k, c in enumerate(names)])

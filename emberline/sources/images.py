@@ -1,4 +1,7 @@
-"""Image folders ``<split>/<label>/<file>``: one row per image, contents not read."""
+"""Image folders ``<split>/<label>/<file>``: one row per image, contents not read.
+
+Folder names may carry a key, as in ``split=train``.
+"""
 
 from __future__ import annotations
 
@@ -12,7 +15,7 @@ def image_manifest(spark: SparkSession, root: str, pattern: str = "*.{jpg,jpeg,p
         .option("pathGlobFilter", pattern)
         .load(root)
     )
-    parts = F.split("path", "/")
+    parts = F.transform(F.split("path", "/"), lambda p: F.regexp_replace(p, "^[^=]*=", ""))
     return files.select(
         "path",
         F.element_at(parts, -3).alias("split"),

@@ -1,8 +1,12 @@
+import json
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from emberline.functions.hashing import below, hash32
-from emberline.operators import models
+from emberline.operators import boosting, evaluation, models, network
+from emberline.operators.blocks import Block, store_blocks, uniform
 from emberline.operators.evaluation import classification_metrics, roc_auc
 from emberline.plans import modelling
 from emberline.registry import views
@@ -68,8 +72,8 @@ def test_forest_beats_the_best_single_column_and_repeats(spark, splits, tmp_path
 
 def test_boosting_keeps_the_rounds_up_to_the_lowest_loss(spark, splits):
     train, val = part(spark, splits, "train"), part(spark, splits, "val")
-    model = models.train_boosted(train, val, max_depth=4, eta=0.3, rounds=24, patience=4)
-    assert 1 <= model.getNumTrees < 24
+    model = models.train_boosted(train, val, max_depth=6, eta=0.5, rounds=80, patience=4)
+    assert 1 <= model.getNumTrees < 80
 
 
 @pytest.mark.parametrize(
@@ -77,16 +81,16 @@ def test_boosting_keeps_the_rounds_up_to_the_lowest_loss(spark, splits):
     [([3, 2, 1], (3, False)), ([3, 1, 2, 2], (2, True)), ([1, 1, 1], (1, True)), ([2, 3, 1, 3, 3], (3, True)), ([5], (1, False))],
 )
 def test_patience(losses, want):
-    assert models.kept_rounds(losses, 2) == want
+    assert boosting.kept_rounds(losses, 2) == want
 
 
 def test_learning_rates_give_different_networks(spark, splits):
-    scaled = models.standardise(part(spark, splits, "train"), part(spark, splits, "train"))
-    nets = [models.train_mlp(scaled, hidden=(8,), iterations=40, step=s) for s in (0.05, 5.0)]
-    scores = [[r.score for r in models.score(n, scaled, threshold=None).select("score").limit(50).collect()] for n in nets]
+    train = part(spark, splits, "train")
+    nets = [models.train_mlp(train, hidden=(8,), epochs=2, batch_size=256, lr=r) for r in (1e-4, 1e-2)]
+    scores = [[r.score for r in models.score(n, train, threshold=None).select("score").limit(50).collect()] for n in nets]
     assert scores[0] != scores[1]
-    f1 = [classification_metrics(models.score(n, scaled, threshold=None), TARGET).first()["f1"] for n in nets]
-    assert f1[0] != f1[1]
+    loss = [models.history_frame(spark, n).orderBy(F.desc("epoch")).first().train_loss for n in nets]
+    assert loss[1] < loss[0]
 
 
 def test_layout_follows_content_only(spark):
@@ -101,7 +105,7 @@ def test_comparison_table(spark, splits):
         splits,
         forest={"n_estimators": 5, "max_depth": 4},
         boosted={"max_depth": 2, "rounds": 5},
-        mlp={"hidden": (8,), "iterations": 20},
+        mlp={"hidden": (16,), "epochs": 10, "batch_size": 256, "lr": 1e-2},
     )
     assert table.schema == MODEL_METRICS
     got = table.collect()
@@ -109,41 +113,233 @@ def test_comparison_table(spark, splits):
     assert all(0.5 < r.roc_auc < 1 and r.train_time_s > 0 for r in got)
 
 
-def test_search_rows(spark, splits):
-    grid = {"forest": ({"n_estimators": 3, "max_depth": 2}, {"n_estimators": 3, "max_depth": 5})}
-    table = modelling.search_configs(spark, splits, grid)
+GRID = {
+    "forest": ({"n_estimators": 3, "max_depth": 2}, {"n_estimators": 3, "max_depth": 5}, {"n_estimators": 7, "max_depth": 5}),
+    "boosted": ({"max_depth": 2, "eta": 0.3}, {"max_depth": 3, "eta": 0.1}),
+    "mlp": ({"batch_size": 256, "lr": 1e-3}, {"batch_size": 512, "lr": 1e-2}),
+}
+
+
+def test_search_rows_and_stored_picks(spark, splits, tmp_path, monkeypatch):
+    fitted = []
+    real = models.train_forest
+    monkeypatch.setattr(models, "train_forest", lambda *a, **k: (fitted.append((k["n_estimators"], k["max_depth"])), real(*a, **k))[1])
+    table = modelling.search_configs(spark, splits, GRID, boosted={"rounds": 3}, mlp={"hidden": (8,)})
     assert table.schema == SEARCH_RUNS
-    got = table.collect()
-    assert [r.max_depth for r in got] == [2.0, 5.0] and got[0].eta is None
-    assert modelling.best_configs(table).first().config in {r.config for r in got}
+    got = {r.config: r for r in table.collect()}
+    assert set(got) == {str(c) for some in GRID.values() for c in some}
+    assert sorted(fitted) == [(3, 2), (3, 5), (4, 5)]  # the forest of seven grows from the one of three
+    assert all(0 <= r.f1 <= 1 and r.time_s > 0 for r in got.values())
+    assert got[str(GRID["forest"][2])].time_s > got[str(GRID["forest"][1])].time_s and got[str(GRID["forest"][0])].eta is None
+    where = str(tmp_path / "best")
+    modelling.store_best_configs(table, where)
+    picks = {r.model: r.config for r in modelling.best_configs(table).collect()}
+    settings = modelling.trained_settings(spark, where)
+    assert str(settings["boosted"]) == picks["Boosted Trees"] and str(settings["forest"]) == picks["Random Forest"]
+    assert settings["mlp"]["batch_size"] == 32768  # both are too small for a whole training part
+    assert modelling.trained_settings(spark, str(tmp_path / "none")) == {}
+    seen = {}
+    monkeypatch.setattr(modelling, "train_boosted", lambda t, v, **k: (seen.update(k), models.train_boosted(t, v, **k))[1])
+    modelling.train_and_compare(spark, splits, boosted={"rounds": 2}, mlp={"hidden": (8,), "epochs": 1}, best=where)
+    assert seen["max_depth"] == settings["boosted"]["max_depth"] and seen["rounds"] == 2
+
+
+def test_a_staged_forest_is_the_mean_of_its_stages(spark, splits):
+    train, val = part(spark, splits, "train"), part(spark, splits, "val")
+    grid = [{"n_estimators": 2, "max_depth": 3}, {"n_estimators": 5, "max_depth": 3}]
+    rows = {r[1]: r[2] for r in models.search_forest(grid, train, val)}
+    first = models.train_forest(train, n_estimators=2, max_depth=3, seed=42)
+    more = models.train_forest(train, n_estimators=3, max_depth=3, seed=43)
+    one = models.score(first, val).withColumnRenamed("score", "s1").drop("pred")
+    both = models.score(more, one).withColumn("pred", ((2 * F.col("s1") + 3 * F.col("score")) / 5 >= 0.5).cast("int"))
+    assert rows[str(grid[0])] == pytest.approx(classification_metrics(models.score(first, val), TARGET).first()["f1"])
+    assert rows[str(grid[1])] == pytest.approx(classification_metrics(both, TARGET).first()["f1"])
 
 
 def test_default_settings():
     assert models.forest().getNumTrees() == 300 and models.forest().getMaxDepth() == 16
-    net = models.perceptron(len(PREDICTORS))
-    assert net.getLayers() == [11, 128, 64, 32, 2]
+    shape = network.Shape((len(PREDICTORS), *network.HIDDEN, 2), (True, True, False), (0.3, 0.2, 0.0))
+    sizes = dict(shape.pieces())
+    assert [sizes[f"w{k}"] for k in range(4)] == [(11, 128), (128, 64), (64, 32), (32, 2)]
+    assert {"scale0", "scale1"} <= set(sizes) and "scale2" not in sizes
     assert [len(g) for g in models.GRID.values()] == [4, 4, 4]
     deep = max(c["max_depth"] for c in models.GRID["forest"])
     assert deep <= 30
 
 
+# ---- network ----------------------------------------------------------------------------------------
+
+
+def some_block(n=40, width=3, number=0):
+    r = np.random.default_rng(5 + number)
+    x = r.normal(size=(n, width))
+    return Block(number, r.integers(-(2**62), 2**62, n), x, (x[:, 0] * x[:, 1] > 0).astype(float))
+
+
+def test_gradient_equals_finite_differences():
+    shape = network.Shape((3, 6, 5, 4, 2), (True, True, False), (0.3, 0.2, 0.0))
+    weights, _ = network.initial(shape, 1)
+    weights = weights + np.random.default_rng(2).normal(0, 0.05, len(weights))
+    block, h = some_block(), 1e-6
+    gradient = network.block_sums(shape, weights, block, 11).gradient
+    for k in np.random.default_rng(3).choice(len(weights), 60, replace=False):
+        step = np.zeros_like(weights)
+        step[k] = h
+        up, down = (network.block_sums(shape, weights + s, block, 11).loss for s in (step, -step))
+        assert gradient[k] == pytest.approx((up - down) / (2 * h), abs=1e-4)
+
+
+def test_dropout_follows_rows_epochs_and_units():
+    keys = np.arange(20_000, dtype=np.int64) - 9_000
+    u = uniform(keys, 7, 5)
+    assert u.shape == (20_000, 5) and abs((u < 0.3).mean() - 0.3) < 0.01
+    assert (uniform(keys[5:9], 7, 5) == u[5:9]).all() and (uniform(keys, 8, 5) != u).mean() > 0.99
+    assert abs(np.corrcoef(u[:, 0], u[:, 1])[0, 1]) < 0.03
+
+
+def test_adam_goes_down_a_bowl():
+    adam, w = network.Adam(2, 0.1), np.array([3.0, -2.0])
+    for _ in range(300):
+        w = adam.moved(w, 2 * w)
+    assert np.abs(w).max() < 1e-2
+
+
+@pytest.fixture(scope="module")
+def bent(spark):
+    """Rows whose label no single column and no line tells."""
+    r = np.random.default_rng(0)
+    x = r.normal(size=(3000, 4))
+    y = (x[:, 0] * x[:, 1] + x[:, 2] ** 2 - 1 + 0.2 * r.normal(size=3000) > 0).astype(int)
+    df = spark.createDataFrame([(k, *map(float, row), int(c)) for k, (row, c) in enumerate(zip(x, y))], "id long, a double, b double, c double, d double, y int")
+    return df.where("id % 4 > 0"), df.where("id % 4 = 0")
+
+
+def test_network_learns_and_does_not_depend_on_partitions(spark, bent):
+    train, val = bent
+    fits = [
+        network.fit_network(d, val, list("abcd"), "y", epochs=5, batch_size=256, lr=5e-3, key=F.col("id"), parts=p)
+        for d, p in ((train.repartition(5), 2), (train.coalesce(1), 8))
+    ]
+    one, two = ([(e.train_loss, e.val_loss) for e in m.history] for m in fits)
+    assert np.allclose(one, two, atol=1e-6)
+    losses = [e.train_loss for e in fits[0].history]
+    assert losses == sorted(losses, reverse=True) and losses[-1] < 0.7 * losses[0]
+    best = min(fits[0].history, key=lambda e: e.val_loss)
+    assert fits[0].getOrDefault("weights") == best.weights.tolist() and best.val_acc > 0.8
+
+
+def test_a_network_is_saved_with_its_scaler(spark, splits, tmp_path):
+    train, val, test = (part(spark, splits, s) for s in ("train", "val", "test"))
+    model = models.train_mlp(train, val, hidden=(8, 4), epochs=2, batch_size=512)
+    where = str(tmp_path / "net")
+    models.save_model(model, where)
+    before = models.score(model, test, threshold=None).withColumnRenamed("score", "before").drop("pred")
+    after = models.score(models.load_model(where), before, threshold=None)
+    assert after.count() == test.count() and after.where("score <> before").count() == 0
+    assert after.where("(score > 0.5) <> (pred = 1)").count() == 0
+    moments = train.agg(F.avg("frp"), F.stddev_pop("frp")).first()
+    scaler = models.load_model(where).stages[0]
+    at = scaler.getOrDefault("names").index("frp")
+    assert (scaler.getOrDefault("means")[at], scaler.getOrDefault("spreads")[at]) == pytest.approx(tuple(moments))
+
+
+def test_blocks_follow_keys_only_and_hold_every_row(spark):
+    df = spark.range(1000).selectExpr("id", "cast(id % 7 as double) AS a", "cast(id % 2 as int) AS y")
+    read = lambda d: sorted(
+        (b.number, k, x[0], y) for b in store_blocks(d, ["a"], "y", 50, F.col("id"), part_rows=300).read(spark).collect() for k, x, y in zip(b.key, b.x, b.y)
+    )
+    one = read(df.repartition(7))
+    assert one == read(df.coalesce(1)) and sorted(k for _, k, _, _ in one) == list(range(1000))
+    hot = spark.range(2000).selectExpr("1.0D AS a", "1 AS y")
+    sizes = [len(b.y) for b in store_blocks(hot, ["a"], "y", 50).read(spark).collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 100  # a block has twice its rows at most
+    with pytest.raises(Exception, match="null or NaN"):
+        store_blocks(df.withColumn("a", F.when(F.col("id") != 3, F.col("a"))), ["a"], "y", 50)
+
+
+# ---- boosting ---------------------------------------------------------------------------------------
+
+
+def test_boosting_does_not_depend_on_partitions(spark, bent):
+    train, val = bent
+    fits = [
+        boosting.fit_boosted(d, val, list("abcd"), "y", max_depth=4, eta=0.3, rounds=6, key=F.col("id"), parts=p)
+        for d, p in ((train.repartition(5), 2), (train.coalesce(1), 8))
+    ]
+    assert fits[0].losses == fits[1].losses and fits[0].getOrDefault("trees") == fits[1].getOrDefault("trees")
+    assert fits[0].losses == sorted(fits[0].losses, reverse=True) and fits[0].losses[-1] < 0.45
+
+
+def test_every_round_is_made_once_and_patience_stops_a_running_fit(spark, bent, monkeypatch):
+    train, val = bent
+    made = []
+    real = boosting.grown
+    monkeypatch.setattr(boosting, "KEEP", 3)
+    monkeypatch.setattr(boosting, "grown", lambda *a: (made.append(1), real(*a))[1])
+    noise = val.withColumn("y", (F.hash("id") % 2 == 0).cast("int"))  # nothing to learn: the loss soon rises
+    model = boosting.fit_boosted(train, noise, list("abcd"), "y", max_depth=3, eta=0.5, rounds=60, patience=4, key=F.col("id"))
+    assert len(made) == len(model.losses) < 60
+    assert model.getNumTrees == int(np.argmin(model.losses)) + 1 == len(model.losses) - 4
+
+
+def test_the_first_split_is_the_best_of_all(spark):
+    """One level, no sampling: the split of a plain search over all limits."""
+    r = np.random.default_rng(7)
+    x = r.integers(0, 30, (400, 2)).astype(float)
+    y = ((x[:, 1] > 17) ^ (r.random(400) < 0.1)).astype(int)
+    df = spark.createDataFrame([(*map(float, row), int(c)) for row, c in zip(x, y)], "a double, b double, y int")
+    model = boosting.fit_boosted(df, None, ["a", "b"], "y", 1, 1.0, 1, 1.0, 1.0, positive_weight=1.0)
+    g, h = 0.5 - y, np.full(400, 0.25)
+    gain = lambda m: sum(g[k].sum() ** 2 / (h[k].sum() + 1) for k in (m, ~m) if k.any())
+    f, limit = max(((f, t) for f in (0, 1) for t in range(1, 30)), key=lambda c: gain(x[:, c[0]] < c[1]))
+    tree, cuts = model.grown_trees()[0], json.loads(model.getOrDefault("cuts"))
+    assert tree.feature[0] == f and cuts[f][tree.split[0]] == limit
+    low = x[:, f] < limit
+    assert tree.value[1:] == pytest.approx([-g[m].sum() / (h[m].sum() + 1) for m in (low, ~low)], abs=1e-5)
+
+
+def test_boosted_model_is_saved_and_loaded(spark, bent, tmp_path):
+    train, val = bent
+    model = boosting.fit_boosted(train, None, list("abcd"), "y", max_depth=3, eta=0.3, rounds=4)
+    rows = models.assemble(val, list("abcd"))
+    models.save_model(model, str(tmp_path / "trees"))
+    again = models.load_model(str(tmp_path / "trees"))
+    assert again.transform(rows).select("id", "prediction").exceptAll(model.transform(rows).select("id", "prediction")).count() == 0
+    same = spark.createDataFrame([(1.0, 0), (1.0, 1), (1.0, 1)], "a double, y int")
+    flat = boosting.fit_boosted(same, None, ["a"], "y", rounds=2)
+    assert flat.transform(models.assemble(same, ["a"])).select("prediction").distinct().count() == 1
+
+
+# ---- rule against classifier ----------------------------------------------------------------------------
+
+
+def test_rule_and_model_at_equal_recall(spark):
+    rows = [(1, 1.0, 0.9), (1, 2.0, 0.8), (1, 9.0, 0.7), (0, 3.0, 0.75), (0, 8.0, 0.1), (0, 1.5, 0.2), (0, float("nan"), 0.95)]
+    df = spark.createDataFrame(rows, "y int, delta double, score double")
+    both = evaluation.rule_and_model(df, "delta", 4.0)
+    assert sorted((r.delta, r.rule, r.model) for r in both.collect() if r.y) == [(1.0, 1, 1), (2.0, 1, 1), (9.0, 0, 0)]
+    table = {r.y: tuple(r)[1:] for r in evaluation.paired_table(both).collect()}
+    assert table == {0: (4, 1, 1, 2, 0), 1: (3, 2, 0, 0, 1)}
+    none = evaluation.rule_and_model(df.where("y = 0"), "delta", 4.0)
+    assert none.agg(F.sum("model")).first()[0] == 0
+    swept = spark.createDataFrame([(1.0, 0.5), (2.0, 0.7), (3.0, 0.7)], "threshold double, f1 double")
+    assert evaluation.best_threshold(swept) == 2.0
+
+
+# ---- heads ----------------------------------------------------------------------------------------------
+
+
 def test_head_and_history_on_stored_vectors(spark, small):
     rows = views.table(spark, small, "embeddings")
     train, test = rows.where(below(hash32(["vec_id"]), 0.8)), rows.where(~below(hash32(["vec_id"]), 0.8))
-    model = models.train_head(train, "embedding", "label", 64, 10, hidden=None, iterations=20)
-    assert model.transform(models.vector_features(test, "embedding", "label")).count() == test.count()
-    history, fitted = models.training_history(
-        models.vector_features(train, "embedding", "label"),
-        models.vector_features(test, "embedding", "label"),
-        "label",
-        (64, 16, 10),
-        epochs=3,
-    )
+    model = models.train_head(train, "embedding", "label", 64, 10, test, epochs=4, lr=1e-2)
+    val = models.vector_features(test, "embedding", "label")
+    assert model.transform(val).count() == test.count()
+    history = models.history_frame(spark, model)
     got = history.collect()
-    assert [r.epoch for r in got] == [1, 2, 3] and len(fitted) == 3
-    assert got[2].train_loss < got[0].train_loss
+    assert [r.epoch for r in got] == [1, 2, 3, 4] and got[3].train_loss < got[0].train_loss
     best = models.pick_best_epoch(history).first()
     assert best.val_loss == min(r.val_loss for r in got)
-    kept = models.best_model(history, fitted)
-    val = models.vector_features(test, "embedding", "label")
-    assert models.loss_and_accuracy(kept, val, "label")[0] == pytest.approx(best.val_loss)
+    assert models.loss_and_accuracy(model, val, "label")[0] == pytest.approx(best.val_loss)
+    linear = models.train_head(train, "embedding", "label", 64, 10, hidden=(), epochs=1)
+    assert linear.transform(val).count() == test.count()

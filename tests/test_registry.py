@@ -13,26 +13,16 @@ import __spark_entry__ as entry_file
 from check_queries import compare
 from emberline.registry import BOOK
 
-# Covered by tests on files instead of a query over the given tables.
-BY_TEST = {"S16": "test_sources.test_image_manifest"}
-
-
-# Full-size fits, a minute or more each: compared by tools/check_queries.py; test_models covers their parts.
-LONG = {"train_forest", "train_boosted", "train_mlp", "score", "search", "compare_models", "train_head", "pick_best_epoch"}
-
-
 @pytest.fixture(scope="module")
-def connection():
-    from conftest import SMALL
-
+def connection(small):
     con = duckdb.connect()
-    for name in os.listdir(SMALL):
-        con.execute(f"CREATE VIEW {name[:-8]} AS SELECT * FROM '{SMALL}/{name}'")
+    for name in os.listdir(small):
+        con.execute(f"CREATE VIEW {name[:-8]} AS SELECT * FROM '{small}/{name}'")
     yield con
     con.close()
 
 
-@pytest.mark.parametrize("name", [n for n, e in BOOK.items() if e.sql is not None and n not in LONG])
+@pytest.mark.parametrize("name", [n for n, e in BOOK.items() if e.sql is not None])
 def test_query_equals_sql(spark, connection, small, name):
     assert compare(spark, connection, small, BOOK[name])[2] == "equal"
 
@@ -53,6 +43,6 @@ def test_inventory_is_covered():
         text = handle.read()
     inventory = text[text.index("## 2. Operator inventory") : text.index("## 3. Query lifecycle")]
     ids = set(re.findall(r"^\| ([A-Z]\d+)\b", inventory, re.M))
-    covered = {i for e in BOOK.values() for i in e.survey.split()} | set(BY_TEST)
+    covered = {i for e in BOOK.values() for i in e.survey.split()}
     assert len(ids) > 100
     assert ids - covered == set()

@@ -209,3 +209,23 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
                 session.shared_folder(fake)
         else:
             assert session.shared_folder(fake)
+
+
+def test_schema_from_first_lines(spark, tmp_path):
+    folder = tmp_path / "drop"
+    folder.mkdir()
+    (folder / "a.csv").write_text("n,x,d,t,mixed,empty\n1,2,2024-01-31,2024-01-31,5,\n-3,,2024-02-29,1,6,\n")
+    (folder / "b.csv").write_text("n,x,d,t,mixed,empty\n7,1.5e3,2023-12-01,x,abc,\n")
+    (folder / "c.csv").write_text("")
+    schema = drops.infer_schema(spark, str(folder))
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("n", "bigint"), ("x", "double"), ("d", "date"), ("t", "string"), ("mixed", "string"), ("empty", "string")
+    ]
+    assert drops.infer_schema(spark, str(folder), 1)["x"].dataType.simpleString() == "double"
+    (folder / "b.csv").write_text("n,x,d,t,mixed,empty\n7,9,2023-12-01,x,8,\nq,1.5,2023-02-30,x,abc,\n")
+    first = drops.infer_schema(spark, str(folder), 1)
+    assert [first[c].dataType.simpleString() for c in ("n", "x", "d", "mixed")] == ["bigint", "bigint", "date", "bigint"]
+    whole = drops.infer_schema(spark, str(folder))
+    assert [whole[c].dataType.simpleString() for c in ("n", "x", "d", "mixed")] == ["string", "double", "string", "string"]
+    read = spark.read.schema(whole).options(**drops.csv_options(None)).csv(str(folder))
+    assert read.count() == 4
