@@ -5,7 +5,7 @@ shares. Languages are put into families by joining, again and again, the two gro
 most alike, until about the square root of their number is left. A softmax regression predicts the family. Within
 a family every pair of languages has a linear support vector machine of its own (squared hinge loss); the language
 with the most won pairs is predicted, ties by summed margins. The score is the family's probability times the
-share of the language's calibrated pair probabilities.
+smallest calibrated probability with which the language wins one of its pairs.
 
 The fit sees at most ``FIT_ROWS`` documents, as many of every language as there are, chosen by hash from all
 distinct labelled texts; the models are fitted with numpy from those rows. Everything else runs over all rows.
@@ -159,24 +159,20 @@ def predicted(model: Model, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     x = with_one(described(texts).astype(np.float64))
     of_family = softmax(x @ model.family_weights)
     margins = x @ model.pair_weights
-    wins, margin, sure = (np.zeros((len(texts), len(model.languages))) for _ in range(3))
+    wins, margin, sure = (np.full((len(texts), len(model.languages)), v) for v in (0.0, 0.0, 1.0))
     for k, (a, b) in enumerate(model.pairs):
         m = margins[:, k]
         p = 1 / (1 + np.exp(-np.clip(model.pair_slope[k] * m, -30, 30)))
         for language, s, q in ((a, m, p), (b, -m, 1 - p)):
             wins[:, language] += s > 0
             margin[:, language] += s
-            sure[:, language] += q
+            sure[:, language] = np.minimum(sure[:, language], q)
     best_family = of_family.argmax(1)
     inside = model.family[None, :] == best_family[:, None]
-    others = inside.sum(1) - 1
     # Most wins; margins decide among equal ones (they are brought below 1).
-    rank = np.where(inside, wins + 0.5 * np.tanh(margin / 100) + 0.25, -1.0)
-    best = rank.argmax(1)
+    best = np.where(inside, wins + 0.5 * np.tanh(margin / 100) + 0.25, -1.0).argmax(1)
     every = np.arange(len(texts))
-    total = np.where(inside, sure, 0).sum(1)
-    share = np.where(others > 0, sure[every, best] / np.where(total > 0, total, 1), 1.0)
-    return best, np.clip(of_family[every, best_family] * share, 0, 1)
+    return best, np.clip(of_family[every, best_family] * sure[every, best], 0, 1)
 
 
 # ---- operator -------------------------------------------------------------------------------------

@@ -49,4 +49,37 @@ g AS (
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, place = 1 AS kept, text_sha256 FROM g
 """
 
-SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_exact_dedup": OP4}
+
+
+def op11_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every vector against every entry, round by round."""
+    steps = [
+        "k AS MATERIALIZED (SELECT vec_id, label, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v, "
+        f"len(embedding) // {parts} AS w FROM embeddings WHERE embedding IS NOT NULL "
+        "AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)",
+        "p AS MATERIALIZED (SELECT vec_id, label, part, pos, v[part * w + pos + 1] AS x FROM "
+        f"(SELECT vec_id, label, v, w, part, unnest(range(w)) AS pos FROM (SELECT *, unnest(range({parts})) AS part FROM k)))",
+        f"i AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k QUALIFY entry < {entries})",
+        "b0 AS MATERIALIZED (SELECT part, entry, pos, x FROM p JOIN i USING (vec_id))",
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} AS MATERIALIZED (SELECT vec_id, label, part, arg_min(entry, d * {entries} + entry) AS entry, min(d) AS d FROM ("
+            f"SELECT vec_id, label, part, entry, sum((p.x - b{r}.x) * (p.x - b{r}.x)) AS d FROM p JOIN b{r} USING (part, pos) "
+            "GROUP BY ALL) GROUP BY ALL)"
+        )
+        if r < rounds:
+            steps += [
+                f"m{r} AS (SELECT part, entry, pos, sum(x) AS s, count(*) AS n FROM p JOIN a{r} USING (vec_id, part) GROUP BY ALL)",
+                f"b{r + 1} AS MATERIALIZED (SELECT part, entry, pos, coalesce((s - ((s % n) + n) % n) // n, x) AS x "
+                f"FROM b{r} LEFT JOIN m{r} USING (part, entry, pos))",
+            ]
+    return (
+        f"WITH {', '.join(steps)}, c AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, "
+        f"CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY ALL) "
+        "SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, "
+        f"(SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b{rounds}) AS codebooks_sha256 FROM c"
+    )
+
+
+SQL: dict[str, str] = {"op1_quality_rules": OP1, "op4_exact_dedup": OP4, "op11_orchard_codes": op11_sql()}

@@ -4,8 +4,9 @@ A document is its token ids and a final id 0. Documents above ``ROOM`` tokens ar
 remainder first. The histogram of piece lengths has at most ROOM rows however many documents there are; the
 plan is made from it alone:
 
-1. patterns of one, two or three lengths that fill a sequence exactly are enumerated;
-2. their repeat counts are fitted to the histogram by non-negative least squares (coordinate descent);
+1. all patterns of one, two or three lengths that fill a sequence exactly are enumerated;
+2. their repeat counts are fitted to the histogram by non-negative least squares: coordinate descent over the
+   patterns whose gradient still calls for a step, until none does by more than the tolerance;
 3. the counts are rounded and held to what the histogram has;
 4. the residual lengths are packed best-fit, longest first, equal lengths in bulk.
 
@@ -26,17 +27,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from emberline.llm.ranking import with_place
-from emberline.llm.tokens import encoder
+from emberline.llm.wordwise import Split, byte_encoder
 from emberline.session import cut_lineage
 
 ROOM = 2048
 END = 0
 SEED = 6
-# Patterns of three that are tried for one longest length, and rounds of the fit.
-TRIPLES = 24
-ROUNDS = 6
+# The fit ends when no repeat count calls for a step of more than this, or than this share of the largest count.
+TOLERANCE, SHARE = 0.1, 1e-5
 # Characters encoded at a time.
-CHARACTERS = 2_000_000
+CHARACTERS = 6_000_000
 
 
 # ---- pieces ---------------------------------------------------------------------------------------
@@ -62,8 +62,10 @@ def piece_rows(path: str | None, room: int):
                     held += len(texts[b])
                     b += 1
                 at, out = [], []
-                for k, data in enumerate(encoder(path).encode(texts[a:b]), a):
-                    data += end
+                found = byte_encoder(path).encode(Split(texts[a:b]))
+                cuts, every = found.at.tolist(), memoryview(found.ids.astype("<u4").tobytes())
+                for k, x, y in zip(range(a, b), cuts, cuts[1:], strict=False):
+                    data = bytes(every[4 * x : 4 * y]) + end
                     for piece, (s, n) in enumerate(cut(len(data) // 4, room)):
                         at.append(k)
                         out.append((piece, s, n, zlib.crc32(data[4 * s : 4 * (s + n)])))
@@ -85,40 +87,51 @@ def pieces(docs: DataFrame, path: str | None = None, room: int = ROOM) -> DataFr
 # ---- plan -----------------------------------------------------------------------------------------
 
 
-def patterns(present: np.ndarray, room: int) -> list[tuple[int, ...]]:
-    """Lengths that fill a sequence together, each pattern from its longest length down.
+def patterns(present: np.ndarray, room: int) -> np.ndarray:
+    """Lengths that fill a sequence together: rows of three, longest first, 0 where a pattern has fewer.
 
-    ``present`` are the lengths of the histogram. Of the triples of one longest length at most ``TRIPLES``
-    are taken, evenly spread; what they miss is left to the residual.
+    ``present`` are the lengths of the histogram; there are at most room ** 2 / 12 patterns of three.
     """
-    there = set(present.tolist())
-    out = [(room,)] if room in there else []
-    for a in sorted(there, reverse=True):
+    there = np.zeros(room + 1, bool)
+    there[present] = True
+    out = [np.array([[room, 0, 0]])] if there[room] else []
+    for a in present[::-1].tolist():
         rest = room - a
         if rest <= 0:
             continue
-        if rest <= a and rest in there:
-            out.append((a, rest))
-        seconds = present[(present <= min(a, rest - 1)) & (2 * present >= rest)]
-        seconds = [b for b in seconds.tolist() if rest - b in there]
-        step = max(1, -(-len(seconds) // TRIPLES))
-        out += [(a, b, rest - b) for b in seconds[::step]]
-    return out
+        if rest <= a and there[rest]:
+            out.append(np.array([[a, rest, 0]]))
+        second = present[(present <= min(a, rest - 1)) & (2 * present >= rest)][::-1]
+        second = second[there[rest - second]]
+        out.append(np.stack((np.full(len(second), a), second, rest - second), 1))
+    return np.concatenate(out) if out else np.zeros((0, 3), np.int64)
 
 
-def fit_repeats(shapes: list[tuple[int, ...]], histogram: np.ndarray) -> np.ndarray:
+def fit_repeats(shapes: np.ndarray, histogram: np.ndarray) -> np.ndarray:
     """Repeat counts x >= 0 that bring sum(x * pattern) near the histogram, in least squares, by coordinates."""
-    x = np.zeros(len(shapes))
-    left = histogram.astype(float).tolist()
-    parts = [[(n, p.count(n)) for n in sorted(set(p))] for p in shapes]
-    norms = [sum(m * m for _, m in own) for own in parts]
-    for _ in range(ROUNDS):
-        for j, own in enumerate(parts):
-            step = max(-x[j], sum(m * left[n] for n, m in own) / norms[j])
-            if step:
-                x[j] += step
-                for n, m in own:
-                    left[n] -= m * step
+    x, left = np.zeros(len(shapes)), histogram.astype(float)
+    left[0] = 0
+    enough = max(TOLERANCE, SHARE * histogram.max(initial=0))
+    # How often a pattern has each of its lengths: equal ones stand together.
+    norms = np.zeros(len(shapes))
+    for k in range(3):
+        norms += (shapes == shapes[:, k : k + 1]).sum(1) * (shapes[:, k] > 0)
+    while len(shapes):
+        wanted = np.where(shapes > 0, left[shapes], 0).sum(1) / norms
+        open_ = np.nonzero((wanted > enough) | ((wanted < -enough) & (x > 0)))[0]
+        if not len(open_):
+            break
+        have, now = left.tolist(), x[open_].tolist()
+        for k, (j, (a, b, c)) in enumerate(zip(open_.tolist(), shapes[open_].tolist(), strict=True)):
+            step = (have[a] + (have[b] if b else 0) + (have[c] if c else 0)) / norms[j]
+            step = max(-now[k], step)
+            now[k] += step
+            have[a] -= step
+            if b:
+                have[b] -= step
+            if c:
+                have[c] -= step
+        x[open_], left = now, np.array(have)
     return x
 
 
@@ -168,10 +181,11 @@ def make_plan(histogram: np.ndarray, room: int = ROOM) -> list[tuple[tuple[int,
         want = int(x[j] + 0.5)
         if want <= 0:
             break
-        want = min([want, *[int(left[n]) // shapes[j].count(n) for n in set(shapes[j])]])
+        shape = tuple(n for n in shapes[j].tolist() if n)
+        want = min([want, *[int(left[n]) // shape.count(n) for n in set(shape)]])
         if want:
-            plan.append((shapes[j], want))
-            for n in shapes[j]:
+            plan.append((shape, want))
+            for n in shape:
                 left[n] -= want
     return plan + best_fit(left, room)
 

@@ -26,6 +26,11 @@ def rows():
     return awkward_rows()
 
 
+@pytest.fixture(scope="session")
+def schema():
+    return SCHEMA
+
+
 @pytest.fixture
 def docs(spark, rows):
     return spark.createDataFrame(rows, SCHEMA).repartition(3)

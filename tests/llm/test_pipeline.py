@@ -26,11 +26,9 @@ def keeps(text):
 
 
 @pytest.fixture(scope="module")
-def stages(spark, rows, tmp_path_factory):
-    from conftest import SCHEMA
-
+def stages(spark, rows, schema, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("corpus"))
-    docs = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang", "source", "n_chars").repartition(3)
+    docs = spark.createDataFrame(rows, schema).select("doc_id", "text", "lang", "source", "n_chars").repartition(3)
     docs.write.parquet(f"{folder}/documents.parquet")
     out = {"": docs.collect()}
     now = docs
