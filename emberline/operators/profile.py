@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from emberline.functions.features import (
@@ -157,44 +159,86 @@ def satellite_month(df: DataFrame) -> DataFrame:
     return dated.groupBy(*keys).agg(rows_counted(), F.avg("frp").alias("mean_frp"))
 
 
+def merged_moments(x: dict, y: dict) -> dict:
+    """Co-moments of two disjoint sets of rows together: counts, means and centred sums, of numbers or arrays alike."""
+    n = x["n"] + y["n"]
+    share = y["n"] / np.maximum(n, 1)
+    da, db = y["ma"] - x["ma"], y["mb"] - x["mb"]
+    weight = x["n"] * share
+    return {
+        "n": n, "ma": x["ma"] + da * share, "mb": x["mb"] + db * share,
+        "aa": x["aa"] + y["aa"] + da * da * weight, "bb": x["bb"] + y["bb"] + db * db * weight,
+        "ab": x["ab"] + y["ab"] + da * db * weight,
+    }
+
+
+def batch_moments(table: np.ndarray) -> dict:
+    """Co-moments of all pairs of columns (arrays columns x columns) over the rows where both are known."""
+    known = ~np.isnan(table)
+    one = known.astype(float)
+    counts = known.sum(0)
+    centre = np.where(known, table, 0).sum(0) / np.maximum(counts, 1)
+    y = np.where(known, table - centre, 0)
+    n, sums, squares = one.T @ one, y.T @ one, (y * y).T @ one  # [a, b]: of a, where b is known too
+    mean = sums / np.maximum(n, 1)
+    spread = np.maximum(squares - sums * mean, 0)
+    at = np.where(n > 0, centre[:, None] + mean, 0)
+    return {"n": n, "ma": at, "mb": at.T, "aa": spread, "bb": spread.T, "ab": y.T @ y - sums * mean.T}
+
+
+def moment_rows(size: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = None
+        for batch in batches:
+            table = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], 1)
+            found = batch_moments(table)
+            whole = found if whole is None else merged_moments(whole, found)
+        if whole is not None:
+            a, b = np.triu_indices(size)
+            columns = {"a": a.astype(np.int32), "b": b.astype(np.int32), **{k: v[a, b].astype(float) for k, v in whole.items()}}
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], names=list(columns))
+
+    return rows
+
+
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of all pairs in long form, over the whole table in one pass.
+    """Pearson correlation of all pairs in long form, over the whole table in one scan.
 
-    A pair uses the rows where both values are known; NaN counts as unknown. ``r`` is null where one
-    column is constant, and 1 for any other column with itself.
+    Centred co-moments (count, means, sums of products) are taken per task by matrix products, for pairs a <= b, and
+    merged pairwise; a task sends one small row per pair. A pair uses the rows where both values are known; NaN
+    counts as unknown. ``r`` is null where one column is constant, and 1 for any other column with itself.
     """
     cols = list(cols) if cols is not None else numeric_predictors(df)
-    known = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in cols])
-    # Values are taken from the column's mean, so that sums of products keep their digits.
-    means = known.agg(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("means")).scalar()
-    centred = known.withColumn("_means", means).select(*[(F.col(c) - F.col(f"_means.{c}")).alias(c) for c in cols])
-    # Laid out by column and merged before the shuffle: k aggregates of a few plain sums compile well,
-    # k * k / 2 correlation aggregates side by side do not.
-    sides = [F.struct(F.lit(c).alias("_column"), F.col(c).alias("_side")) for c in cols]
-    laid_out = centred.select(*cols, F.inline(F.array(*sides)))
-
-    def sums(c: str) -> Column:
-        a, b = F.col("_side"), F.col(c)
-        both = (a * b).isNotNull()
-        return F.struct(
-            F.count(a * b).cast("double").alias("n"),
-            F.sum(F.when(both, a)).alias("a"),
-            F.sum(F.when(both, b)).alias("b"),
-            F.sum(F.when(both, a * a)).alias("aa"),
-            F.sum(F.when(both, b * b)).alias("bb"),
-            F.sum(a * b).alias("ab"),
-        )
-
-    wide = laid_out.groupBy("_column").agg(*[sums(c).alias(c) for c in cols])
-    m = lambda name: F.col(f"_sums.{name}")
-    spread_a = m("n") * m("aa") - m("a") * m("a")
-    spread_b = m("n") * m("bb") - m("b") * m("b")
+    known = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(f"c{k}") for k, c in enumerate(cols)])
+    names = ["n", "ma", "mb", "aa", "bb", "ab"]
+    tasks = known.mapInArrow(moment_rows(len(cols)), "a int, b int, " + ", ".join(f"{c} double" for c in names))
+
+    def together(x: Column, y: Column) -> Column:
+        n = x["n"] + y["n"]
+        share = F.when(n > 0, y["n"] / n).otherwise(0.0)
+        da, db, weight = y["ma"] - x["ma"], y["mb"] - x["mb"], x["n"] * share
+        values = (
+            n, x["ma"] + da * share, x["mb"] + db * share, x["aa"] + y["aa"] + da * da * weight,
+            x["bb"] + y["bb"] + db * db * weight, x["ab"] + y["ab"] + da * db * weight,
+        )
+        return F.struct(*[v.alias(c) for v, c in zip(values, names, strict=True)])
+
+    nothing = F.struct(*[F.lit(0.0).alias(c) for c in names])
+    whole = tasks.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct(*names))).alias("s"))  # a row per task
+    m = whole.select("a", "b", F.aggregate("s", nothing, together).alias("m"))
     # What is left of a constant column is rounding.
-    varies = (spread_a > 1e-12 * m("n") * m("aa")) & (spread_b > 1e-12 * m("n") * m("bb"))
-    shared = (m("n") * m("ab") - m("a") * m("b")) / (F.sqrt(spread_a) * F.sqrt(spread_b))
-    r = F.when(varies, F.when(F.col("_column") == F.col("b"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), shared))))
-    long = wide.unpivot("_column", list(cols), "b", "_sums")
-    return long.select(F.col("_column").alias("a"), "b", r.alias("r"))
+    varies = F.lit(True)
+    for side in "ab":
+        varies &= F.col(f"m.{side}{side}") > 1e-26 * F.col("m.n") * F.col(f"m.m{side}") * F.col(f"m.m{side}")
+    shared = F.col("m.ab") / (F.sqrt("m.aa") * F.sqrt("m.bb"))
+    r = F.when(varies, F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), shared))))
+    named = F.array(*[F.lit(c) for c in cols])
+    pair = lambda x, y: F.struct(named[F.col(x)].alias("a"), named[F.col(y)].alias("b"), F.col("r"))
+    both = F.when(F.col("a") == F.col("b"), F.array(pair("a", "b"))).otherwise(F.array(pair("a", "b"), pair("b", "a")))
+    found = m.select("a", "b", r.alias("r")).select(F.inline(both))
+    # A table without rows has no task that says so.
+    every = df.sparkSession.createDataFrame([(a, b) for a in cols for b in cols], "a string, b string")
+    return every.join(found, ["a", "b"], "left")
 
 
 def histogram(df: DataFrame, col: str, bins: int = 80, clip_q: float | None = None) -> DataFrame:

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from emberline.functions.hashing import HASH_SPAN, below, hash32
 from emberline.schemas import TARGET
 
-# Hash cells for exact sizes: rows are counted per cell, and only the cell that holds the limit is
-# sorted, which is one part in 65,536 of the rows.
-CELL_BITS = 16
+# Exact sizes: the hash of the k-th row lies within so many standard deviations of its expected place.
+DEVIATIONS = 8.0
 
 
 def step_for(total: int, wanted: int) -> int:
@@ -55,41 +54,71 @@ def bernoulli(df: DataFrame, frac: float, seed: int = 42, keys: Sequence[str] |
     return df.where(below(hash32(keys, seed), frac))
 
 
-def _cell(hashed: str = "_hash") -> Column:
-    return F.shiftright(F.col(hashed), 32 - CELL_BITS)
+def _brackets(quotas: Sequence[int], n: int, wide: float) -> list[tuple[int, int]]:
+    """Hash ranges in which the k-th smallest of n hashes lie, for all quotas k; ranges that touch are one."""
+    found = []
+    for k in sorted(q for q in quotas if 0 < q < n):
+        share = k / n
+        margin = wide * ((share * (1 - share) / n) ** 0.5 + 1 / n)
+        low, high = max(0, int((share - margin) * HASH_SPAN)), min(HASH_SPAN, int((share + margin) * HASH_SPAN) + 1)
+        if found and low <= found[-1][1]:
+            found[-1] = (found[-1][0], max(high, found[-1][1]))
+        else:
+            found.append((low, high))
+    return found
+
+
+def _limits(hashed: DataFrame, keys: Sequence[str], group: Column, quotas: dict, sizes: dict) -> dict:
+    """(group, k) -> condition that holds for the k rows of a group with the smallest hashes, equal ones by key.
+
+    One scan: rows outside the brackets around the expected hashes are only counted, those inside (some sixteen
+    times the root of the row count for a limit) are ordered. A bracket that turns out not to hold its limit is
+    made wider; the conditions are exact.
+    """
+    known, wide = {}, DEVIATIONS
+    place = F.struct("_hash", *keys)
+    for g, ks in quotas.items():
+        known |= {(g, k): F.lit(k > 0) for k in ks if not 0 < k < sizes[g]}
+    while any((g, k) not in known for g, ks in quotas.items() for k in ks):
+        inside, start = F.lit(False), F.lit(0).cast("bigint")
+        open_groups = [g for g, ks in quotas.items() if any((g, k) not in known for k in ks)]
+        for g in open_groups:
+            for low, high in _brackets(quotas[g], sizes[g], wide):
+                here = group.eqNullSafe(F.lit(g))
+                inside = inside | (here & F.col("_hash").between(low, high - 1))
+                start = F.when(here & (F.col("_hash") >= high), F.lit(high).cast("bigint")).otherwise(start)
+        marked = hashed.where(group.isin(*open_groups)).select(
+            group.alias("_group"), F.when(inside, F.col("_hash")).otherwise(start).alias("_from"), F.when(inside, place).alias("_place")
+        )
+        counted = marked.groupBy("_group", "_from", "_place").agg(F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy("_group").orderBy("_from", "_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        summed = counted.withColumn("_upto", F.sum("_n").over(upto))
+        wanted = [(g, k) for g in open_groups for k in quotas[g] if (g, k) not in known]
+        firsts = [
+            F.min(F.when((F.col("_group") == F.lit(g)) & (F.col("_upto") >= k), F.struct("_from", F.col("_place").isNotNull().alias("_sure"), "_place"))).alias(f"l{i}")
+            for i, (g, k) in enumerate(wanted)
+        ]
+        for at, limit in zip(wanted, summed.agg(*firsts).first(), strict=True):
+            if limit is not None and limit["_sure"]:
+                values = [F.lit(limit["_place"][c]).cast(t) for c, t in hashed.select("_hash", *keys).dtypes]
+                known[at] = place <= F.struct(*[v.alias(c) for v, c in zip(values, ["_hash", *keys], strict=True)])
+        wide *= 16
+    return known
 
 
 def exact_fraction(
     df: DataFrame, frac: float, keys: Sequence[str], seed: int = 42, rounding: str = "down"
 ) -> DataFrame:
-    """int(n * frac) or round(n * frac) rows without replacement: those with the smallest hash."""
+    """int(n * frac) or round(n * frac) rows without replacement: those with the smallest hash.
+
+    Two scans besides the count: one to find the limit, one to take the rows; no row is shuffled but those near
+    the limit. Rows with equal keys are on one side of it.
+    """
+    n = df.count()
+    quota = int(n * frac) if rounding == "down" else round(n * frac)
     hashed = df.withColumn("_hash", hash32(keys, seed))
-    cells = hashed.groupBy(_cell().alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    # At most 2**CELL_BITS rows meet in these windows.
-    upto = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wanted = F.sum("_n").over(Window.partitionBy()) * F.lit(float(frac))
-    quota = F.floor(wanted) if rounding == "down" else F.rint(wanted)
-    filled = cells.select(
-        "_cell", "_n", F.sum("_n").over(upto).alias("_upto"), quota.cast("bigint").alias("_quota")
-    )
-    beyond = F.col("_upto") > F.col("_quota")
-    left = F.col("_quota") - (F.col("_upto") - F.col("_n"))
-    # No such cell means that the quota covers the table.
-    limit = filled.agg(
-        F.struct(
-            F.coalesce(F.min(F.when(beyond, F.col("_cell"))), F.lit(2**CELL_BITS)).alias("cell"),
-            F.coalesce(F.min_by(left, F.when(beyond, F.col("_cell"))), F.lit(0)).alias("left"),
-        ).alias("limit")
-    ).scalar()
-    placed = hashed.withColumn("_limit", limit)
-    whole = placed.where(_cell() < F.col("_limit.cell"))
-    within = Window.partitionBy(_cell()).orderBy("_hash", *keys)
-    part = (
-        placed.where(_cell() == F.col("_limit.cell"))
-        .withColumn("_rank", F.row_number().over(within))
-        .where(F.col("_rank") <= F.col("_limit.left"))
-    )
-    return whole.select(*df.columns).unionByName(part.select(*df.columns))
+    limit = _limits(hashed, keys, F.lit(0), {0: [quota]}, {0: n})[0, quota]
+    return hashed.where(limit).select(*df.columns)
 
 
 # Percentage of the rows in each of the three parts.
@@ -156,54 +185,17 @@ def exact_stratified_split(
 ) -> DataFrame:
     """Add ``split`` with the exact sizes of ``split_sizes``.
 
-    Within a class the rows are ordered by hash. Cells of the hash range that lie in one part are
-    labelled at once; only the cells with a limit (two per class) are sorted. Rows of a class that is
-    not listed are cut by hash thresholds.
+    Within a class the rows are ordered by hash, equal ones by key. One scan counts the classes, one finds the two
+    limits of every class, and the labels are a condition on hash and key: no row is shuffled but those near a
+    limit. Rows of a class that is not listed are cut by hash thresholds.
     """
+    counts = df.where(F.col(target).isin(*classes)).groupBy(F.col(target).alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = {r["class"]: r for r in split_sizes(counts).collect()}  # one row per listed class
     hashed = df.withColumn("_hash", hash32(keys, seed))
-    cells = (
-        hashed.where(F.col(target).isin(*classes))
-        .groupBy(F.col(target).alias("class"), _cell().alias("_cell"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    sizes = split_sizes(cells.groupBy("class").agg(F.sum("_n").alias("n")))
-    # At most 2**CELL_BITS rows per class meet in this window.
-    upto = Window.partitionBy("class").orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    filled = cells.withColumn("_upto", F.sum("_n").over(upto))
-    # One row per listed class: small whatever the table.
-    marks = filled.join(
-        F.broadcast(sizes.select("class", "n_train", (F.col("n_train") + F.col("n_val")).alias("n_before"))),
-        "class",
-    )
-
-    def limit(quota: str) -> list[Column]:
-        beyond = F.when(F.col("_upto") > F.col(quota), F.col("_cell"))
-        left = F.col(quota) - (F.col("_upto") - F.col("_n"))
-        return [
-            F.coalesce(F.min(beyond), F.lit(2**CELL_BITS)).alias(f"{quota}_cell"),
-            F.coalesce(F.min_by(left, beyond), F.lit(0)).alias(f"{quota}_left"),
-        ]
-
-    cuts = F.broadcast(marks.groupBy("class").agg(*limit("n_train"), *limit("n_before")))
-    placed = hashed.join(cuts, F.col(target) == F.col("class"), "left")
-    at_limit = F.coalesce(_cell().isin(F.col("n_train_cell"), F.col("n_before_cell")), F.lit(False))
-    clear = placed.where(~at_limit).withColumn(
-        "split",
-        F.when(F.col("class").isNull(), _by_threshold(F.col("_hash")))
-        .when(_cell() < F.col("n_train_cell"), "train")
-        .when(_cell() < F.col("n_before_cell"), "val")
-        .otherwise("test"),
-    )
-
-    def inside(quota: str) -> Column:
-        cell = F.col(f"{quota}_cell")
-        return (_cell() < cell) | ((_cell() == cell) & (F.col("_rank") <= F.col(f"{quota}_left")))
-
-    within = Window.partitionBy("class", _cell()).orderBy("_hash", *keys)
-    limited = (
-        placed.where(at_limit)
-        .withColumn("_rank", F.row_number().over(within))
-        .withColumn("split", F.when(inside("n_train"), "train").when(inside("n_before"), "val").otherwise("test"))
-    )
-    out = [*df.columns, "split"]
-    return clear.select(*out).unionByName(limited.select(*out))
+    ends = {c: [r["n_train"], r["n_train"] + r["n_val"]] for c, r in sizes.items()}
+    limits = _limits(hashed, keys, F.col(target), ends, {c: r["n"] for c, r in sizes.items()})
+    split = _by_threshold(F.col("_hash"))
+    for c, (train, before) in ends.items():
+        own = F.when(limits[c, train], "train").when(limits[c, before], "val").otherwise("test")
+        split = F.when(F.col(target) == F.lit(c), own).otherwise(split)
+    return hashed.withColumn("split", split).select(*df.columns, "split")

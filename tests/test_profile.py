@@ -23,6 +23,20 @@ def test_correlation_deletes_pairs(spark):
     assert got["c", "c"] is None and got["a", "c"] is None
 
 
+def test_correlation_keeps_digits_and_does_not_depend_on_tasks(spark):
+    """Values far from zero, with gaps, cut into tasks of any size."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(2000, 3))
+    x[:, 1] = 1e7 + 1e-2 * (x[:, 0] + x[:, 1])
+    x[:, 2] -= 0.5 * x[:, 0]
+    x[r.random(x.shape) < 0.1] = NAN
+    df = spark.createDataFrame(pd.DataFrame(x, columns=list("abc")))
+    want = pd.DataFrame(x, columns=list("abc")).corr()
+    for parts in (1, 7):
+        got = {(p.a, p.b): p.r for p in profile.correlation_matrix(df.repartition(parts)).collect()}
+        assert all(got[a, b] == pytest.approx(want.loc[a, b], abs=1e-7) for a in "abc" for b in "abc")
+
+
 def test_histogram_closes_the_last_bin(spark):
     df = spark.createDataFrame([(float(x),) for x in range(11)] + [(None,), (NAN,)], "v double")
     got = profile.histogram(df, "v", bins=5).orderBy("bin").collect()
