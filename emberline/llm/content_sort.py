@@ -56,7 +56,9 @@ def grouped(docs: DataFrame, id_column: str = "doc_id", text: str = "text", *kee
         }
     )
     salted = base.join(F.broadcast(hot_digests(docs, text, parts)), F.col("text_sha256") == F.col("_hot"), "left")
-    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64("_id"), F.col("_salts")) + 1).otherwise(F.lit(0))
+    # Rows are dealt by id and place in their file: also rows without an id, or with one and the same.
+    dealt = F.pmod(F.xxhash64("_id", F.monotonically_increasing_id()), F.col("_salts"))
+    salt = F.when(F.col("_salts").isNotNull(), dealt + 1).otherwise(F.lit(0))
     in_order = salted.withColumn("_salt", salt).drop("_hot", "_salts").repartitionByRange("_lead", "_rest", "_salt")
     equal = Window.partitionBy("_lead", "_rest", "_norm", "_salt")
     best = equal.orderBy(F.col("_len").desc(), F.col("_id").asc_nulls_last())

@@ -2,9 +2,10 @@
 
 Size of a document: its words. Every source gets a share of all words by weight, at most ``MOST_TIMES`` its
 own words. A source repeats all its documents as often as fits whole; the rest of its budget is a subset
-sum over its histogram of lengths: an even share of every length first, and the last words by bounded-
-knapsack dynamic programming over what is left of each length. Which documents of a length are taken is a
-seeded choice by hash.
+sum over its histogram of lengths: an even share of every length first, fractions rounded in a seeded order of
+the lengths so that they cancel out, and the last words by bounded-knapsack dynamic programming over what
+is left of each length, in that order too. So small and large sources are sampled alike. Which documents of a length
+are taken is a seeded choice by hash.
 
 Per source the programme sees the histogram only: as many rows as there are lengths, however many
 documents. Rows are spread by (source, length, hash cell), so no source or length meets in one task.
@@ -17,6 +18,8 @@ other columns are carried only by :func:`mixture`, packed into one struct.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -65,56 +68,70 @@ def source_budgets(sized: DataFrame) -> DataFrame:
 def last_words(lengths: np.ndarray, left: np.ndarray, budget: int) -> np.ndarray:
     """How many to take of each length (at most ``left``) so that their sum comes nearest to ``budget``.
 
-    Bounded knapsack over sums up to one longest length above the budget; of two sums equally near the lower
-    one. ``copies[s]`` is how many of a length stand on the way to sum s.
+    Bounded knapsack, length by length in the given order, over sums up to one longest length above the budget; it
+    ends with the length that reaches the budget. Of two sums equally near the lower one. A bit per sum and length is
+    kept, by which the way back is found.
     """
     take = np.zeros(len(lengths), np.int64)
     usable = np.nonzero((lengths > 0) & (left > 0))[0]
-    top = budget + (int(lengths[usable].max()) if len(usable) else 0)
-    reached = np.zeros(top + 1, bool)
+    if not len(usable) or budget <= 0:
+        return take
+    top = budget + int(lengths[usable].max())
+    reached, far = np.zeros(top + 1, bool), 0
     reached[0] = True
     steps: list[tuple[int, np.ndarray]] = []
-    for i in usable[::-1]:
+    for i in usable:
         if reached[budget]:
             break
         length, copies = int(lengths[i]), np.full(top + 1, -1, np.int32)
         copies[reached] = 0
-        for s in range(length, top + 1, length):  # all residues of the length at once
+        far = min(top, far + length * int(left[i]))
+        for s in range(length, far + 1, length):  # all residues of the length at once
             here = copies[s : s + length]
             before = copies[s - length : s][: len(here)]
             grow = (here < 0) & (before >= 0) & (before < left[i])
             here[grow] = before[grow] + 1
-        now = copies >= 0
-        if now.sum() > reached.sum():
-            steps.append((int(i), copies))
-            reached = now
+        steps.append((int(i), np.packbits(reached)))
+        reached = copies >= 0
     sums = np.nonzero(reached)[0]
     s = int(sums[np.argmin(np.abs(sums - budget))])
-    for i, copies in reversed(steps):
-        take[i] = copies[s]
-        s -= int(copies[s] * lengths[i])
+    for i, before in reversed(steps):
+        while not before[s >> 3] >> (7 - (s & 7)) & 1:
+            take[i] += 1
+            s -= int(lengths[i])
     return take
 
 
-def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+def fill_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
     """How many documents of each length to take so that their words come nearest to ``budget``."""
     total = int((lengths * counts).sum())
     if budget <= 0 or total == 0:
         return np.zeros(len(lengths), np.int64)
     if budget >= total:
         return counts.copy()
-    # An even share of every length, in whole numbers.
-    taken = np.array([int(c) * budget // total for c in counts.tolist()], np.int64)
+    if 2 * budget > total:  # what is left out is the smaller sum
+        return counts - fill_budget(lengths, counts, total - budget, seed)
+    order = np.argsort([zlib.crc32(f"{seed}:{n}".encode()) for n in lengths.tolist()], kind="stable")
+    # An even share of every length in whole numbers, but for about two documents that are left to be fitted; what
+    # rounding leaves over of a document goes on to the next length.
+    shared = max(0, budget - 2 * total // int(counts.sum()))
+    taken, carried = np.zeros(len(lengths), np.int64), total // 2  # in parts of ``total``
+    for i in order.tolist():
+        carried += int(counts[i]) * shared
+        taken[i] = min(int(counts[i]), carried // total)
+        carried -= int(taken[i]) * total
     rest = budget - int((lengths * taken).sum())
-    # Long lengths first, until what remains is a small multiple of the longest one.
-    room = 4 * int(lengths.max())
-    for i in np.argsort(-lengths):
-        if rest <= room:
+    # Documents go back, in that order, until something is left to fit.
+    for i in order.tolist():
+        if rest > 0:
             break
-        more = min(int(counts[i] - taken[i]), max(0, rest - room) // max(int(lengths[i]), 1))
-        taken[i] += more
-        rest -= more * int(lengths[i])
-    return taken + last_words(lengths, counts - taken, rest)
+        if lengths[i] and taken[i]:
+            back = min(int(taken[i]), -rest // int(lengths[i]) + 1)
+            taken[i] -= back
+            rest += back * int(lengths[i])
+    more = np.zeros(len(lengths), np.int64)
+    more[order] = last_words(lengths[order], (counts - taken)[order], rest)
+    return taken + more
 
 
 def length_plan(sized: DataFrame, budgets: DataFrame) -> DataFrame:

@@ -7,16 +7,19 @@ in what follows them. They are the left-diverse nodes of the common-prefix inter
 A suffix array of the whole corpus would be one sorted table of all its bytes. It is built sparse instead:
 
 1. Every string of LENGTH bytes has an anchor (:mod:`emberline.llm.anchors`), about one per 80 bytes of text, and
-   equal strings have equal anchors. Anchors that occur once are dropped; nothing else is.
+   equal strings have equal anchors at the same distance. Anchors that occur once are dropped; nothing else is.
 2. Where all occurrences of an anchor have one and the same span, every string in it repeats.
-3. Otherwise the spans of the anchor, equal ones merged with their count, meet in a task. The task sorts the
-   suffixes that may repeat, scans their common prefixes with a stack, tests the nodes for left diversity, and
-   reports every node with all its occurrences.
-4. An anchor with more than ``GROUP`` occurrences would make a task too large. Its spans are taken apart into
-   their strings, which are counted by a 128-bit digest with partial sums; that is the same answer, string by
-   string, and no rows of the anchor meet.
-
-Texts are compared as bytes in step 3 and as two 64-bit hashes in steps 2 and 4.
+3. Otherwise equal spans of the anchor are merged with their count, by a hash, before any text is read. The
+   distinct ones meet in a task. It sorts the suffixes that may repeat, scans their common prefixes with a stack,
+   tests the nodes for left diversity, and reports every node with all its occurrences. The answer of a span is
+   handed back to all places that have it.
+4. The distinct spans of a very frequent anchor are first cut into overlapping blocks: the strings that have the
+   anchor at one of ``WIDTHS[0]`` neighbouring distances. Strings of a block can be equal only if what all strings of
+   the block have in common is, so blocks meet by that context. Equal blocks are merged, and a context that still has
+   more than ``GROUP`` distinct ones is cut finer, down to single strings. Every block goes through step 3.
+
+Texts are compared as bytes in step 3; spans are taken for equal by two 64-bit hashes, blocks by 64 bits within their
+context's 64.
 
 Defined cases: a null text is empty; texts below LENGTH bytes stay whole; a repeated row makes both rows' strings
 repeats; rows with null ids count like others and come out with a null id; an empty table gives no rows. Other
@@ -37,7 +40,9 @@ from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed,
 
 LENGTH = 200
 GRAM = 40
+#: Distinct spans (or occurrences of an anchor) that meet in one task; more are cut into finer blocks.
 GROUP = 1_000
+WIDTHS = (40, 8, 1)
 # Spans gathered before a task sorts them, and suffixes sorted at a time (whole groups).
 SPAN_BYTES = 2_000_000
 SUFFIXES = 30_000
@@ -66,34 +71,49 @@ def anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 th=th[a:b][found.doc],
                 tw=tw[a:b][found.doc],
                 at=(found.first - starts[found.doc]).astype(np.int32),
-                n=(found.last - found.first).astype(np.int32),
+                n=(found.last - found.first).astype(np.int16),
+                p=(found.place - found.first).astype(np.int16),
             )
 
 
 def span_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The spans of a text's anchors; of a hot anchor the digests of its strings, each its own group."""
+    """The distinct spans that a text is asked for: its strings have their anchor ``lo`` to ``hi`` bytes in."""
     for batch in batches:
-        texts, key = batch.column("data").to_pylist(), {k: column(batch, k) for k in KEY}
-        at, cut = lists(batch, "at")
-        n, _ = lists(batch, "n")
-        h, _ = lists(batch, "h")
-        hot, _ = lists(batch, "hot")
+        texts = batch.column("data").to_pylist()
+        wanted = {name: lists(batch, name) for name in ("at", "n", "p", "h", "c", "m")}
+        cut = wanted["at"][1]
         for k, text in enumerate(texts):
-            rows = []
-            for j in range(cut[k], cut[k + 1]):
-                first, last = int(at[j]), int(at[j] + n[j])
-                if hot[j]:
-                    for w in range(first, last + 1):
-                        d = hashlib.blake2b(text[w : w + LENGTH], digest_size=16).digest()
-                        rows.append((int.from_bytes(d[:8], "little", signed=True), d, w))
-                else:
-                    rows.append((int(h[j]), text[first : last + LENGTH], first))
-            if rows:
-                hs, spans, places = zip(*rows, strict=True)
-                yield record(
-                    h=pa.array(hs, pa.int64()), span=pa.array(spans, pa.binary()),
-                    **{c: np.full(len(rows), values[k], np.int64) for c, values in key.items()}, at=pa.array(places, pa.int32()),
-                )
+            at, n, p, h, c, m = (values[cut[k] : cut[k + 1]] for values, _ in wanted.values())
+            spans = [text[a : a + size + LENGTH] for a, size in zip(at.tolist(), n.tolist(), strict=True)]
+            yield record(h=h, c=c, m=m, lo=(p - n).astype(np.int32), hi=p.astype(np.int32), span=pa.array(spans, pa.binary()))
+
+
+def number(*parts: bytes) -> int:
+    return int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+
+
+def block_rows(width: int):
+    """Blocks of spans (h, c, m, lo, hi, span): (bh, bc) name a block's context and content, ``base`` is its place."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            columns = [batch.column(c).to_pylist() for c in ("h", "c", "m", "lo", "hi", "span")]
+            for h, c, m, lo, hi, span in zip(*columns, strict=True):
+                named = h.to_bytes(8, "little", signed=True)
+                for block in range(lo // width, hi // width + 1):
+                    low, high = max(lo, width * block), min(hi, width * block + width - 1)
+                    piece = span[hi - high : hi - low + LENGTH]
+                    shared = hi - width * block
+                    context = span[shared : shared + LENGTH - width + 1]
+                    bh = number(named, width.to_bytes(2, "little"), block.to_bytes(2, "little"), context)
+                    out.append((h, c, hi - high, bh, number(high.to_bytes(2, "little"), piece), m, low, high, piece))
+            if out:
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                names = ["h", "c", "base", "bh", "bc", "m", "lo", "hi", "span"]
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    return rows
 
 
 # ---- interval tree --------------------------------------------------------------------------------
@@ -192,21 +212,22 @@ def maximal_repeats(texts: list[bytes], least: int) -> list[tuple[bytes, list[tu
 
 
 def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ranges that repeat, per distinct span; the rows come sorted by h, the last group waits for the next batch."""
-    held: list[list] = [[], [], [], [], []]
-
-    def answer(h: list, spans: list, n: list, k1: list, k2: list) -> pa.RecordBatch:
-        many = np.array(n, np.int64) > 1
-        number = np.unique(np.array(h, np.int64), return_inverse=True)[1]
-        crowd = np.bincount(number, minlength=1)[number] > 1
-        at = np.nonzero(crowd)[0]
-        span, begin, end = repeated_ranges([spans[i] for i in at], number[at]) if len(at) else [np.empty(0, np.int64)] * 3
-        span = at[span]
+    """Ranges that repeat, per distinct span; the rows come sorted by (h, c), the last group waits for the next batch."""
+    held: list[list] = [[], [], [], []]
+
+    def answer(h: list, c: list, m: list, spans: list) -> pa.RecordBatch:
+        # A text that is there more than once gives its spans as often: equal neighbours are one.
+        one = [k for k in range(len(h)) if not k or (h[k], c[k]) != (h[k - 1], c[k - 1])]
+        h, c, m, spans = ([x[k] for k in one] for x in (h, c, m, spans))
+        many = np.array(m, np.int64) > 1
+        group = np.unique(np.array(h, np.int64), return_inverse=True)[1]
+        crowd = np.nonzero(np.bincount(group, minlength=1)[group] > 1)[0]
+        span, begin, end = repeated_ranges([spans[i] for i in crowd], group[crowd]) if len(crowd) else [np.empty(0, np.int64)] * 3
+        span = crowd[span]
         single = ~many[span]
         whole = np.nonzero(many)[0]
-        sizes = np.array([max(len(spans[i]), LENGTH) for i in whole], np.int64)
-        b_out = [np.zeros(len(whole), np.int64)]
-        e_out, who = [sizes], [whole]
+        b_out, who = [np.zeros(len(whole), np.int64)], [whole]
+        e_out = [np.array([max(len(spans[i]), LENGTH) for i in whole], np.int64)]
         span, begin, end = span[single], begin[single], end[single]
         order = np.argsort(span, kind="stable")
         cuts = np.nonzero(np.diff(span[order], prepend=-1))[0].tolist() + [len(span)]
@@ -215,14 +236,12 @@ def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             b_out.append(b), e_out.append(e), who.append(np.full(len(b), span[order[x]]))
         who = np.concatenate(who).astype(np.int64)
         pick = lambda values: np.array(values, np.int64)[who]
-        return record(
-            h=pick(h), k1=pick(k1), k2=pick(k2), b=np.concatenate(b_out).astype(np.int32), e=np.concatenate(e_out).astype(np.int32)
-        )
+        return record(h=pick(h), c=pick(c), b=np.concatenate(b_out).astype(np.int32), e=np.concatenate(e_out).astype(np.int32))
 
     for batch in batches:
-        for have, name in zip(held, ("h", "span", "n", "k1", "k2"), strict=True):
+        for have, name in zip(held, ("h", "c", "m", "span"), strict=True):
             have.extend(batch.column(name).to_pylist())
-        if sum(map(len, held[1])) > SPAN_BYTES:
+        if sum(map(len, held[3])) > SPAN_BYTES:
             cut = held[0].index(held[0][-1])
             if cut:
                 yield answer(*[x[:cut] for x in held])
@@ -233,29 +252,78 @@ def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 # ---- operator -------------------------------------------------------------------------------------
 
+ANSWERS = "h long, c long, b int, e int"
+
+
+def answered(spans: DataFrame) -> DataFrame:
+    """(h, c, b, e): what repeats within distinct spans (h, c, m, span) of one h."""
+    return spans.select("h", "c", "m", "span").repartition("h").sortWithinPartitions("h", "c").mapInArrow(group_rows, ANSWERS)
+
+
+def asked(texts: DataFrame, spans: DataFrame) -> DataFrame:
+    """(h, c, m, lo, hi, span): the spans (h, c, m, did, th, tw, at, n, p) with their bytes, read from their texts."""
+    lists_of = spans.groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "p", "h", "c", "m")).alias("s"))
+    wanted = lists_of.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "p", "h", "c", "m")])
+    return texts.join(wanted, KEY).mapInArrow(span_rows, "h long, c long, m long, lo int, hi int, span binary")
+
+
+def blocks_answered(blocks: DataFrame, widths: tuple[int, ...]) -> DataFrame:
+    """Answers (h, c, b, e) of the spans that stored ``blocks`` were cut from; crowded contexts are cut finer."""
+    distinct = blocks.groupBy(F.col("bh").alias("h"), F.col("bc").alias("c")).agg(
+        F.sum("m").alias("m"), *[F.min(x).alias(x) for x in ("lo", "hi", "span")]
+    )
+    sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum("m").alias("total")).where("total > 1")
+    if widths:
+        sized = stored(distinct.join(sizes, "h"), "blocks")
+        answers = answered(sized.where(F.col("k") <= GROUP))
+        crowded = sized.where(F.col("k") > GROUP)
+        if not crowded.isEmpty():
+            finer = stored(crowded.mapInArrow(block_rows(widths[0]), BLOCKS), "finer")
+            answers = answers.unionByName(blocks_answered(finer, widths[1:]))
+    else:  # single strings: a context has one
+        answers = answered(distinct.join(sizes.select("h"), "h"))
+    named = answers.select(F.col("h").alias("bh"), F.col("c").alias("bc"), "b", "e")
+    found = blocks.select("h", "c", "base", "bh", "bc").join(named, ["bh", "bc"])
+    return found.select("h", "c", (F.col("base") + F.col("b")).alias("b"), (F.col("base") + F.col("e")).alias("e"))
+
+
+BLOCKS = "h long, c long, base int, bh long, bc long, m long, lo int, hi int, span binary"
+
+
+def span_answers(texts: DataFrame, known: DataFrame) -> DataFrame:
+    """(h, c, s): ranges that repeat within the spans of open anchors, one row per distinct span."""
+    first = known.where("open AND first")
+    few = first.where("NOT hot").select("h", "c", "m", *KEY, "at", "n", "p")
+    rest = first.where("hot").groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct(*KEY, "at", "n", "p")).alias("r"))
+    many = asked(texts, rest.select("h", "c", "m", "r.*")).mapInArrow(block_rows(WIDTHS[0]), BLOCKS)
+    # Both in one job, so that the texts are shuffled once: answers of the few, blocks of the many.
+    empty = {f.name: F.lit(None).cast(f.dataType) for f in many.schema if f.name not in ("h", "c")}
+    both = answered(asked(texts, few)).withColumns(empty).unionByName(many, allowMissingColumns=True)
+    found = stored(both.withColumn("block", F.col("bh").isNotNull()), "answers")
+    answers = found.where("NOT block").select("h", "c", "b", "e")
+    blocks = found.where("block").select("h", "c", "base", "bh", "bc", "m", "lo", "hi", "span")
+    if not blocks.isEmpty():
+        answers = answers.unionByName(blocks_answered(blocks, WIDTHS[1:]))
+    # A span has at most as many ranges as strings.
+    return answers.groupBy("h", "c").agg(F.collect_list(F.struct("b", "e")).alias("s"))
+
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """(did, th, tw, b, e): byte ranges of texts (did, th, tw, data) that repeated strings cover."""
-    schema = "h long, c long, did long, th long, tw long, at int, n int"
+    schema = "h long, c long, did long, th long, tw long, at int, n short, p short"
     anchors, some = (t.mapInArrow(anchor_rows, schema) for t in (texts, sampled(texts)))
     facts = {"k": F.count(F.lit(1)), "c0": F.min("c"), "c1": F.max("c")}
-    shared = with_facts(anchors, some, ["h"], facts).where("k > 1")
+    shared = with_facts(anchors, some, ["h"], facts, "c", [*KEY, "at"]).where("k > 1")
+    different = (F.col("c0") != F.col("c1")).alias("open")
     known = stored(
-        shared.select(*KEY, "at", "n", "h", (F.col("c0") != F.col("c1")).alias("open"), (F.col("k") > GROUP).alias("hot")),
-        "anchors",
+        shared.select(*KEY, "at", "n", "p", "h", "c", "m", "first", different, (F.col("k") > GROUP).alias("hot")), "anchors"
     )
     same = known.where("NOT open").select(*KEY, F.col("at").alias("b"), (F.col("at") + F.col("n") + LENGTH).alias("e"))
-    wanted = known.where("open").groupBy(*KEY).agg(F.collect_set(F.struct("at", "n", "h", "hot")).alias("s"))
-    wanted = wanted.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "h", "hot")])
-    spans = texts.join(wanted, KEY).mapInArrow(span_rows, "h long, span binary, did long, th long, tw long, at int")
-    spans = spans.withColumns({"k1": F.xxhash64("span"), "k2": F.xxhash64(F.lit(1), "span")})
-    merged = spans.groupBy("h", "span").agg(F.count(F.lit(1)).alias("n"), F.first("k1").alias("k1"), F.first("k2").alias("k2"))
-    answers = (
-        merged.repartition("h").sortWithinPartitions("h").mapInArrow(group_rows, "h long, k1 long, k2 long, b int, e int")
-    )
-    found = spans.drop("span").join(answers, ["h", "k1", "k2"])
+    answers = span_answers(texts, known)
+    found = known.where("open").select(*KEY, "at", "h", "c").join(answers, ["h", "c"])
+    ranges = found.select(*KEY, "at", F.explode("s").alias("r"))
     return same.unionByName(
-        found.select(*KEY, (F.col("at") + F.col("b")).alias("b"), (F.col("at") + F.col("e")).alias("e"))
+        ranges.select(*KEY, (F.col("at") + F.col("r.b")).alias("b"), (F.col("at") + F.col("r.e")).alias("e"))
     )
 
 

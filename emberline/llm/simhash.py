@@ -119,35 +119,54 @@ def bit_planes(prints: np.ndarray) -> np.ndarray:
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view("<u8")
 
 
-def within(queries: np.ndarray, block: np.ndarray, radius: int = RADIUS) -> np.ndarray:
-    """Boolean (queries, block): which are at ``radius`` or fewer differing bits.
+# Planes after which finished blocks are dropped.
+PLANES = 4
 
-    A counter of k planes is kept per pair, 64 pairs to a word; pairs that pass 2^k - 1 set ``over``.
+
+def within(queries: np.ndarray, block: np.ndarray, radius: int = RADIUS, allowed: np.ndarray | None = None) -> np.ndarray:
+    """Boolean (queries, block): which are at ``radius`` or fewer differing bits, of the pairs that are ``allowed``.
+
+    A block is a query with 64 fingerprints of ``block``, a bit of a word for each. A counter of k planes is kept per
+    pair; pairs that pass 2^k - 1 set ``over``, as do from the start the pairs that are not allowed and what fills up
+    the last word. A block whose pairs are all over is abandoned.
     """
     planes = bit_planes(block)
+    words, full = planes.shape[1], np.uint64(2**64 - 1)
+    out_of_it = np.ones((len(queries), words * 64), bool)
+    out_of_it[:, : len(block)] = False if allowed is None else ~allowed
+    over = np.packbits(out_of_it, axis=1, bitorder="little").view("<u8").ravel()
+    query, word = (x.ravel() for x in np.indices((len(queries), words)))
     depth = (radius + 1).bit_length()
-    counter = [np.zeros((len(queries), planes.shape[1]), np.uint64) for _ in range(depth)]
-    over = np.zeros_like(counter[0])
-    full = np.uint64(2**64 - 1)
+    counter = np.zeros((depth, len(over)), np.uint64)
     for b in range(BITS):
+        if b % PLANES == 0:
+            # Counters above the radius are over, too.
+            going = (over | above(counter, radius)) != full
+            if not going.all():
+                query, word, over, counter = query[going], word[going], over[going], counter[:, going]
+            if not len(over):
+                break
         own = np.where((queries >> np.uint64(b)) & np.uint64(1) == 1, full, np.uint64(0))
-        carry = planes[b][None, :] ^ own[:, None]
+        carry = planes[b][word] ^ own[query]
         for k in range(depth):
             counter[k], carry = counter[k] ^ carry, counter[k] & carry
         over |= carry
-        if b % 8 == 7 and b > radius and (over == full).all():
-            break
-    # What is left is compared as a number: counter <= radius, from its highest plane down.
-    less, equal = np.zeros_like(over), np.full_like(over, full)
-    for k in reversed(range(depth)):
+    good = np.zeros((len(queries), words), np.uint64)
+    good[query, word] = ~(over | above(counter, radius))
+    bits = np.unpackbits(good.astype("<u8").view(np.uint8), axis=1, bitorder="little")
+    return bits[:, : len(block)].astype(bool)
+
+
+def above(counter: np.ndarray, radius: int) -> np.ndarray:
+    """Which counters, as numbers of bit planes, are above the radius."""
+    more, equal = np.zeros_like(counter[0]), np.full_like(counter[0], np.uint64(2**64 - 1))
+    for k in reversed(range(len(counter))):
         if radius >> k & 1:
-            less |= equal & ~counter[k]
             equal &= counter[k]
         else:
+            more |= equal & counter[k]
             equal &= ~counter[k]
-    good = (less | equal) & ~over
-    bits = np.unpackbits(np.ascontiguousarray(good).astype("<u8").view(np.uint8), axis=1, bitorder="little")
-    return bits[:, : len(block)].astype(bool)
+    return more
 
 
 def forest(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -177,9 +196,10 @@ def compare_buckets(key: np.ndarray, side: np.ndarray, prints: np.ndarray) -> li
         stop = np.searchsorted(key, key[rows][-1], side="right")
         for c in range(a, stop, TILE):
             cols = slice(c, min(c + TILE, stop))
-            near = within(prints[rows], prints[cols])
-            near &= (key[rows][:, None] == key[cols][None, :]) & (side[rows][:, None] + side[cols][None, :] < 2)
-            i, j = np.nonzero(near)
+            allowed = (key[rows][:, None] == key[cols][None, :]) & (side[rows][:, None] + side[cols][None, :] < 2)
+            if a == c:
+                allowed = np.triu(allowed, 1)
+            i, j = np.nonzero(within(prints[rows], prints[cols], allowed=allowed))
             new = prints[rows][i] < prints[cols][j]
             links += forest(*(x.view(np.int64) for x in (prints[rows][i[new]], prints[cols][j[new]])))
             new = prints[rows][i] > prints[cols][j]

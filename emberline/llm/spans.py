@@ -28,13 +28,18 @@ def keyed(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> Dat
     )
 
 
-def with_facts(rows: DataFrame, sample: DataFrame, keys: list[str], facts: dict[str, Column]) -> DataFrame:
+def with_facts(
+    rows: DataFrame, sample: DataFrame, keys: list[str], facts: dict[str, Column], finer: str = "", order: list[str] = []
+) -> DataFrame:
     """``rows`` (keys, did, th, ...) with the aggregates ``facts`` over all rows of their keys, by one shuffle.
 
     Keys that fill more than a quarter of a partition by the ``sample`` of rows are dealt over several tasks by
-    text, and their facts are added up with partial sums; so a hot key is never in one task. At most four times
+    row, and their facts are added up with partial sums; so a hot key is never in one task. At most four times
     as many keys as partitions can be that hot, so their list and their facts are broadcast. The sample decides
     on the dealing only; the facts are of all rows.
+
+    With ``finer``, rows of a key that agree in that column as well get ``m``, their number, and ``first``, whether
+    a row is the first of them by ``order``; of a key that is dealt out, both hold within a task.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = cut_lineage(sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("k")))
@@ -42,10 +47,15 @@ def with_facts(rows: DataFrame, sample: DataFrame, keys: list[str], facts: dict[
     share = F.col("k") * F.lit(4.0 * parts / total)
     hot = counts.where((share > 1) & (F.col("k") > 1)).select(*keys, F.ceil(share).cast("int").alias("salts"))
     dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(
-        "salt", F.coalesce(F.pmod(F.xxhash64("did", "th"), F.col("salts")), F.lit(-1)).cast("int")
+        "salt", F.coalesce(F.pmod(F.xxhash64("did", "th", F.monotonically_increasing_id()), F.col("salts")), F.lit(-1)).cast("int")
     )
     own = Window.partitionBy(*keys, "salt")
-    local = dealt.drop("salts").repartition(*keys, "salt").withColumns({n: c.over(own) for n, c in facts.items()})
+    local = dealt.drop("salts").repartition(*keys, "salt")
+    if finer:
+        alike = Window.partitionBy(*keys, "salt", finer)
+        local = local.withColumn("first", F.row_number().over(alike.orderBy(*order)) == 1)
+        local = local.withColumn("m", F.count(F.lit(1)).over(alike))
+    local = local.withColumns({n: c.over(own) for n, c in facts.items()})
     whole = rows.join(F.broadcast(hot.drop("salts")), keys).groupBy(*keys)
     whole = whole.agg(*[c.alias(f"all_{n}") for n, c in facts.items()])
     joined = local.join(F.broadcast(whole), keys, "left")

@@ -136,3 +136,23 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "u long, v long")).collect()}
     nodes = {x for a, b in links if a != b for x in (a, b)}
     assert got == reach([x for x in links if x[0] != x[1]], nodes)
+
+
+@pytest.mark.parametrize("radius", [0, 3, 4, 7])
+def test_blocks_are_abandoned_and_masked_pairs_are_never_near(radius, monkeypatch):
+    r = np.random.default_rng(radius)
+    a = r.integers(0, 2**64, 64, dtype=np.uint64)
+    b = np.concatenate((a, r.integers(0, 2**64, 77, dtype=np.uint64)))
+    for k in range(20):  # some close ones
+        b[64 + k] = a[k] ^ np.uint64(sum(1 << int(x) for x in r.choice(64, k % 8, replace=False)))
+    allowed = r.random((64, len(b))) < 0.5
+    allowed[np.arange(64), np.arange(64)] = False
+    want = (np.bitwise_count(a[:, None] ^ b[None, :]) <= radius) & allowed
+    assert (simhash.within(a, b, radius, allowed) == want).all()
+    # Random fingerprints that meet themselves: without their own pairs they are soon given up.
+    seen = []
+    real = simhash.above
+    monkeypatch.setattr(simhash, "above", lambda counter, k: (seen.append(counter.shape[1]), real(counter, k))[1])
+    off = ~np.eye(64, dtype=bool)
+    assert not simhash.within(a, a, radius, off).any()
+    assert seen[0] == 64 and min(seen) == 0 and len(seen) < 16 and sum(seen) < 0.7 * 64 * 16

@@ -36,6 +36,25 @@ def test_targets(seed):
     assert sum(mixing.fitted_targets(sizes, weights)) == pytest.approx(sum(sizes))
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_small_sources_are_sampled_like_large_ones(seed):
+    """Five hundred lengths once each, a third of the words: short and long documents alike, others with another seed."""
+    lengths, counts = np.arange(50, 550), np.ones(500, np.int64)
+    budget = int(lengths.sum()) // 3
+    take = mixing.fill_budget(lengths, counts, budget, seed)
+    assert abs(int((lengths * take).sum()) - budget) <= 1 and take.max() == 1
+    mean = (lengths * take).sum() / take.sum()
+    assert 270 < mean < 330 and take[:100].sum() > 20 and take[-100:].sum() > 20
+    assert (take != mixing.fill_budget(lengths, counts, budget, seed + 100)).sum() > 100
+
+
+def test_one_very_long_text_among_many_lengths():
+    lengths, counts = np.append(np.arange(1, 1001), 400_000), np.append(np.full(1000, 3), 1)
+    for budget in (700, 500_000, int((lengths * counts).sum()) - 5):
+        take = mixing.fill_budget(lengths, counts, budget)
+        assert (take <= counts).all() and abs(int((lengths * take).sum()) - budget) <= 1
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_last_words_are_the_best_subset(seed):
     r = random.Random(seed)

@@ -85,16 +85,17 @@ def test_word_factors(docs, rows, no_docs):
     assert got_words(no_docs) == []
 
 
-@pytest.mark.parametrize("group", [1, 2000])
+@pytest.mark.parametrize("group", [0, 1, 3, 2000])
 def test_byte_repeats(docs, rows, no_docs, group, monkeypatch):
     monkeypatch.setattr(repeats, "GROUP", group)
     assert got_bytes(docs) == clean_bytes(rows)
     assert got_bytes(no_docs) == []
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_random_texts_with_shared_passages(spark, seed):
-    """Shared passages at random cuts, within and across texts, periodic texts and bytes of zero."""
+@pytest.mark.parametrize(("seed", "group"), [(0, 1000), (1, 1000), (2, 1000), (0, 2), (1, 5), (2, 0)])
+def test_random_texts_with_shared_passages(spark, seed, group, monkeypatch):
+    """Shared passages at random cuts, within and across texts, periodic texts and bytes of zero; blocks of all widths."""
+    monkeypatch.setattr(repeats, "GROUP", group)
     r = random.Random(seed)
     letters = [" ", "a", "b", "é", "\0", "c d", "\n"]
     some = lambda n: "".join(r.choice(letters) for _ in range(n))
@@ -138,9 +139,38 @@ def test_factors_are_greedy_runs(spark):
     words = [f"w{i}" for i in range(80)]
     rows = [(1, " ".join(words[:40])), (2, " ".join(words[30:])), (3, "x " + " ".join(words) + " y")]
     texts = spans.keyed(spark.createDataFrame(rows, "doc_id long, text string"))
-    got = sorted((f.did, f.b, f.e, f.ref) for f in factors.factors(texts).collect())
+    got = sorted((f.did, f.b, f.e, f.ref, f.place) for f in factors.factors(texts).collect())
     # Words 0-39 are in document 1, words 30-79 in document 2; windows from 28 on are only in the second.
-    assert got == [(3, 1, 41, 1), (3, 31, 81, 2)]
+    assert got == [(3, 1, 41, 1, 0), (3, 31, 81, 2, 0)]
+
+
+def test_every_factor_stands_in_its_reference(spark, rows):
+    """Also where a reference has the two halves of a run at different places, or in two texts of one id."""
+    w = [f"p{k}" for k in range(40)]
+    halves = " ".join(w[:13]) + " x " + " ".join(w[1:14])
+    more = [(2000, halves), (2001, " ".join(w[:14])), (2002, " ".join(w[5:30])), (2002, " ".join(w[15:40])), (2003, " ".join(w * 2))]
+    some = [(r[0], r[1]) for r in rows] + more
+    texts = spans.keyed(spark.createDataFrame(some, "doc_id long, text string"))
+    found = factors.factors(texts).collect()
+    words = {}
+    for r in texts.collect():
+        words.setdefault(r.did, {})[r.th] = bytes(r.data).split()
+    assert len(found) > 10 and all(f.e - f.b >= 13 and f.ref < f.did for f in found)
+    for f in found:
+        own = words[f.did][f.th][f.b : f.e]
+        assert any(t[f.place : f.place + len(own)] == own for t in words[f.ref].values())
+    assert sorted((f.b, f.e, f.ref, f.place) for f in found if f.did == 2001) == [(0, 13, 2000, 0), (1, 14, 2000, 14)]
+
+
+def test_long_words_that_polynomials_mix_up(spark):
+    """Two words of 1,024 letters that are equal under any polynomial hash modulo 2^64 (Thue and Morse)."""
+    one = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    same = [f"w{k}" for k in range(12)]
+    rows = [(1, " ".join([*same, one])), (2, " ".join([*same, two])), (3, " ".join([*same, one]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got_words(df) == clean_words(rows)
+    assert {r.doc_id: r.n_removed for r in factors.remove_duplicates(df).collect()} == {1: 0, 2: 0, 3: 13}
 
 
 def test_facts_of_hot_anchors(spark):
