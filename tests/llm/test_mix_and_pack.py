@@ -7,7 +7,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from emberline.llm import mixing, packing, ranking, tokens
+from emberline.llm import mixing, packing, ranking, wordwise
 
 
 def words(text):
@@ -118,13 +118,46 @@ def test_places_are_a_permutation(spark):
             assert sorted(own) == list(range(len(own)))
 
 
-def test_memo_gives_the_library_ids():
-    e, r = tokens.encoder(), random.Random(2)
-    parts = ["a", "é", "the", " ", "  ", "\n", "\n\n", " \n", "\n ", "\t", ".", ",", "!!", "'s", "'", "1", "²", " ", "\x1c",
-             "日本", "😀", "<|endoftext|>", "\r\n", "it'll"]
-    for _ in range(4000):
-        t = "".join(r.choice(parts) if r.random() < 0.6 else r.choice([" ", "word", "foo"]) for _ in range(r.randrange(12)))
-        assert e.encode([t])[0] == e.whole(t), repr(t)
+def test_packs_are_the_librarys_ids():
+    """Special tokens count as such here; test_alignment covers texts of all kinds."""
+    e = wordwise.byte_encoder()
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "  x\n\ny", "it'll do", "日本 😀", ""]
+    found = e.encode(wordwise.Split(texts))
+    ids = [found.ids[a:b].tolist() for a, b in zip(found.at, found.at[1:], strict=False)]
+    assert ids == [e.vocabulary.tokenizer.encode(t, add_special_tokens=False).ids for t in texts] and ids[1] == [50256]
+
+
+def test_memory_of_words_starts_anew(monkeypatch):
+    monkeypatch.setattr(wordwise, "MEMO", 20)
+    e = wordwise.Wordwise(wordwise.byte_encoder().vocabulary)
+    r = random.Random(1)
+    for _ in range(30):
+        texts = [" ".join(str(r.randrange(60)) for _ in range(9)) for _ in range(4)]
+        found = e.encode(wordwise.Split(texts))
+        assert [found.ids[a:b].tolist() for a, b in zip(found.at, found.at[1:], strict=False)] == [e.vocabulary.whole(t) for t in texts]
+        assert len(e.known) <= 40
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_all_patterns_and_their_least_squares_fit(seed):
+    """Every way to fill a sequence with up to three lengths; no repeat count calls for a further step."""
+    r = np.random.default_rng(seed)
+    room = 40
+    histogram = np.append(0, r.integers(0, 60, room) * (r.random(room) < 0.5))
+    present = np.nonzero(histogram)[0]
+    shapes = packing.patterns(present, room)
+    there = set(present.tolist())
+    every = {(a, b, room - a - b) for a in there for b in there | {0} if b <= a and 0 <= room - a - b <= b and (room - a - b in there or room == a + b)}
+    assert {tuple(s) for s in shapes.tolist()} == every and len(shapes) == len(every)
+    x = packing.fit_repeats(shapes, histogram)
+    made = np.zeros((len(shapes), room + 1))
+    for j, shape in enumerate(shapes.tolist()):
+        for n in shape:
+            made[j, n] += n > 0
+    want = (made @ (histogram - made.T @ x)) / np.maximum((made**2).sum(1), 1)
+    enough = packing.TOLERANCE + 1e-9
+    assert (x >= 0).all() and (want <= enough).all() and (want[x > 0] >= -enough).all()
+
 
 
 @pytest.mark.parametrize("seed", range(12))
