@@ -53,7 +53,7 @@ NESTED_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OUTSIDE_NAMES = re.compile(
-    r"ads?|advert\w*|banners?|bread-?crumbs?|comments?|cookies?|consent|disqus|footer|login|masthead|menus?|modal|nav\w*|"
+    r"ads?|advert\w*|alerts?|banners?|bread-?crumbs?|comments?|cookies?|consent|disqus|footer|ft|login|masthead|menus?|modal|nav\w*|"
     r"newsletter|notices?|pagination|popups?|promo\w*|related|replies|respond|share|sharing|side-?bars?|site-?header|"
     r"page-?header|topbar|social|sponsor\w*|subscribe|toolbar|widgets?",
     re.I,
@@ -64,6 +64,12 @@ NEUTRAL_NAMES = re.compile(
     r"page|panel|posts?|primary|right|secondary|section|site|stories|top|wrap|wrapper|\d[\dx]*|",
     re.I,
 )
+# Parts of names that are enough by themselves, whatever stands beside them.
+TELLING_NAMES = re.compile(
+    r"(?:^|[_-])(?:comments?|comment-?list|replies|reply|disqus|gdpr|consent|newsletter|sign-?up|subscribe|advert\w*|sponsor\w*)"
+    r"(?:$|[_-])",
+    re.I,
+)
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 TOKEN = re.compile(
@@ -114,8 +120,12 @@ class Block:
 
 
 def beside(name: str) -> bool:
-    """Whether a whole class or id names something beside the article: each of its parts does, or is neutral."""
-    if OUTSIDE_NAMES.fullmatch(name):
+    """Whether a class or id names something beside the article.
+
+    One part that speaks of comments, consent, sign-ups or adverts is enough; of other names each part must say so, or
+    be neutral.
+    """
+    if OUTSIDE_NAMES.fullmatch(name) or TELLING_NAMES.search(name):
         return True
     parts = re.split("[_-]", name)
     named = [bool(OUTSIDE_NAMES.fullmatch(p)) for p in parts]

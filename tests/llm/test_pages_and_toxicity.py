@@ -148,3 +148,30 @@ def test_awkward_rows(spark, docs, no_docs, rows):
     assert len(got) == len(rows) and all(0 <= g.score <= 1 for g in got)
     assert toxicity.toxicity(no_docs, labels.limit(0)).count() == 0
     assert all(g.predicted == 0 for g in toxicity.toxicity(docs, labels.limit(0)).collect())
+
+
+ARTICLE = "<p>" + "This is the story of the town and of the people who have lived in it for a long time. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "beside",
+    [
+        "<div class='reader-comments'>{}</div>", "<div class='user-comment'>{}</div>", "<div class='newsletter-signup'>{}</div>",
+        "<div class='alert'>{}</div>", "<div id='gdpr-message'>{}</div>", "<div id='ft'>{}</div>", "<div class='story-reply-thread'>{}</div>",
+        "<div class='box sign-up'>{}</div>", "<section id='sponsored-stories'>{}</section>",
+    ],
+)
+@pytest.mark.parametrize("around", ["<main>{}</main>", "<article>{}</article>", "<div class='content has-sidebar'>{}</div>"])
+def test_named_parts_go_wherever_they_stand(beside, around):
+    more = "<p>" + "I think that this is what they have said about it and we are all of the same opinion here. " * 2 + "</p>"
+    want = " ".join(pages.main_text(f"<html><body>{ARTICLE}</body></html>").split())
+    page = "<html><body>" + around.format(ARTICLE + beside.format(more)) + "</body></html>"
+    assert pages.main_text(page) == want
+    assert pages.main_text("<html><body>" + around.format(beside.format(more) + ARTICLE) + "</body></html>") == want
+
+
+@pytest.mark.parametrize("name", ["post comments-open", "newsletter-issue", "consent-page", "content has-sidebar"])
+def test_a_name_does_not_remove_what_encloses_the_article(name):
+    want = " ".join(pages.main_text(f"<html><body>{ARTICLE}</body></html>").split())
+    assert pages.main_text(f"<html><body><div class='{name}'><h1>The town</h1>{ARTICLE}</div></body></html>") == f"The town\n{want}"
+    assert pages.main_text(f"<html><body><article class='{name}'>{ARTICLE}</article></body></html>") == want
