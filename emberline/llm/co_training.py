@@ -2,8 +2,10 @@
 
 One classifier sees the text's content only, the other the page's metadata only (language, source, length as
 listed). Both start from the labelled rows. In every round each is calibrated, labels the unlabelled rows it is
-confident of, and hands them to the other one, whose next fit counts them at half weight. In the end the
-calibrated views are combined into one score for every document.
+confident of, and hands them to the other one, whose next fit counts them at half weight. Confident is relative to
+what a view can know: its calibrated probability of a class must be at least one half and close ``SURE`` of the gap
+between the class's share and certainty, so that a weak view has its say, too. In the end the calibrated views are
+combined into one score for every document, none with a negative weight.
 
 Labels are learnt only from rows whose crc32 of the id's text is not 0 modulo ``FOLDS``; at most ``LABELLED`` of
 them, and at most ``POOL`` rows without a label, are drawn by hash of the id. Both bounds are parameters. Scoring
@@ -29,8 +31,8 @@ from emberline.llm.toxicity import drawn, held_out
 LABELLED = 8_000
 POOL = 8_000
 ROUNDS = 4
-# Confidence from which a pseudo-label is handed over, how many of each class at most in a round, their weight.
-SURE = 0.95
+# Share of the gap to certainty that a pseudo-label closes, how many of each class at most in a round, their weight.
+SURE = 0.5
 HANDED = 500
 WEIGHT = 0.5
 RIDGE = 1.0
@@ -183,7 +185,9 @@ def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray],
             p = share(views[v].logit(pool[v])) if len(pool[v]) else np.empty(0)
             new = 0
             for label, sure in ((1, p), (0, 1 - p)):
-                best = [r for r in np.argsort(-sure, kind="stable").tolist() if sure[r] >= SURE and r not in given[1 - v]][:HANDED]
+                usual = (y == label).mean()
+                enough = max(0.5, usual + SURE * (1 - usual))
+                best = [r for r in np.argsort(-sure, kind="stable").tolist() if sure[r] >= enough and r not in given[1 - v]][:HANDED]
                 given[1 - v].update(dict.fromkeys(best, label))
                 new += len(best)
             counts.append(new)
@@ -191,8 +195,21 @@ def co_train(labelled: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray],
         views = [fit(0), fit(1)]
         if not any(counts):
             break
-    both = np.stack([np.ones(check.sum()), views[0].logit(labelled[0][check]), views[1].logit(labelled[1][check])], 1)
-    return CoModel(views[0], views[1], logistic(both, y[check], np.ones(check.sum()), 1e-2), handed)
+    both = np.stack([views[v].logit(labelled[v][check]) for v in (0, 1)], 1)
+    return CoModel(views[0], views[1], mixed_views(both, y[check]), handed)
+
+
+def mixed_views(logits: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Constant and weights of the views' logits, none negative: a view that would get one is left out."""
+    out, used = np.zeros(3), [0, 1]
+    while True:
+        design = np.concatenate((np.ones((len(y), 1)), logits[:, used]), 1)
+        w = logistic(design, y, np.ones(len(y)), 1e-2)
+        low = int(np.argmin(w[1:])) if used else 0
+        if not used or w[1 + low] >= 0:
+            out[[0, *[1 + v for v in used]]] = w
+            return out
+        del used[low]
 
 
 # ---- operator -------------------------------------------------------------------------------------
