@@ -260,11 +260,19 @@ def answered(spans: DataFrame) -> DataFrame:
     return spans.select("h", "c", "m", "span").repartition("h").sortWithinPartitions("h", "c").mapInArrow(group_rows, ANSWERS)
 
 
-def asked(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """(h, c, m, lo, hi, span): the spans (h, c, m, did, th, tw, at, n, p) with their bytes, read from their texts."""
+BLOCKS = "h long, c long, base int, bh long, bc long, m long, lo int, hi int, span binary"
+SPANS = "h long, c long, m long, lo int, hi int, span binary"
+
+
+def asked(texts: DataFrame, spans: DataFrame, width: int = 0) -> DataFrame:
+    """(h, c, m, lo, hi, span): the spans (h, c, m, did, th, tw, at, n, p) with their bytes, read from their texts.
+
+    With ``width`` they are cut into blocks by the same worker.
+    """
     lists_of = spans.groupBy(*KEY).agg(F.collect_list(F.struct("at", "n", "p", "h", "c", "m")).alias("s"))
     wanted = lists_of.select(*KEY, *[F.col(f"s.{c}").alias(c) for c in ("at", "n", "p", "h", "c", "m")])
-    return texts.join(wanted, KEY).mapInArrow(span_rows, "h long, c long, m long, lo int, hi int, span binary")
+    cut = (lambda batches: block_rows(width)(span_rows(batches))) if width else span_rows
+    return texts.join(wanted, KEY).mapInArrow(cut, BLOCKS if width else SPANS)
 
 
 def blocks_answered(blocks: DataFrame, widths: tuple[int, ...]) -> DataFrame:
@@ -287,15 +295,12 @@ def blocks_answered(blocks: DataFrame, widths: tuple[int, ...]) -> DataFrame:
     return found.select("h", "c", (F.col("base") + F.col("b")).alias("b"), (F.col("base") + F.col("e")).alias("e"))
 
 
-BLOCKS = "h long, c long, base int, bh long, bc long, m long, lo int, hi int, span binary"
-
-
 def span_answers(texts: DataFrame, known: DataFrame) -> DataFrame:
     """(h, c, s): ranges that repeat within the spans of open anchors, one row per distinct span."""
     first = known.where("open AND first")
     few = first.where("NOT hot").select("h", "c", "m", *KEY, "at", "n", "p")
     rest = first.where("hot").groupBy("h", "c").agg(F.sum("m").alias("m"), F.min(F.struct(*KEY, "at", "n", "p")).alias("r"))
-    many = asked(texts, rest.select("h", "c", "m", "r.*")).mapInArrow(block_rows(WIDTHS[0]), BLOCKS)
+    many = asked(texts, rest.select("h", "c", "m", "r.*"), WIDTHS[0])
     # Both in one job, so that the texts are shuffled once: answers of the few, blocks of the many.
     empty = {f.name: F.lit(None).cast(f.dataType) for f in many.schema if f.name not in ("h", "c")}
     both = answered(asked(texts, few)).withColumns(empty).unionByName(many, allowMissingColumns=True)
