@@ -93,17 +93,14 @@ def score_counts(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame
 
 
 def _curve(df: DataFrame, y: str, score: str, ranges: int | None) -> DataFrame:
-    """Distinct scores from high to low with running counts and the counts of the next score.
+    """Distinct scores from high to low with running counts.
 
-    Everything that crosses a value range (counts so far, first score of the next range) comes from
-    one small table with a row per range, so the scores are shuffled by range once.
+    What crosses a value range, the counts so far, comes from one small table with a row per range, so the scores are
+    shuffled by range once.
     """
     counted = score_counts(df, y, score).withColumn("_down", -F.col("score"))
     ranged = with_value_range(counted, "_down", ["pos", "neg"], ranges)
-    step = F.struct("pos", "neg")
-    cells = ranged.groupBy("_range").agg(
-        F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.min_by(step, "_down").alias("_first")
-    )
+    cells = ranged.groupBy("_range").agg(F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"))
     # One row per value range meets in these windows.
     order = Window.orderBy("_range")
     before = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -115,8 +112,6 @@ def _curve(df: DataFrame, y: str, score: str, ranges: int | None) -> DataFrame:
         F.coalesce(F.sum("_neg").over(before), zero).alias("_neg_before"),
         F.sum("_pos").over(whole).alias("total_pos"),
         F.sum("_neg").over(whole).alias("total_neg"),
-        F.lead("_first").over(order).alias("_after"),
-        (F.row_number().over(order) == 1).alias("_head"),
     )
     inside = Window.partitionBy("_range").orderBy("_down")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -130,8 +125,6 @@ def _curve(df: DataFrame, y: str, score: str, ranges: int | None) -> DataFrame:
         (F.col("_neg_before") + F.sum("neg").over(upto)).alias("fp"),
         "total_pos",
         "total_neg",
-        F.coalesce(F.lead(step).over(inside), F.col("_after")).alias("_next"),
-        (F.col("_head") & (F.row_number().over(inside) == 1)).alias("_start"),
     )
 
 
@@ -163,6 +156,60 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score", ranges: int | Non
     return rows.agg(F.when(pairs > 0, area / pairs).alias("roc_auc"))
 
 
+def _numbered_points(df: DataFrame, y: str, score: str, corners: bool, ranges: int | None) -> DataFrame:
+    """(index, threshold, fpr, tpr, last): the points of the curve, numbered from 1, from high to low scores.
+
+    Points are all distinct scores, or with ``corners`` the first one and those where the curve bends: on a straight
+    line the next score adds the same counts as this one. Scores are shuffled by range once; running counts and numbers
+    are read off the same sorted rows, and one small row per range says what was before and what follows.
+    """
+    counted = score_counts(df, y, score).select((-F.col("score")).alias("_down"), "pos", "neg")
+    ranged = with_value_range(counted, "_down", ["pos", "neg"], ranges)
+    step = F.struct("pos", "neg")
+    inside = Window.partitionBy("_range").orderBy("_down")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The smallest value has range 0. Whether a range's last score is a corner depends on the next range.
+    start = (F.col("_range") == 0) & (F.row_number().over(inside) == 1)
+    following = F.lead(step).over(inside)
+    local = ranged.withColumns(
+        {
+            "_tp": F.sum("pos").over(upto),
+            "_fp": F.sum("neg").over(upto),
+            "_point": (start | (following.isNotNull() & (following != step))) if corners else F.lit(True),
+            "_final": following.isNull(),
+        }
+    ).withColumn("_at", F.sum(F.col("_point").cast("bigint")).over(upto))
+    cells = local.groupBy("_range").agg(
+        F.sum("pos").alias("_pos"), F.sum("neg").alias("_neg"), F.min_by(step, "_down").alias("_head"),
+        F.max_by(step, "_down").alias("_tail"), F.max_by("_point", "_down").alias("_known"), F.max("_at").alias("_inner"),
+    )
+    # One row per value range meets in these windows.
+    order, whole = Window.orderBy("_range"), Window.partitionBy()
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    after = F.lead("_head").over(order)
+    turned = cells.withColumn("_more", ~F.col("_known") & (after.isNull() | (after != F.col("_tail"))))
+    points = F.col("_inner") + F.col("_more").cast("bigint")
+    zero = F.lit(0).cast("bigint")
+    borders = turned.select(
+        "_range",
+        "_more",
+        F.coalesce(F.sum("_pos").over(before), zero).alias("_pos_before"),
+        F.coalesce(F.sum("_neg").over(before), zero).alias("_neg_before"),
+        F.coalesce(F.sum(points).over(before), zero).alias("_before"),
+        F.sum("_pos").over(whole).alias("total_pos"),
+        F.sum("_neg").over(whole).alias("total_neg"),
+        F.sum(points).over(whole).alias("last"),
+    )
+    extra = F.col("_final") & F.col("_more")
+    return local.join(borders, "_range").where(F.col("_point") | extra).select(
+        (F.col("_before") + F.col("_at") + extra.cast("bigint")).alias("index"),
+        (-F.col("_down")).alias("threshold"),
+        F.when(F.col("total_neg") > 0, (F.col("_neg_before") + F.col("_fp")) / F.col("total_neg")).alias("fpr"),
+        F.when(F.col("total_pos") > 0, (F.col("_pos_before") + F.col("_tp")) / F.col("total_pos")).alias("tpr"),
+        "last",
+    )
+
+
 def roc_points(
     df: DataFrame,
     y: str = "y",
@@ -176,29 +223,7 @@ def roc_points(
     ``drop_intermediate`` leaves out points on a straight line between their neighbours. Of the rest
     at most ``points`` evenly spaced ones are kept, first and last included.
     """
-    curve = _curve(df, y, score, ranges)
-    if drop_intermediate:
-        # On a straight line the next score adds the same counts as this one.
-        corner = (
-            F.col("_next").isNull() | (F.col("_next.pos") != F.col("pos")) | (F.col("_next.neg") != F.col("neg"))
-        )
-        curve = curve.where(corner | F.col("_start"))
-    cells = curve.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per value range meets in these windows.
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    borders = cells.select(
-        "_range",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-        F.sum("_n").over(Window.partitionBy()).alias("last"),
-    )
-    inside = Window.partitionBy("_range").orderBy("_down")
-    numbered = curve.join(borders, "_range").select(
-        (F.col("_before") + F.row_number().over(inside)).alias("index"),
-        F.col("score").alias("threshold"),
-        _rate("fp", "total_neg").alias("fpr"),
-        _rate("tp", "total_pos").alias("tpr"),
-        "last",
-    )
+    numbered = _numbered_points(df, y, score, drop_intermediate, ranges)
     chosen = _evenly_spaced(F.col("index"), F.col("last"), points)
     own = F.struct("index", "threshold", "fpr", "tpr")
     origin = F.struct(

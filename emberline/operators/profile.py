@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from emberline.functions.features import (
     has,
@@ -105,8 +105,13 @@ def confidence_distribution(df: DataFrame) -> DataFrame:
     return share_of_total(counts_by(df, "confidence")).orderBy(F.desc("n"), "confidence")
 
 
-def class_balance(df: DataFrame, target: str = TARGET) -> DataFrame:
-    return share_of_total(counts_by(df, target)).orderBy(target)
+def class_balance(df: DataFrame, target: str = TARGET, by: str | None = None) -> DataFrame:
+    """Rows and share of every class, of the whole table or within each value of ``by``."""
+    if by is None:
+        return share_of_total(counts_by(df, target)).orderBy(target)
+    # One row per class of a group meets in the window.
+    whole = F.sum("n").over(Window.partitionBy(by))
+    return counts_by(df, by, target).withColumn("pct", 100.0 * F.col("n") / whole).orderBy(by, target)
 
 
 def frp_stats(df: DataFrame, p95_method: str = "linear", approximate: bool = False) -> DataFrame:

@@ -21,47 +21,44 @@ PARALLEL = ("polars", "dask", "cudf")
 CHARTED = ("polars", "dask")
 
 CONFIG = ("backend", "operation", "threads", "regime", "frac")
-MEASURES = ("time_s", "rows", "throughput_rows_s", "throughput_mb_s", "peak_mem_mb")
+# Measures with a median, and the error of the sketch that brackets it: one row in so many.
+MIDDLE = ("time_s", "rows", "throughput_rows_s", "throughput_mb_s")
+SKETCH = 10_000
 
 
 def summarise_runs(runs: DataFrame) -> DataFrame:
     """One row per configuration: exact medians, smallest and largest time, peak memory, run count.
 
-    All measures go through one pass: they are laid out as (configuration, measure, value), counted
-    per distinct value, and ranked in value ranges, so that a configuration with very many runs is
-    spread over tasks like any other.
+    A sketch of fixed size brackets every median in one pass, beside the plain aggregates. The second pass counts what
+    lies below and above the bracket as one value each and only the few values inside by themselves, so hardly a row is
+    shuffled; these are laid out as (configuration, measure, value) and ranked in value ranges, so that a configuration
+    with very many runs is spread over tasks like any other.
     """
-    laid_out = runs.select(
-        *CONFIG,
-        F.inline(
-            F.array(
-                *[F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in MEASURES]
-            )
-        ),
+    value = lambda m: F.col(m).cast("double")
+    near = [0.5 - 2 / SKETCH, 0.5 + 2 / SKETCH]
+    plain = runs.groupBy(*CONFIG).agg(
+        F.min(value("time_s")).alias("min_time_s"),
+        F.max(value("time_s")).alias("max_time_s"),
+        F.max(value("peak_mem_mb")).alias("peak_mem_mb"),
+        F.count("time_s").alias("n_runs"),
+        *[F.percentile_approx(value(m), near, SKETCH).alias(f"_{m}") for m in MIDDLE],
     )
+    bracketed = null_safe_join(runs.select(*CONFIG, *MIDDLE), plain.select(*CONFIG, *[f"_{m}" for m in MIDDLE]), CONFIG)
+
+    def held(m: str) -> Column:
+        low, high = F.col(f"_{m}")[0], F.col(f"_{m}")[1]
+        return F.when(value(m) < low, float("-inf")).when(value(m) > high, float("inf")).otherwise(value(m))
+
+    values = F.array(*[F.struct(F.lit(m).alias("measure"), held(m).alias("value")) for m in MIDDLE])
+    laid_out = bracketed.select(*CONFIG, F.inline(values))
     counted = laid_out.where(F.col("value").isNotNull()).groupBy(*CONFIG, "measure", "value").agg(
         F.count(F.lit(1)).alias("n")
     )
     ranked = running_totals(counted, "value", ["n"], [*CONFIG, "measure"])
-    medians = ranked.groupBy(*CONFIG, "measure").agg(
-        quantile_column(0.5).alias("median"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.sum("n").alias("runs"),
-    )
-
-    def of(measure: str, what: str) -> Column:
-        return F.max(F.when(F.col("measure") == measure, F.col(what)))
-
-    return medians.groupBy(*CONFIG).agg(
-        of("time_s", "median").alias("time_s"),
-        of("time_s", "low").alias("min_time_s"),
-        of("time_s", "high").alias("max_time_s"),
-        of("rows", "median").alias("rows"),
-        of("throughput_rows_s", "median").alias("throughput_rows_s"),
-        of("throughput_mb_s", "median").alias("throughput_mb_s"),
-        of("peak_mem_mb", "high").alias("peak_mem_mb"),
-        of("time_s", "runs").alias("n_runs"),
+    middle = ranked.groupBy(*CONFIG, "measure").agg(quantile_column(0.5).alias("median"))
+    medians = middle.groupBy(*CONFIG).agg(*[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in MIDDLE])
+    return null_safe_join(plain.select(*CONFIG, "min_time_s", "max_time_s", "peak_mem_mb", "n_runs"), medians, CONFIG, "left").select(
+        *CONFIG, "time_s", "min_time_s", "max_time_s", *MIDDLE[1:], "peak_mem_mb", "n_runs"
     )
 
 

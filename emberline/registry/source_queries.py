@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberline.functions.hashing import below, hash32
@@ -248,9 +246,7 @@ def balance_by_satellite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class balance by satellite of a table written in one folder per satellite."""
     path = scratch_path(spark, "by-satellite")
     views.labelled(spark, sf_dir).write.partitionBy("satellite").parquet(path)
-    folders = [r[0] for r in spark.read.parquet(path).select("satellite").distinct().collect()]  # one row per folder
-    parts = [class_balance(spark.read.parquet(path).where(F.col("satellite") == s)).withColumn("satellite", F.lit(s)) for s in folders]
-    return rounded(typed(reduce(DataFrame.unionByName, parts), "int", TARGET), 6, "pct")
+    return rounded(typed(class_balance(spark.read.parquet(path), by="satellite"), "int", TARGET), 6, "pct")
 
 
 register(
