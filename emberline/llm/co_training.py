@@ -232,7 +232,9 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int
     # At most ``labelled`` and ``pool`` ids.
     ids = F.broadcast(chosen.unionByName(others.withColumn("y", F.lit(None).cast("int"))))
     rows = with_views(docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi"))
-    got = rows.join(ids, "doc_id").toPandas().drop_duplicates("doc_id").sort_values("doc_id")
+    # One row per id reaches the driver, however many rows have it.
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("content", "metadata")).alias("v")).select("doc_id", "v.*")
+    got = one.join(ids, "doc_id").toPandas().sort_values("doc_id")
     if got.empty:
         return None
     stack = lambda part, width: np.array(part.tolist(), float).reshape(-1, width)

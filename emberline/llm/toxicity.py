@@ -120,15 +120,20 @@ def held_out(id_column: str) -> Column:
 
 
 def drawn(ids: DataFrame, n: int) -> DataFrame:
-    return ids.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(n)
+    """At most ``n`` distinct ids, by hash. A limit on the hash leaves about twice as many to be ordered, at any size."""
+    place = F.xxhash64("doc_id", F.lit(SEED))
+    share = 2 * n / max(ids.count(), 1)
+    some = ids.where(place / float(2**64) + 0.5 <= share) if share < 1 else ids
+    return some.distinct().orderBy(place, "doc_id").limit(n)
 
 
 def sampled_places(docs: DataFrame, ids: DataFrame) -> list[np.ndarray]:
     """Word places of the documents with these ids; at most as many ids as the sample's bound."""
     places = F.pandas_udf(lambda t: pd.Series([word_places(x).astype("<i4").tobytes() for x in t]), "binary")
-    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", places("text").alias("p")).toPandas()
-    rows = rows.drop_duplicates("doc_id").sort_values("doc_id")
-    return [np.frombuffer(p, "<i4") for p in rows["p"]]
+    rows = docs.join(F.broadcast(ids), "doc_id").select("doc_id", places("text").alias("p"))
+    # One row per id reaches the driver, however many rows have it.
+    one = rows.groupBy("doc_id").agg(F.min("p").alias("p")).toPandas().sort_values("doc_id")
+    return [np.frombuffer(p, "<i4") for p in one["p"]]
 
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:

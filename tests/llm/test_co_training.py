@@ -64,3 +64,20 @@ def test_awkward_rows(spark, docs, no_docs, rows):
     many = spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int")
     assert len(co_training.quality(docs, many).collect()) == len(rows)
     assert co_training.quality(no_docs, labels).count() == 0
+
+
+def test_a_weak_view_hands_over_too_and_no_weight_is_negative():
+    """Six in seven documents are good; the metadata tell some of the bad ones, and never more than that."""
+    r = np.random.default_rng(5)
+    y = (r.random(6000) < 0.86).astype(float)
+    content = np.concatenate((y[:, None] + 0.3 * r.normal(size=(6000, 1)), r.normal(size=(6000, 9))), 1)
+    source = np.where(y == 1, r.integers(0, 30, 6000), np.where(r.random(6000) < 0.3, 40, r.integers(0, 30, 6000)))
+    metadata = np.stack((r.integers(0, 4, 6000), source, r.normal(size=6000)), 1).astype(float)
+    views = lambda rows: [content[rows], metadata[rows]]
+    model = co_training.co_train(views(slice(0, 2000)), y[:2000], views(slice(2000, 6000)))
+    assert sum(a for a, _ in model.handed) > 0 and sum(b for _, b in model.handed) > 0
+    assert (model.mix[1:] >= 0).all() and model.mix[1] > 0
+    bad = co_training.mixed_views(np.stack((2 * y - 1, 1 - 2 * y + r.normal(size=6000)), 1), y)
+    assert bad[2] >= 0 and bad[1] > 0
+    none = co_training.mixed_views(np.stack((1 - 2 * y, 1 - 2 * y), 1), y)
+    assert none[1:].tolist() == [0, 0] and none[0] == pytest.approx(np.log(y.mean() / (1 - y.mean())), abs=0.01)

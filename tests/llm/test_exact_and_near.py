@@ -32,6 +32,23 @@ def test_content_sort(docs, rows):
     check_groups(docs, rows)
 
 
+@pytest.mark.parametrize("own", [None, 7])
+def test_a_hot_group_without_ids_is_dealt_out(spark, own, monkeypatch):
+    """A third of the rows have one text and no id, or one id: they get many salts, and one of them stays."""
+    rows = [(own if k % 3 == 0 else k, "hot text" if k % 3 == 0 else f"text {k}") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    sizes = []
+
+    def seen(df):
+        sizes.append([r["count"] for r in df.where("_salt > 0").groupBy("_salt").count().collect()])
+        return cut_lineage(df)
+
+    cut_lineage = content_sort.cut_lineage
+    monkeypatch.setattr(content_sort, "cut_lineage", seen)
+    check_groups(docs, rows)
+    assert sum(sizes[0]) == 300 and len(sizes[0]) > 6 and max(sizes[0]) < 100
+
+
 def test_content_sort_splits_a_hot_group(spark):
     rows = [(k, "hot text " + " " * (k % 3), None, None, None, None, None, None) for k in range(300)]
     rows += [(1000 + k, f"cold {k % 40}", None, None, None, None, None, None) for k in range(100)]
