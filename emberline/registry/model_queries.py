@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from emberline.functions.hashing import below, hash32
-from emberline.operators import evaluation, models
+from emberline.operators import evaluation, models, network
 from emberline.operators.evaluation import roc_auc
 from emberline.plans import modelling
 from emberline.registry import views
@@ -170,6 +170,11 @@ def split_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     return [read_split(spark, path, name) for name in ("train", "val", "test")]
 
 
+def step_rows(train: DataFrame) -> int:
+    """Rows of a network's step: the default is for millions of rows, a smaller part gets some sixteen steps an epoch."""
+    return max(network.GHOST, min(network.BATCH, train.count() // 16))
+
+
 def small_forest_rows(train: DataFrame) -> DataFrame:
     return modelling.bounded(train, FIT_ROWS)
 
@@ -186,7 +191,7 @@ def boosted_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mlp_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, val, test = split_parts(spark, sf_dir)
-    model = models.train_mlp(train, val, key=F.col(modelling.ROW))
+    model = models.train_mlp(train, val, key=F.col(modelling.ROW), batch_size=step_rows(train))
     return judged(spark, stored_scores(spark, model, test, threshold=None))
 
 
@@ -201,7 +206,8 @@ def boosted_rounds_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mlp_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loss and accuracy of both parts by epoch, and whether the state of the epoch was kept."""
     train, val, _ = split_parts(spark, sf_dir)
-    history = models.history_frame(spark, models.train_mlp(train, val, key=F.col(modelling.ROW)))
+    model = models.train_mlp(train, val, key=F.col(modelling.ROW), batch_size=step_rows(train))
+    history = models.history_frame(spark, model)
     best = models.pick_best_epoch(history).first()["epoch"]
     values = [F.round(c, 6).alias(c) for c in ("train_loss", "val_loss", "train_acc", "val_acc")]
     return history.select("epoch", *values, (F.col("epoch") == best).alias("kept"))
@@ -272,7 +278,8 @@ METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 def comparison_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of every model on the test part."""
     path = stored(spark, sf_dir)
-    table = modelling.train_and_compare(spark, path, forest_rows=FIT_ROWS)
+    steps = step_rows(read_split(spark, path, "train"))
+    table = modelling.train_and_compare(spark, path, mlp={"batch_size": steps}, forest_rows=FIT_ROWS)
     return table.select("model", *[F.round(c, 6).alias(c) for c in METRICS], (F.col("train_time_s") > 0).alias("timed"))
 
 
