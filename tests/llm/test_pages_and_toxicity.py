@@ -175,3 +175,50 @@ def test_a_name_does_not_remove_what_encloses_the_article(name):
     want = " ".join(pages.main_text(f"<html><body>{ARTICLE}</body></html>").split())
     assert pages.main_text(f"<html><body><div class='{name}'><h1>The town</h1>{ARTICLE}</div></body></html>") == f"The town\n{want}"
     assert pages.main_text(f"<html><body><article class='{name}'>{ARTICLE}</article></body></html>") == want
+
+
+CLUTTER = [
+    "<nav><ul><li><a href='/'>Home</a></li><li><a href='/news'>All the news of the day</a></li></ul></nav>",
+    "<header><div class='logo'>The Daily</div><a href='/login'>Log in</a></header>",
+    "<aside><h3>More of this</h3><p>These are the stories that other readers have liked the most in the last week of the year.</p></aside>",
+    "<footer><p>All rights are with the owners of this site and with no one else in the world of today.</p></footer>",
+    "<script>var x = '<p>not a text that is to be read by anyone at all</p>';</script>",
+    "<style>p { color: red } /* it is in the style of the house */</style>",
+    "<div class='cookie-banner'><p>We and our partners use what we know about you so that we can show you what you want to see.</p></div>",
+    "<div class='ad'><p>This is the best of all the offers that you can have from us if you are here by the end of the day.</p></div>",
+    "<form><p>Tell us who you are and we will send you all of this to where you want it to be sent to you.</p><input></form>",
+    "<section id='comments'><h2>Comments</h2><p>I have to say that this is not what I was told by them when I was there with my friends.</p></section>",
+    "<!-- <p>This is what was here before and it is not to be seen by any of the readers of the page.</p> -->",
+    "<div class='social-share'><a href='#'>Share</a> <a href='#'>Send it to a friend</a></div>",
+    "<ul class='related'><li><a href='/a'>What they have said about it</a></li><li><a href='/b'>And what it is all about</a></li></ul>",
+]
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_generated_pages_give_back_what_they_were_made_of(seed):
+    """Articles of known blocks with clutter of all kinds around and between them: the blocks come back, nothing else."""
+    r = random.Random(seed)
+    words = "the of and to in that it was for on with as at by from they we this have not town river winter story house people".split()
+
+    def sentence():
+        own = [r.choice(words) for _ in range(r.randrange(25, 60))]
+        return " ".join(own).capitalize() + "."
+
+    blocks, parts = [], []
+    for k in range(r.randrange(2, 8)):
+        text = sentence()
+        plain = text
+        if r.random() < 0.3:
+            text, plain = text + " Salt &amp; pepper&nbsp;too", plain + " Salt & pepper too"
+        if r.random() < 0.3:
+            first, rest = text.split(" ", 1)
+            text = f"<b>{first}</b>\n\t {rest}"
+        tag = r.choice(["p", "p", "p", "div", "blockquote"])
+        parts.append(f"<{tag}>{text}</{tag}>")
+        blocks.append(plain)
+        if r.random() < 0.25 and k:
+            parts.append(r.choice(CLUTTER[4:]))
+    before, after = ("".join(r.sample(CLUTTER, r.randrange(0, 5))) for _ in range(2))
+    around = r.choice(["<main>{}</main>", "<article>{}</article>", "<div class='wrap'><article class='post'>{}</article></div>"])
+    html = f"<html><head><title>A page of the site</title></head><body>{before}{around.format(''.join(parts))}{after}</body></html>"
+    assert pages.main_text(html) == "\n".join(blocks)
