@@ -41,11 +41,11 @@ from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed,
 LENGTH = 200
 GRAM = 40
 #: Distinct spans (or occurrences of an anchor) that meet in one task; more are cut into finer blocks.
-GROUP = 1_000
+GROUP = 400
 WIDTHS = (40, 8, 1)
 # Spans gathered before a task sorts them, and suffixes sorted at a time (whole groups).
-SPAN_BYTES = 2_000_000
-SUFFIXES = 30_000
+SPAN_BYTES = 1_000_000
+SUFFIXES = 20_000
 
 
 # ---- anchors --------------------------------------------------------------------------------------
