@@ -277,19 +277,18 @@ def asked(texts: DataFrame, spans: DataFrame, width: int = 0) -> DataFrame:
 
 def blocks_answered(blocks: DataFrame, widths: tuple[int, ...]) -> DataFrame:
     """Answers (h, c, b, e) of the spans that stored ``blocks`` were cut from; crowded contexts are cut finer."""
-    distinct = blocks.groupBy(F.col("bh").alias("h"), F.col("bc").alias("c")).agg(
-        F.sum("m").alias("m"), *[F.min(x).alias(x) for x in ("lo", "hi", "span")]
-    )
-    sizes = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.sum("m").alias("total")).where("total > 1")
+    distinct = blocks.groupBy("bh", "bc").agg(F.sum("m").alias("m"), *[F.min(x).alias(x) for x in ("lo", "hi", "span")])
+    sizes = distinct.groupBy("bh").agg(F.count(F.lit(1)).alias("k"), F.sum("m").alias("total")).where("total > 1")
+    as_spans = lambda df: df.withColumnsRenamed({"bh": "h", "bc": "c"})
     if widths:
-        sized = stored(distinct.join(sizes, "h"), "blocks")
-        answers = answered(sized.where(F.col("k") <= GROUP))
-        crowded = sized.where(F.col("k") > GROUP)
+        sized = stored(distinct.join(sizes, "bh"), "blocks")
+        answers = answered(as_spans(sized.where(F.col("k") <= GROUP)))
+        crowded = as_spans(sized.where(F.col("k") > GROUP))
         if not crowded.isEmpty():
             finer = stored(crowded.mapInArrow(block_rows(widths[0]), BLOCKS), "finer")
             answers = answers.unionByName(blocks_answered(finer, widths[1:]))
     else:  # single strings: a context has one
-        answers = answered(distinct.join(sizes.select("h"), "h"))
+        answers = answered(as_spans(distinct.join(sizes.select("bh"), "bh")))
     named = answers.select(F.col("h").alias("bh"), F.col("c").alias("bc"), "b", "e")
     found = blocks.select("h", "c", "base", "bh", "bc").join(named, ["bh", "bc"])
     return found.select("h", "c", (F.col("base") + F.col("b")).alias("b"), (F.col("base") + F.col("e")).alias("e"))
