@@ -187,3 +187,16 @@ def test_executive_summary(spark):
     r = rr.executive_summary(table, metrics, TARGET, 11).first()
     assert (r.n_rows, r.n_predictors, r.best_model, r.best_roc_auc, r.fastest_model, r.fastest_time_s) == (4, 11, "A", 0.98, "B", 42.0)
     assert [(b["class"], b.n, b.pct) for b in r.balance] == [(0, 3, 75.0), (1, 1, 25.0)]
+
+
+def test_throughput_of_a_run_of_no_time(spark, tmp_path):
+    from pathlib import Path
+
+    from emberline.registry.book import BOOK
+
+    rows = [(0, 0, "click", 0.0), (3, 0, "click", 2.0), (1, 0, "click", 4.0), (2, 0, "click", None)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double").write.parquet(
+        str(Path(tmp_path) / "events.parquet")
+    )
+    got = {r.dataset_pct: r.throughput_rows_s for r in BOOK["throughput_series"].query(spark, str(tmp_path)).collect()}
+    assert got == {"30%": float("inf"), "60%": 600000 / 4.0, "100%": None}
