@@ -83,6 +83,33 @@ def test_audit_verdicts(spark, tmp_path):
     assert {r.status: r["count"] for r in listed}["ok"] == 1 and sum(r["count"] for r in listed) == 6
 
 
+def test_audit_of_tables_of_several_files(spark, tmp_path):
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "whole"))
+    spark.range(90).repartition(3).write.parquet(str(tmp_path / "hurt"))
+    hurt = sorted((tmp_path / "hurt").glob("*.parquet"))[1]
+    hurt.write_bytes(hurt.read_bytes()[:-20])
+    (tmp_path / "bare").mkdir()
+    names = ["whole", "hurt", "bare", "gone"]
+    got = {r.path.split("/")[-1]: r for r in audit.audit_parquet(spark, [str(tmp_path / n) for n in names]).collect()}
+    assert [got[n].status for n in names] == ["ok", "truncated", "missing", "missing"]
+    assert (got["whole"].rows, got["whole"].columns, got["whole"].row_groups) == (100, 1, 3)
+
+
+def test_audit_in_a_store_that_only_spark_reads(spark, tmp_path):
+    spark.range(100).repartition(3).write.parquet(str(tmp_path / "whole"))
+    spark.range(0).coalesce(1).write.parquet(str(tmp_path / "none"))
+    spark.range(90).repartition(3).write.parquet(str(tmp_path / "hurt"))
+    hurt = sorted((tmp_path / "hurt").glob("*.parquet"))[1]
+    hurt.write_bytes(hurt.read_bytes()[:-20])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.audited.link./in", f"file://{tmp_path}")
+    names = ["whole", "none", "hurt", "gone"]
+    paths = [f"viewfs://audited/in/{n}" for n in names]
+    got = {r.path.split("/")[-1]: r for r in audit.audit_parquet(spark, paths).collect()}
+    assert [(got[n].status, got[n].rows) for n in names[:2]] == [("ok", 100), ("ok", 0)]
+    assert [got[n].status for n in names[2:]] == ["bad_footer", "missing"]
+
+
 def test_audit_finds_damage_in_a_later_row_group(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
