@@ -228,6 +228,36 @@ def test_network_learns_and_does_not_depend_on_partitions(spark, bent):
     assert fits[0].getOrDefault("weights") == best.weights.tolist() and best.val_acc > 0.8
 
 
+def test_an_epoch_is_one_job_with_the_steps_in_it(spark, bent):
+    train, val = bent
+    sc = spark.sparkContext
+    fits = {}
+    for name, parts in (("lanes", None), ("steps", 1)):
+        sc.setJobGroup(name, name)
+        fits[name] = network.fit_network(train, val, list("abcd"), "y", epochs=3, batch_size=32, key=F.col("id"), parts=parts)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert network.history_rows(fits["lanes"]) == network.history_rows(fits["steps"])
+    assert fits["lanes"].getOrDefault("weights") == fits["steps"].getOrDefault("weights")
+    jobs = {name: len(sc.statusTracker().getJobIdsForGroup(name)) for name in fits}
+    assert jobs["lanes"] < 25 < jobs["steps"]
+
+
+def test_several_lanes_learn_and_do_not_depend_on_files(spark, bent):
+    shape = network.Shape((4, 16, 2), (True,), (0.0,))
+    runs = []
+    for d in (bent[0], bent[0].repartition(5)):
+        stored = store_blocks(d, list("abcd"), "y", 32, F.col("id"), part_rows=400)
+        assert stored.parts > 2
+        lanes = stored.lanes(spark)
+        owners = lanes.mapPartitionsWithIndex(lambda k, some: [(b.number, k) for b in some]).collect()
+        assert len({n for n, _ in owners}) == len(set(owners)) > 20
+        runs.append(network.run_epochs(lanes, None, stored.rows, shape, 6, 64, 1e-2, 42, lanes=True))
+        lanes.unpersist()
+    assert runs[0][-1].train_loss < 0.7 * runs[0][0].train_loss
+    for a, b in zip(*runs, strict=True):
+        assert np.allclose(a.weights, b.weights) and a.train_loss == pytest.approx(b.train_loss)
+
+
 def test_a_network_is_saved_with_its_scaler(spark, splits, tmp_path):
     train, val, test = (part(spark, splits, s) for s in ("train", "val", "test"))
     model = models.train_mlp(train, val, hidden=(8, 4), epochs=2, batch_size=512)
