@@ -356,6 +356,19 @@ def test_rule_and_model_at_equal_recall(spark):
     assert evaluation.best_threshold(swept) == 2.0
 
 
+def test_validation_losses_are_read_no_sooner_than_the_fit_can_end(spark, bent):
+    assert boosting.next_look([], 25) == 26 and boosting.next_look([3.0, 2.0, 1.0], 2) == 5 and boosting.next_look([1.0, 2.0], 3) == 4
+    train, val = bent
+    sc = spark.sparkContext
+    sc.setJobGroup("boosted", "boosted")
+    model = boosting.fit_boosted(train, val, list("abcd"), "y", max_depth=1, eta=0.3, rounds=20, patience=5)
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(model.losses) == 20
+    assert len(sc.statusTracker().getJobIdsForGroup("boosted")) < 45  # with four looks; a look a round is 16 jobs more than that
+    rows = model.transform(models.assemble(val, list("abcd"))).withColumn("y", F.col("y").cast("double"))
+    assert models.loss_and_accuracy(model, rows.select("features", "y"), "y")[0] == pytest.approx(min(model.losses))
+
+
 # ---- heads ----------------------------------------------------------------------------------------------
 
 
