@@ -9,7 +9,8 @@ document runs as several lanes, cut where words end, so that one text does not h
 
 Links are counted over the corpus: an id pair's count is the number of documents that hold it linked. A batch
 keeps its distinct pairs once, as a dictionary, and its documents as indexes into it; only dictionaries are
-shuffled by pair and come back with counts. No row of a pair or of a batch grows with the corpus but the counts.
+shuffled by pair and come back with counts. Texts of a batch are aligned a slice at a time, so that a worker holds the
+tokens of one slice. No row of a pair or of a batch grows with the corpus but the counts.
 
 Defined cases: a null or empty text, and a text whose tokens of A or of B do not spell a space and the text
 byte for byte, has no tokens: all counts are zero and ``groups_sha256`` is ''. Repeated rows are documents of
@@ -32,10 +33,14 @@ from emberline.llm.wordwise import Split, byte_encoder, piece_encoder
 
 #: Characters of text that are one batch, or one text.
 CHARACTERS = 3_000_000
+#: Characters of a batch that are encoded and aligned at a time, or one text.
+SLICE = 400_000
+#: Parts of texts that a worker remembers for each vocabulary.
+MEMO = 150_000
 #: Tokens of A after which a long document goes on in another lane.
 LANE = 512
 #: Links expanded at a time.
-LINKS = 4_000_000
+LINKS = 1_000_000
 #: A group with more links than this is expanded by its distinct ids.
 WIDE = 4_096
 PAIR_BITS = 40
@@ -154,6 +159,7 @@ def texts_of(n: int) -> list[str]:
 def aligned(texts: list[str], path_a: str | None, path_b: str | None) -> Aligned:
     """Groups of texts; a text that the tokens of A or B do not spell has no tokens."""
     one, two = byte_encoder(path_a, True), piece_encoder(path_b)
+    one.memo = two.memo = MEMO
     split = Split(texts, " ")
     a, b = one.encode(split), two.encode(split)
     if not (a.same & b.same).all():
@@ -186,17 +192,28 @@ def batch_rows(path_a: str | None, path_b: str | None):
     return rows
 
 
-def one_batch(ids: pa.Array, texts: list[str], path_a: str | None, path_b: str | None) -> pa.RecordBatch:
+def one_slice(texts: list[str], path_a: str | None, path_b: str | None) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Columns of the documents, and their distinct (document << PAIR_BITS | pair) with times."""
     found = aligned(texts, path_a, path_b)
-    keys, times = found.counted()
-    pairs, index, held = np.unique(keys & ((1 << PAIR_BITS) - 1), return_inverse=True, return_counts=True)
-    at = np.searchsorted(keys >> PAIR_BITS, np.arange(len(texts) + 1))
     links = np.concatenate(([0], np.cumsum(found.links)))[found.at]
     digest = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in found.written()]
     columns = {
-        "doc_id": ids, "n_a": np.diff(found.at_a), "n_b": np.diff(found.at_b), "n_groups": np.diff(found.at),
-        "n_links": np.diff(links), "groups_sha256": digest, "at": at[:-1].astype(np.int32), "of": at[1:].astype(np.int32),
+        "n_a": np.diff(found.at_a), "n_b": np.diff(found.at_b), "n_groups": np.diff(found.at), "n_links": np.diff(links),
+        "groups_sha256": np.array(digest, object),
     }
+    return columns, *found.counted()
+
+
+def one_batch(ids: pa.Array, texts: list[str], path_a: str | None, path_b: str | None) -> pa.RecordBatch:
+    slices = []
+    for x, y in batches_of([len(t) for t in texts], SLICE):
+        columns, keys, times = one_slice(texts[x:y], path_a, path_b)
+        slices.append((columns, keys + (x << PAIR_BITS), times))
+    keys, times = (np.concatenate([s[k] for s in slices]) for k in (1, 2))
+    pairs, index, held = np.unique(keys & ((1 << PAIR_BITS) - 1), return_inverse=True, return_counts=True)
+    at = np.searchsorted(keys >> PAIR_BITS, np.arange(len(texts) + 1))
+    columns = {name: np.concatenate([s[0][name] for s in slices]) for name in slices[0][0]}
+    columns = {"doc_id": ids, **columns, "at": at[:-1].astype(np.int32), "of": at[1:].astype(np.int32)}
     docs = pa.StructArray.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns.values()], list(columns))
     row = {
         "batch": pa.array([uuid.uuid4().hex]),

@@ -164,7 +164,7 @@ class Wordwise:
     """Encodes many texts at a time with one vocabulary and remembers their parts."""
 
     def __init__(self, vocabulary: ByteVocabulary | PieceVocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.memo = vocabulary, MEMO
         self.width = np.array([len(b) for b in vocabulary.bytes], np.int64)
         self.forget()
 
@@ -198,7 +198,7 @@ class Wordwise:
 
     def numbers(self, parts: list[str]) -> np.ndarray:
         new = [p for p in parts if p not in self.known]
-        if len(self.known) + len(new) > MEMO:
+        if len(self.known) + len(new) > self.memo:
             self.forget()
             new = parts
         self.known.update(zip(new, self.add(new).tolist(), strict=True))

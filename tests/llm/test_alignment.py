@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from emberline.llm import alignment, wordwise
@@ -117,6 +118,20 @@ def test_small_batches_and_lanes_give_the_same(spark, vocabularies, monkeypatch)
     )
 
 
+def test_a_batch_is_aligned_a_slice_at_a_time(vocabularies, monkeypatch):
+    texts = [t or "" for t in awkward_texts(60)]
+    ids, real, met = pa.array(range(len(texts)), pa.int64()), alignment.aligned, []
+    monkeypatch.setattr(alignment, "aligned", lambda some, *a: (met.append(sum(map(len, some))), real(some, *a))[1])
+    columns = ["pairs", "held", "docs", "index", "times"]
+    answers = []
+    for size in (10**9, 200, 1):
+        monkeypatch.setattr(alignment, "SLICE", size)
+        batch = alignment.one_batch(ids, texts, None, None)
+        answers.append([batch.column(c).to_pylist() for c in columns])
+    assert answers[0] == answers[1] == answers[2]
+    assert len(met) > len(texts) and sorted(met)[-2] <= max(200, *map(len, texts))  # one whole batch, then slices
+
+
 def test_lockstep_on_given_ends():
     """A: 2 4 | 3 6, B: 4 | 1 3 6, as byte ends from the start of all texts."""
     a, b = np.array([2, 4, 7, 10]), np.array([4, 5, 7, 10])
