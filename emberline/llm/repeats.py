@@ -36,16 +36,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from emberline.llm import anchors as A
-from emberline.llm.spans import AT_ONCE, KEY, cleaned, column, each_text, keyed, lists, original_id, record, sampled, stored, with_facts
+from emberline.llm.spans import KEY, cleaned, column, each_text, keyed, lists, original_id, record, sampled, stored, with_facts
 
 LENGTH = 200
 GRAM = 40
 #: Distinct spans (or occurrences of an anchor) that meet in one task; more are cut into finer blocks.
 GROUP = 400
 WIDTHS = (40, 8, 1)
+#: Bytes of text whose anchors are looked for at a time, or one text; some 150 bytes of memory each.
+AT_ONCE = 250_000
 # Spans gathered before a task sorts them, and suffixes sorted at a time (whole groups).
 SPAN_BYTES = 1_000_000
 SUFFIXES = 20_000
+#: Rows that ``group_rows`` takes over from a batch at a time.
+SPAN_ROWS = 1_000
 
 
 # ---- anchors --------------------------------------------------------------------------------------
@@ -238,7 +242,7 @@ def group_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pick = lambda values: np.array(values, np.int64)[who]
         return record(h=pick(h), c=pick(c), b=np.concatenate(b_out).astype(np.int32), e=np.concatenate(e_out).astype(np.int32))
 
-    for batch in batches:
+    for batch in (b.slice(at, SPAN_ROWS) for b in batches for at in range(0, len(b), SPAN_ROWS)):
         for have, name in zip(held, ("h", "c", "m", "span"), strict=True):
             have.extend(batch.column(name).to_pylist())
         if sum(map(len, held[3])) > SPAN_BYTES:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from emberline.llm import anchors, factors, repeats, spans
@@ -221,3 +222,26 @@ def test_equal_rows_do_not_multiply(spark):
         sizes = {r.did: (len(r.b), len(set(zip(r.b, r.e, strict=True)))) for r in found.collect()}
         assert sizes and all(n == distinct for n, distinct in sizes.values())
     assert got_words(spark.createDataFrame(rows, "doc_id long, text string")) == clean_words(rows)
+
+
+def test_workers_hold_few_bytes_at_a_time(monkeypatch):
+    """Of a large batch of spans only some are gathered, and only some text is turned into arrays; the answers stay."""
+    r = random.Random(4)
+    spans_of = [(k // 2, k, 1, bytes(r.choices(b"ab", k=20)) * 12) for k in range(600)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*spans_of, strict=True)], names=["h", "c", "m", "span"])
+    texts = [bytes(r.choices(b"abc", k=n)) for n in (0, 900, 250, 5000, 199, 700)]
+    keys = pa.array(range(len(texts)), pa.int64())
+    docs = pa.RecordBatch.from_arrays([keys, keys, keys, pa.array(texts, pa.binary())], names=["did", "th", "tw", "data"])
+    met, real, joined = [], repeats.repeated_ranges, anchors.joined_bytes
+    monkeypatch.setattr(repeats, "repeated_ranges", lambda some, *a: (met.append(sum(map(len, some))), real(some, *a))[1])
+    answers = lambda: pa.Table.from_batches(list(repeats.group_rows(iter([batch])))).to_pylist()
+    found = lambda: pa.Table.from_batches(list(repeats.anchor_rows(iter([docs])))).to_pylist()
+    want, places = answers(), found()
+    monkeypatch.setattr(repeats, "SPAN_BYTES", 10_000)
+    monkeypatch.setattr(repeats, "SPAN_ROWS", 20)
+    monkeypatch.setattr(repeats, "AT_ONCE", 1000)
+    met.clear()
+    assert answers() == want and want and max(met) <= 10_000 + 20 * 240
+    monkeypatch.setattr(anchors, "joined_bytes", lambda some: (met.append(sum(map(len, some))), joined(some))[1])
+    met.clear()
+    assert found() == places and max(met) == 5000 and len(met) > 2
