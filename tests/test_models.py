@@ -55,6 +55,17 @@ def test_missing_values_are_an_error(spark):
         models.assemble(df, ["a", "b"]).collect()
 
 
+def test_a_bounded_part_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "part")
+    spark.range(2000).selectExpr("hash(id) AS row", "id", "1 AS a").write.parquet(path)
+    part = spark.read.parquet(path)
+    some = modelling.bounded(part, 300)
+    want = part.where(below(hash32([modelling.ROW]), 0.15))
+    assert sorted(map(tuple, some.collect())) == sorted(map(tuple, want.collect())) and 200 < some.count() < 400
+    assert some.columns == part.columns and not any(f.startswith(f"file://{path}") for f in some.inputFiles())
+    assert modelling.bounded(part, 2000) is part
+
+
 def test_forest_beats_the_best_single_column_and_repeats(spark, splits, tmp_path):
     train, test = part(spark, splits, "train"), part(spark, splits, "test")
     model = models.train_forest(train, n_estimators=20, max_depth=6)
