@@ -417,3 +417,55 @@ def test_head_and_history_on_stored_vectors(spark, small):
     assert models.loss_and_accuracy(model, val, "label")[0] == pytest.approx(best.val_loss)
     linear = models.train_head(train, "embedding", "label", 64, 10, hidden=(), epochs=1)
     assert linear.transform(val).count() == test.count()
+
+
+# ---- levels of a boosted tree -----------------------------------------------------------------------------
+
+
+def test_blocks_are_dealt_evenly(spark):
+    df = spark.range(4000).selectExpr("id", "cast(id as double) AS a", "cast(id % 2 as int) AS y")
+    blocks = store_blocks(df, ["a"], "y", 100, F.col("id"))
+    sizes = [len({b.number for b in some}) for some in blocks.dealt(spark, 5).glom().collect()]
+    assert sizes == [8] * 5
+
+
+def test_few_rows_get_few_partitions_and_none_gets_too_many():
+    sized = lambda n: boosting.Blocks("", n, -(-n // boosting.BLOCK_ROWS), 1, 1)
+    assert [boosting.part_count(sized(n), 12) for n in (0, 1000, 600_000, 24_000_000, 26_000_000)] == [1, 1, 3, 12, 24]
+
+
+def test_a_level_with_few_histograms_has_one_stage_and_the_same_trees(spark, bent, monkeypatch):
+    train, _ = bent
+
+    def fitted(name):
+        spark.sparkContext.setJobGroup(name, name)
+        found = boosting.fit_boosted(train, None, list("abcd"), "y", max_depth=4, eta=0.3, rounds=2, key=F.col("id"), parts=3)
+        spark.sparkContext.setJobGroup("", "")
+        tracker = spark.sparkContext.statusTracker()
+        jobs = [tracker.getJobInfo(j) for j in tracker.getJobIdsForGroup(name)]
+        return found.getOrDefault("trees"), sum(len(j.stageIds) for j in jobs if j)
+
+    few, stages = fitted("few")
+    monkeypatch.setattr(boosting, "FEW", 1)
+    many, more = fitted("many")
+    assert few == many and more == stages + 8
+
+
+def test_histograms_are_the_sums_of_the_sampled_rows():
+    r = np.random.default_rng(3)
+    rows = boosting.Rows(r.integers(0, 9999, 500), r.integers(0, 256, (3, 500)).astype(np.uint8), r.integers(0, 2, 500), r.normal(size=500))
+    seen = boosting.sampled(rows, np.array([0, 2]), 0.5, 11, 2.0)
+    use = uniform(rows.key, 11) < 0.5
+    assert (seen.bins == rows.bins[[0, 2]][:, use]).all() and 200 < use.sum() < 300
+    tree = boosting.Tree()
+    tree.grow(0, 1, 100, (0.0, 0.0))  # by the second of the tree's predictors
+    found = dict(boosting.histograms([seen, seen], boosting.Walk(tree), [2]))
+    right = seen.bins[1] > 100
+    assert list(found) == [2] and found[2].shape == (2, 2, 256)
+    for which in (0, 1):
+        for k in (0, 1):
+            want = np.zeros(256)
+            np.add.at(want, seen.bins[k, right], seen.both[which, right])
+            assert (found[2][which, k] == 2 * want).all()
+    p = 1 / (1 + np.exp(-rows.margin[use]))
+    assert np.allclose(seen.both[0] / boosting.UNIT, (p - rows.y[use]) * np.where(rows.y[use] > 0, 2.0, 1.0), atol=1e-6)
