@@ -294,14 +294,25 @@ register(
 )
 
 
+# Files that a task writes.
+TASK_FILES = 512
+# On a local disk Hadoop makes a second file with checksums for each and starts a process for every mode it sets (four a
+# file); without checksums it is one. Other file systems are as they were.
+SMALL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": True}
+
+
 def image_folder(spark: SparkSession, sf_dir: str) -> str:
-    """Stored vectors as a folder of small files ``split=<part>/label=<class>/<file>``, one for each."""
+    """Stored vectors as a folder of small files ``split=<part>/label=<class>/<file>``, one for each.
+
+    A table may be one file that one task reads, so its rows are dealt to tasks first.
+    """
     folder = scratch_path(spark, "images")
     part = F.when(below(hash32(["vec_id"]), 0.80), "train").otherwise("valid")
     rows = views.table(spark, sf_dir, "embeddings").select(
         F.concat_ws(" ", F.transform("embedding", lambda x: x.cast("string"))).alias("value"), part.alias("split"), "label"
     )
-    rows.write.option("maxRecordsPerFile", 1).partitionBy("split", "label").text(folder)
+    dealt = rows.repartition(max(1, -(-rows.count() // TASK_FILES)))
+    dealt.write.options(maxRecordsPerFile=1, **SMALL_FILES).partitionBy("split", "label").text(folder)
     return folder
 
 

@@ -1,10 +1,12 @@
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from emberline.operators.profile import class_balance
 from emberline.plans.model_table import build_model_table
+from emberline.registry import source_queries
 from emberline.registry.views import bench_runs, detections
 from emberline.schemas import BENCH_RUNS, DETECTIONS, MODEL_METRICS
 from emberline.sources import audit, contract, drops, images, run_files, tables
@@ -154,6 +156,18 @@ def test_image_manifest(spark, tmp_path):
     assert "content" not in manifest._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
 
 
+def test_vectors_of_one_file_are_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(source_queries, "TASK_FILES", 20)
+    rows = spark.range(60).selectExpr("id AS vec_id", "array(cast(id as float)) AS embedding", "cast(id % 3 as int) AS label")
+    rows.coalesce(1).write.parquet(str(tmp_path / "embeddings.parquet"))
+    folder = Path(source_queries.image_folder(spark, str(tmp_path)).removeprefix("file:"))
+    files = [f for f in folder.rglob("*") if f.is_file() and f.name != "_SUCCESS"]
+    assert sorted(f.read_text() for f in files) == sorted(f"{k}.0\n" for k in range(60))
+    assert len({f.name.split("-")[1] for f in files}) == 3
+    counts = source_queries.manifest(spark, str(tmp_path)).collect()
+    assert sum(r.n for r in counts) == 60 and {r.label for r in counts} == {0, 1, 2}
+
+
 def test_runs_are_appended_and_read(spark, small, tmp_path):
     path = str(tmp_path / "runs")
     assert run_files.read_runs(spark, path).count() == 0
