@@ -10,7 +10,7 @@ from emberline.operators import boosting, evaluation, models, network
 from emberline.operators.blocks import Block, store_blocks, uniform
 from emberline.operators.evaluation import classification_metrics, roc_auc
 from emberline.plans import modelling
-from emberline.registry import views
+from emberline.registry import model_queries, views
 from emberline.schemas import MODEL_METRICS, PREDICTORS, SEARCH_RUNS, TARGET
 from emberline.sources.tables import read_split, split_rates
 
@@ -469,3 +469,39 @@ def test_histograms_are_the_sums_of_the_sampled_rows():
             assert (found[2][which, k] == 2 * want).all()
     p = 1 / (1 + np.exp(-rows.margin[use]))
     assert np.allclose(seen.both[0] / boosting.UNIT, (p - rows.y[use]) * np.where(rows.y[use] > 0, 2.0, 1.0), atol=1e-6)
+
+
+# ---- whole parts in the registered queries ------------------------------------------------------------------
+
+
+def forest_row_counts(spark, monkeypatch, run) -> set[int]:
+    """Rows that forests are fitted on while something runs; the other learners and all scores are left out."""
+    class Seen(Exception):
+        pass
+
+    counts = set()
+
+    def seen(train, *a, **k):
+        counts.add(train.count())
+        raise Seen
+
+    monkeypatch.setattr(models, "train_forest", seen)
+    monkeypatch.setattr(modelling, "train_forest", seen)
+    for name in ("train_boosted", "train_mlp"):
+        monkeypatch.setattr(modelling, name, lambda *a, **k: (_ for _ in ()).throw(Seen))
+    with pytest.raises(Seen):
+        run()
+    return counts
+
+
+@pytest.fixture
+def many_rows(spark, splits, monkeypatch):
+    """More training rows than any bound there was."""
+    train = part(spark, splits, "train")
+    monkeypatch.setattr(model_queries, "stored", lambda *a: splits)
+    monkeypatch.setattr(model_queries, "FIT_ROWS", train.count() // 4)
+    return train.count()
+
+
+def test_search_fits_forests_on_all_training_rows(spark, small, many_rows, monkeypatch):
+    assert forest_row_counts(spark, monkeypatch, lambda: model_queries.search_query(spark, small)) == {many_rows}
