@@ -505,3 +505,12 @@ def many_rows(spark, splits, monkeypatch):
 
 def test_search_fits_forests_on_all_training_rows(spark, small, many_rows, monkeypatch):
     assert forest_row_counts(spark, monkeypatch, lambda: model_queries.search_query(spark, small)) == {many_rows}
+
+
+def test_best_configs_fits_forests_on_all_training_rows(spark, small, many_rows, monkeypatch):
+    """Both by its search and by its training with the stored picks."""
+    assert forest_row_counts(spark, monkeypatch, lambda: model_queries.best_configs_query(spark, small)) == {many_rows}
+    table = spark.createDataFrame([("Random Forest", "{'n_estimators': 20}")], "model string, config string")
+    monkeypatch.setattr(modelling, "search_configs", lambda *a, **k: table)
+    monkeypatch.setattr(modelling, "best_configs", lambda t, tolerance=0.01: t)
+    assert forest_row_counts(spark, monkeypatch, lambda: model_queries.best_configs_query(spark, small)) == {many_rows}
