@@ -514,3 +514,7 @@ def test_best_configs_fits_forests_on_all_training_rows(spark, small, many_rows,
     monkeypatch.setattr(modelling, "search_configs", lambda *a, **k: table)
     monkeypatch.setattr(modelling, "best_configs", lambda t, tolerance=0.01: t)
     assert forest_row_counts(spark, monkeypatch, lambda: model_queries.best_configs_query(spark, small)) == {many_rows}
+
+
+def test_compare_models_fits_its_forest_on_all_training_rows(spark, small, many_rows, monkeypatch):
+    assert forest_row_counts(spark, monkeypatch, lambda: model_queries.comparison_query(spark, small)) == {many_rows}
