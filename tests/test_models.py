@@ -518,3 +518,7 @@ def test_best_configs_fits_forests_on_all_training_rows(spark, small, many_rows,
 
 def test_compare_models_fits_its_forest_on_all_training_rows(spark, small, many_rows, monkeypatch):
     assert forest_row_counts(spark, monkeypatch, lambda: model_queries.comparison_query(spark, small)) == {many_rows}
+
+
+def test_rule_against_model_pairs_fits_its_forest_on_all_training_rows(spark, small, many_rows, monkeypatch):
+    assert forest_row_counts(spark, monkeypatch, lambda: model_queries.rule_pairs_query(spark, small)) == {many_rows}
