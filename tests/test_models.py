@@ -522,3 +522,33 @@ def test_compare_models_fits_its_forest_on_all_training_rows(spark, small, many_
 
 def test_rule_against_model_pairs_fits_its_forest_on_all_training_rows(spark, small, many_rows, monkeypatch):
     assert forest_row_counts(spark, monkeypatch, lambda: model_queries.rule_pairs_query(spark, small)) == {many_rows}
+
+
+# ---- trees grown within a task ------------------------------------------------------------------------------
+
+
+def test_a_task_grows_the_same_trees_as_jobs_by_level(spark, bent, monkeypatch):
+    """Rows that fit one task: the same trees and losses, a job or two for every look at the losses."""
+    train, val = bent
+
+    def fitted(name, **settings):
+        spark.sparkContext.setJobGroup(name, name)
+        found = boosting.fit_boosted(train, val, list("abcd"), "y", max_depth=5, eta=0.3, rounds=40, patience=6, key=F.col("id"), **settings)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found.getOrDefault("trees"), found.losses, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    alone, losses, jobs = fitted("alone")
+    monkeypatch.setattr(boosting, "ALONE", 0)
+    levels, more_losses, more_jobs = fitted("levels")
+    assert alone == levels and losses == more_losses
+    assert jobs < 40 < 150 < more_jobs
+    three, three_losses, _ = fitted("three", parts=3)
+    assert three == alone and three_losses == losses
+
+
+def test_best_splits_of_several_nodes_are_those_of_each():
+    r = np.random.default_rng(4)
+    sums = np.stack([r.integers(-(2**22), 2**22, (6, 3, 256)), r.integers(0, 2**18, (6, 3, 256))], 1)
+    sums[4] = 0
+    features = np.array([1, 4, 6])
+    assert boosting.best_of(sums, features) == [boosting.best_split(s, features) for s in sums]
