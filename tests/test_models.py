@@ -552,3 +552,24 @@ def test_best_splits_of_several_nodes_are_those_of_each():
     sums[4] = 0
     features = np.array([1, 4, 6])
     assert boosting.best_of(sums, features) == [boosting.best_split(s, features) for s in sums]
+
+
+# ---- disk of fits ---------------------------------------------------------------------------------------------
+
+
+def test_a_network_leaves_no_stored_blocks(spark, bent):
+    from pathlib import Path
+
+    from emberline.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file://"), "emberline")
+    before = set(folder.glob("blocks-*"))
+    network.fit_network(*bent, list("abcd"), "y", epochs=1, batch_size=256, key=F.col("id"))
+    assert set(folder.glob("blocks-*")) <= before
+
+
+def test_fits_of_many_rows_run_one_at_a_time(spark, monkeypatch):
+    rows = spark.range(50)
+    assert modelling.at_once(rows, 4) == 4
+    monkeypatch.setattr(modelling, "ALONE", 40)
+    assert modelling.at_once(rows, 4) == 1
